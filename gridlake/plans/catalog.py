@@ -114,3 +114,8 @@ def q_anomaly_days(spark, sf_dir):
 def q_anomaly_days_grouped(spark, sf_dir):
     from gridlake.operators.anomaly import anomaly_days_grouped
     return anomaly_days_grouped(q_daily_summary(spark, sf_dir))
+
+
+# Scans, sinks, parsing, cleaning, quality and streaming entries register
+# themselves on import.
+from gridlake.plans import catalog_ingest  # noqa: E402,F401

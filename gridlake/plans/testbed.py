@@ -81,3 +81,23 @@ SELECT c.city_name, c.country, e.ts AS time, e.value + 1000.0 AS load_mw
 FROM events e JOIN {CITY_VALUES_SQL} ON c.ord = e.user_id % {N_CITIES}
 WHERE e.event_type = 'purchase'
 """.replace("AS dim_city(", "AS c(")
+
+
+def props_k():
+    return F.get_json_object(F.col("props"), "$.k").cast("int")
+
+
+K_SQL = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+EVENTS_CITY_SQL = f"""
+SELECT e.*, {K_SQL} AS k, c.city_name, c.country, c.latitude, c.longitude
+FROM events e JOIN {CITY_VALUES_SQL} ON c.ord = e.user_id % {N_CITIES}
+""".replace("AS dim_city(", "AS c(")
+
+
+def events_with_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_city(events(spark, sf_dir), spark).withColumn("k", props_k())
+
+
+def codes_values_sql(alias: str = "codes") -> str:
+    rows = ", ".join(f"({k}, '{v}')" for k, v in sorted(dims.WEATHER_CODES.items()))
+    return f"(VALUES {rows}) AS {alias}(weather_code, weather)"
