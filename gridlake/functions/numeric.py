@@ -24,12 +24,17 @@ def sum_dec(col) -> Column:
 
 
 def half_up_mean(total: Column, count: Column) -> Column:
-    """``total / count`` rounded half-up to 2 decimals, as a double.
+    """``total / count`` rounded half away from zero to 2 decimals (double).
 
-    ``total`` is an exact decimal sum; the division and rounding are
-    plain IEEE operations, identical on any engine.
+    ``total`` is an exact decimal sum with 2 decimals.  The rounding runs
+    on integer cents (``(2|c| + n) div 2n``), so ties such as 2.01 / 2 are
+    decided exactly, and the final ``q / 100`` is one correctly rounded
+    IEEE division: the same value on any engine and any partitioning.
+    NULL when ``count`` is 0.
     """
-    return F.floor(total.cast("double") / count * 100 + 0.5) / 100
+    cents = (total * 100).cast("decimal(38,0)")
+    q = F.call_function("div", F.abs(cents) * 2 + count, count * 2)
+    return F.when(count > 0, F.when(cents < 0, -q).otherwise(q).cast("double") / 100)
 
 
 def half_up_mean_of(col: str) -> Column:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake import schemas
+from gridlake.functions.numeric import half_up_mean
 from gridlake.functions.resolution import points_per_hour, resolution_reason
 from gridlake.functions.timefmt import parse_iso
 
@@ -90,7 +91,7 @@ def hourly_from_periods(per: DataFrame, by_position: bool = False) -> DataFrame:
         blocks = F.when(n_blocks > 0, blocks).otherwise(F.array())
     keep = [c for c in per.columns if c not in ("points", "start_text", "period_reason")]
     out = usable.select(*keep, F.inline(blocks))
-    load = F.floor(F.col("total").cast("double") / n * 100 + 0.5) / 100
+    load = half_up_mean(F.col("total"), n)
     return out.select(*keep, "block", (F.col("start") + F.make_interval(hours=F.col("block"))).alias("time"),
                       load.alias("load_mw"))
 

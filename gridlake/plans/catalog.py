@@ -42,9 +42,15 @@ FROM w JOIN e
 """
 
 
+def half_up_sql(total: str, n: str) -> str:
+    """SQL twin of ``functions.numeric.half_up_mean`` (integer cents)."""
+    cents = f"CAST(({total}) * 100 AS HUGEINT)"
+    q = f"((2 * abs({cents}) + ({n})) // (2 * ({n})))"
+    return (f"(CASE WHEN ({n}) > 0 THEN CAST(CASE WHEN {cents} < 0 THEN -{q} ELSE {q} END AS DOUBLE) / 100 END)")
+
+
 def _mean_sql(c: str) -> str:
-    return (f"CAST(floor(CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) / count({c}) * 100 + 0.5) / 100"
-            f" AS DECIMAL(10,2))")
+    return f"CAST({half_up_sql(f'sum(CAST({c} AS DECIMAL(18,2)))', f'count({c})')} AS DECIMAL(10,2))"
 
 
 DAILY_SQL = f"""

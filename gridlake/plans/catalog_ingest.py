@@ -15,7 +15,7 @@ from gridlake.functions.timefmt import compact_stamp, date_key, iso_offset, pars
 from gridlake.operators import records
 from gridlake.operators.clean import SILVER_ENERGY_COLUMNS, clean_energy, with_date_parts
 from gridlake.plans import testbed as tb
-from gridlake.plans.catalog import ANOMALY_SQL, FLAGSHIP_CTES, register
+from gridlake.plans.catalog import ANOMALY_SQL, FLAGSHIP_CTES, half_up_sql, register
 from gridlake.session import shared_dir
 from gridlake.sources import lake, messages, payloads, tables
 
@@ -227,9 +227,9 @@ def q_resolution_parse(spark, sf_dir):
 
 
 # -- B10 / B12 / B13 / F9 ------------------------------------------------------
-BLOCK_SQL = """
+BLOCK_SQL = f"""
 SELECT event_type, day, block, day + to_hours(CAST(block AS BIGINT)) AS time,
-       floor(CAST(s AS DOUBLE) / 4 * 100 + 0.5) / 100 AS load_mw, points
+       {half_up_sql('s', '4')} AS load_mw, points
 FROM (
   SELECT event_type, day, i // 4 AS block, sum(CAST(value AS DECIMAL(18,2))) AS s, count(*) AS points
   FROM (SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, value,
@@ -264,7 +264,7 @@ blocks AS (SELECT event_type, chunk, n, vpos // n AS block, sum(CAST(value AS DE
                   count(*) AS c FROM sized GROUP BY 1, 2, 3, 4)
 SELECT b.event_type || '-' || CAST(b.chunk AS VARCHAR) AS city_name, b.event_type AS country,
        st.start + to_hours(CAST(b.block AS BIGINT)) AS time,
-       floor(CAST(b.s AS DOUBLE) / b.n * 100 + 0.5) / 100 AS load_mw
+       {half_up_sql('b.s', 'b.n')} AS load_mw
 FROM blocks b JOIN starts st ON st.event_type = b.event_type AND st.chunk = b.chunk
 WHERE b.c = b.n
 """

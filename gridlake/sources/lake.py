@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridlake.functions.timefmt import parse_iso
+
 PARTS = ["year", "month", "day"]
 # JSON text keeps microseconds and the offset (the default drops to millis).
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -42,9 +44,13 @@ def write_partitioned(df: DataFrame, root: str, fmt: str = "parquet", mode: str
 
 
 def write_bronze(df: DataFrame, root: str, time_col: str = "time", mode: str = "append") -> None:
-    """NDJSON by event date; late records land in their own date."""
-    dated = (df.withColumn("year", F.year(time_col)).withColumn("month", F.month(time_col))
-             .withColumn("day", F.dayofmonth(time_col)))
+    """NDJSON by event date; late records land in their own date.
+
+    ``time_col`` may hold ISO text (records as received) or a timestamp.
+    """
+    t = parse_iso(time_col) if dict(df.dtypes)[time_col] == "string" else F.col(time_col)
+    dated = (df.withColumn("year", F.year(t)).withColumn("month", F.month(t))
+             .withColumn("day", F.dayofmonth(t)))
     write_partitioned(dated, root, fmt="json", mode=mode)
 
 
