@@ -138,8 +138,8 @@ def marts_step(spark: SparkSession, paths: Paths, start: str, end: str,
     # Stage: written tables cut the lineage; checks read the staged copies.
     lake.write_partitioned(joined, paths.staging(run_id, "joined"), partition_cols=["activity_date"])
     lake.write_partitioned(daily, paths.staging(run_id, "daily"), partition_cols=["activity_date"])
-    staged_joined = spark.read.parquet(paths.staging(run_id, "joined"))
-    staged_daily = spark.read.parquet(paths.staging(run_id, "daily"))
+    staged_joined = spark.read.schema(joined.schema).parquet(paths.staging(run_id, "joined"))
+    staged_daily = spark.read.schema(daily.schema).parquet(paths.staging(run_id, "daily"))
     # Days outside the range come from the published mart.
     try:
         published = spark.read.parquet(paths.gold("mart_daily_demand_summary"))
@@ -149,9 +149,8 @@ def marts_step(spark: SparkSession, paths: Paths, start: str, end: str,
     except Exception:  # first run: nothing published yet
         all_daily = staged_daily
     anomaly = anomaly_days_grouped(all_daily)
-    lake.write_partitioned(anomaly, paths.staging(run_id, "anomaly"), mode="overwrite",
-                           partition_cols=["country"])
-    staged_anomaly = spark.read.parquet(paths.staging(run_id, "anomaly"))
+    anomaly.write.mode("overwrite").parquet(paths.staging(run_id, "anomaly"))
+    staged_anomaly = spark.read.schema(anomaly.schema).parquet(paths.staging(run_id, "anomaly"))
 
     allowed = accepted_countries if accepted_countries is not None else [k for _, k in dims.CITIES]
     checks = quality.run_checks(
