@@ -79,14 +79,21 @@ def city_rows() -> list[tuple]:
     return [(i, c, k, *CITY_COORDINATES[c]) for i, (c, k) in enumerate(CITIES)]
 
 
+def literal_table(spark: SparkSession, schema, rows: list[tuple]) -> DataFrame:
+    """A small constant table planned as a local relation (no Python RDD)."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def dim_city(spark: SparkSession) -> DataFrame:
     """``ord, city_name, country, latitude, longitude`` (9 rows)."""
-    return spark.createDataFrame(city_rows(), schemas.DIM_CITY)
+    return literal_table(spark, schemas.DIM_CITY, city_rows())
 
 
 def dim_weather_code(spark: SparkSession) -> DataFrame:
     """``weather_code, weather`` (28 rows)."""
-    return spark.createDataFrame(sorted(WEATHER_CODES.items()), schemas.DIM_WEATHER_CODE)
+    return literal_table(spark, schemas.DIM_WEATHER_CODE, sorted(WEATHER_CODES.items()))
 
 
 def weather_text(code_col) -> "F.Column":

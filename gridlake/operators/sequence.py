@@ -3,39 +3,52 @@ gathering a group in one task.
 
 ``row_number() over (partition by g order by o)`` sorts each whole group in
 a single task; a group holding a third of the data would then run on one
-core.  Here the rows are range-partitioned on ``(g, o)`` instead, so a big
-group is cut across many partitions:
+core.  Here only the key columns are range-partitioned on ``(g, o)``, so a
+big group is cut across many partitions (slices):
 
-1. range-partition on the group and order keys and sort inside partitions;
-   ``monotonically_increasing_id`` then grows with the global order;
-2. per (group, partition): first id and row count (at most
-   ``partitions + groups`` rows);
-3. a running sum of those counts over the partitions of each group gives
-   the group offset of every partition slice;
-4. position = offset + (id - first id of the slice).
+1. range-partition the keys, sort inside partitions, and tag each key with
+   its slice (partition id) and ``monotonically_increasing_id``, which grows
+   with the global order;
+2. ``checkpoint()`` the tagged keys into the shared checkpoint folder: the
+   range bounds are sampled once, and every later read (and any recompute
+   after a lost executor) sees the same slices and ids;
+3. per (group, slice): first id and row count - at most
+   ``slices + groups`` rows - and a running sum of the counts over the
+   slices of a group gives each slice's offset;
+4. position = offset + (id - first id of the slice), joined back to the
+   rows on the key.
 
 ``order`` must make the order total inside a group (end it with a unique
-column) so that the positions are deterministic on recomputation.
+column): the key then identifies exactly one row for the join back.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlake.session import ensure_checkpoint_dir
+
 
 def index_within_group(df: DataFrame, group: list[str], order: list[str],
                        index_col: str = "idx", num_partitions: int | None = None) -> DataFrame:
-    keys = [F.col(c) for c in group + order]
-    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys))
-    tagged = (ranged.sortWithinPartitions(*keys)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    key_cols = group + order
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in key_cols]
+    tagged = (df.select(*keys).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_slice", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
     slices = (tagged.groupBy(*group, "_slice")
               .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
     before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    joined = tagged.join(slices.select(*group, "_slice", "_first", "_offset"), group + ["_slice"])
-    return (joined.withColumn(index_col, F.col("_offset") + F.col("_mid") - F.col("_first"))
-            .drop("_slice", "_mid", "_first", "_offset"))
+    positions = (tagged.join(slices.select(*group, "_slice", "_first", "_offset"), group + ["_slice"])
+                 .select(*[F.col(c).alias(f"_k_{c}") for c in key_cols],
+                         (F.col("_offset") + F.col("_mid") - F.col("_first")).alias(index_col)))
+    cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(positions[f"_k_{c}"]) for c in key_cols])
+    return df.join(positions, cond, "inner").drop(*[f"_k_{c}" for c in key_cols])

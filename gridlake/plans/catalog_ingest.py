@@ -318,9 +318,8 @@ def weather_payloads(spark, sf_dir):
     """Landed weather responses built from staged weather rows: one per 24
     consecutive hours of a city, the measures as parallel arrays."""
     from gridlake.operators.sequence import index_within_group
-    w = tb.stage_weather(spark, sf_dir).withColumn("_id", F.monotonically_increasing_id())
-    w = tb.stage_weather(spark, sf_dir)
-    idx = index_within_group(w, ["city_name"], ["time", "temperature", "humidity"], "i")
+    w = tb.stage_weather(spark, sf_dir, with_id=True)
+    idx = index_within_group(w, ["city_name"], ["time", "event_id"], "i")
     entry = F.struct("i", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"),
                      "temperature", "humidity", "wind_speed", "precipitation", "weather_code")
     grouped = (idx.groupBy("city_name", "country", "latitude", "longitude",

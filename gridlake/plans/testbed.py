@@ -40,12 +40,12 @@ def humidity_of(props="props"):
     return F.get_json_object(F.col(props), "$.k").cast("int")
 
 
-def stage_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stage_weather(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
     """stg_weather over the driver tables (silver weather columns, no y/m/d)."""
     ev = events(spark, sf_dir).where(F.col("event_type") == "view")
     v = F.col("value")
     hum = humidity_of()
-    out = _with_city(ev, spark).select(
+    out = _with_city(ev, spark).select(*(["event_id"] if with_id else []),
         "city_name", "country", "latitude", "longitude", F.col("ts").alias("time"),
         (v - 20.0).alias("temperature"), hum.alias("humidity"),
         F.abs(v - 100.0).alias("wind_speed"), F.greatest(v - 100.0, F.lit(0.0)).alias("precipitation"),
