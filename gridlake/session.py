@@ -48,6 +48,13 @@ def build_session(master: str | None = None, app_name: str = "gridlake",
     return spark
 
 
+def storage_conf(settings: dict[str, str]) -> dict[str, str]:
+    """Object-store settings (account keys, auth type, endpoints) as
+    session conf; keys are Hadoop property names, passed through as
+    ``spark.hadoop.<key>``.  Paths stay plain URIs everywhere else."""
+    return {k if k.startswith("spark.") else f"spark.hadoop.{k}": v for k, v in settings.items()}
+
+
 def apply_pipeline_conf(spark: SparkSession) -> None:
     """Apply the runtime SQL settings on an existing session."""
     for key, value in PIPELINE_CONF.items():
@@ -85,5 +92,5 @@ def local_path(uri: str) -> str:
     return uri[len("file:"):] if uri.startswith("file:") else uri
 
 
-__all__ = ["build_session", "apply_pipeline_conf", "checkpoint_root", "shared_dir",
+__all__ = ["build_session", "apply_pipeline_conf", "storage_conf", "checkpoint_root", "shared_dir",
            "ensure_checkpoint_dir", "local_path", "PIPELINE_CONF"]

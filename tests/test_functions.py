@@ -39,3 +39,17 @@ def test_half_up_mean_is_exact(spark):
     df = spark.createDataFrame([(1.00,), (1.01,)], "x double")
     r = df.agg(half_up_mean(F.sum(F.col("x").cast("decimal(18,2)")), F.count("x")).alias("m")).first()
     assert r.m == 1.01
+
+
+def test_local_time_to_utc(spark):
+    from gridlake.functions import utc_wall_clock
+    df = spark.createDataFrame([("2026-03-03 12:00:00",)], "s string").select(F.to_timestamp("s").alias("t"))
+    assert df.select(utc_wall_clock("t", "Europe/Berlin").alias("u")).first().u == dt.datetime(2026, 3, 3, 11)
+
+
+def test_storage_conf_passthrough():
+    from gridlake.session import storage_conf
+    got = storage_conf({"fs.azure.account.auth.type.acct.dfs.core.windows.net": "SharedKey",
+                        "spark.sql.shuffle.partitions": "4"})
+    assert got == {"spark.hadoop.fs.azure.account.auth.type.acct.dfs.core.windows.net": "SharedKey",
+                   "spark.sql.shuffle.partitions": "4"}
