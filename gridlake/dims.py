@@ -79,6 +79,13 @@ def city_rows() -> list[tuple]:
     return [(i, c, k, *CITY_COORDINATES[c]) for i, (c, k) in enumerate(CITIES)]
 
 
+def city_array():
+    """The city list as a constant ``array<struct>`` (for expression lookups)."""
+    return F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                                for v, f in zip(row, schemas.DIM_CITY.fields)])
+                     for row in city_rows()])
+
+
 def literal_table(spark: SparkSession, schema, rows: list[tuple]) -> DataFrame:
     """A small constant table planned as a local relation (no Python RDD)."""
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])

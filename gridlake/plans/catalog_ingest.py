@@ -4,6 +4,7 @@ same catalog as the marts."""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from gridlake.functions.timefmt import compact_stamp, date_key, iso_offset, pars
 from gridlake.operators import records
 from gridlake.operators.clean import SILVER_ENERGY_COLUMNS, clean_energy, with_date_parts
 from gridlake.plans import testbed as tb
-from gridlake.plans.catalog import ANOMALY_SQL, FLAGSHIP_CTES, half_up_sql, register
+from gridlake.plans.catalog import ANOMALY_SQL, DAILY_SQL, FLAGSHIP_CTES, half_up_sql, register
 from gridlake.session import shared_dir
 from gridlake.sources import lake, messages, payloads, tables
 
@@ -544,3 +545,47 @@ def q_stream_dedup(spark, sf_dir):
 
 
 
+
+
+# -- N5 / N6: the whole daily run over data derived from the driver tables ----------
+def per_event_load_documents(spark, sf_dir):
+    """One load document per purchase event: a PT60M period starting at the
+    event's hour with a single point."""
+    e = tb.stage_energy(spark, sf_dir)
+    xml = F.concat(F.lit(f'<Publication_MarketDocument xmlns="{XML_NS}"><TimeSeries><Period><timeInterval>'
+                         "<start>"), period_start(F.date_trunc("hour", "time")),
+                   F.lit("</start></timeInterval><resolution>PT60M</resolution><Point><position>1</position>"
+                         "<quantity>"), F.col("load_mw").cast("string"),
+                   F.lit("</quantity></Point></Period></TimeSeries></Publication_MarketDocument>"))
+    return e.select("country", "city_name", xml.alias("xml"))
+
+
+DAILY_RUN_SQL = f"""
+WITH w AS (
+  SELECT * FROM ({W_SQL})
+  QUALIFY row_number() OVER (PARTITION BY city_name, country, time
+                             ORDER BY temperature DESC, latitude DESC, longitude DESC, humidity DESC,
+                                      wind_speed DESC, precipitation DESC, weather_code DESC) = 1),
+e AS (
+  SELECT city_name, country, date_trunc('hour', time) AS time, max(load_mw) AS load_mw
+  FROM ({E_SQL}) GROUP BY 1, 2, 3),
+joined AS (
+  SELECT w.city_name, w.country, w.time, w.temperature, w.humidity, w.wind_speed, w.precipitation,
+         w.weather_code, e.load_mw
+  FROM w JOIN e ON w.city_name = e.city_name AND date_trunc('hour', w.time) = date_trunc('hour', e.time)),
+daily AS ({DAILY_SQL})
+SELECT * FROM daily
+"""
+
+
+@register("daily_run", DAILY_RUN_SQL)
+def q_daily_run(spark, sf_dir):
+    from gridlake.operators.aggregate import SUMMARY_COLUMNS
+    from gridlake.plans.daily import Paths, run_range
+    root = shared_dir(spark, "lake")
+    paths = Paths(root)
+    payloads.write_landed(weather_payloads(spark, sf_dir), paths.landing_weather)
+    payloads.write_landed(per_event_load_documents(spark, sf_dir), paths.landing_energy)
+    span = tb.events(spark, sf_dir).agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")).first()
+    run_range(spark, root, span.lo.isoformat(), (span.hi + dt.timedelta(days=1)).isoformat())
+    return spark.read.parquet(paths.gold("mart_daily_demand_summary")).select(*SUMMARY_COLUMNS)
