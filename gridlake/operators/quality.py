@@ -62,13 +62,30 @@ def partition_ready(df: DataFrame, time_col: str = "time", expected_hours: int =
             .withColumn("complete", F.col("hours") >= expected_hours))
 
 
+def table_checks(df: DataFrame, table: str, not_null_cols: list[str],
+                 accepted_col: str | None = None, accepted: list[str] | None = None) -> DataFrame:
+    """All checks of one table in a single aggregation pass."""
+    exprs = [F.count_if(F.col(c).isNull()).alias(f"nn_{i}") for i, c in enumerate(not_null_cols)]
+    if accepted_col:
+        allowed = accepted if accepted is not None else dims.ACCEPTED_COUNTRIES
+        bad = F.col(accepted_col).isNotNull() & ~F.col(accepted_col).isin(allowed)
+        exprs.append(F.count_if(bad).alias("av"))
+    counts = df.agg(*exprs)
+    checks = [(c, "not_null", f"nn_{i}") for i, c in enumerate(not_null_cols)]
+    if accepted_col:
+        checks.append((accepted_col, "accepted_values", "av"))
+    rows = ", ".join(f"'{c}', '{k}', `{a}`" for c, k, a in checks)
+    return counts.selectExpr(f"stack({len(checks)}, {rows}) as (column, check, failures)").select(
+        F.lit(table).alias("table"), "column", "check", F.col("failures").cast("long").alias("failures"))
+
+
 def run_checks(tables: dict[str, tuple[DataFrame, list[str]]],
                countries: dict[str, str] | None = None,
                accepted: list[str] | None = None) -> DataFrame:
-    """Union of all not-null checks plus accepted-values checks."""
-    parts = [not_null(df, name, cols) for name, (df, cols) in tables.items()]
-    for name, col in (countries or {}).items():
-        parts.append(accepted_values(tables[name][0], name, col, accepted))
+    """Every check of every table; one scan per table."""
+    countries = countries or {}
+    parts = [table_checks(df, name, cols, countries.get(name), accepted)
+             for name, (df, cols) in tables.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -54,11 +54,25 @@ NOT_NULL = {
 class Paths:
     root: str
 
-    def __getattr__(self, name):  # landing_weather, bronze_energy, ...
-        layer, _, source = name.partition("_")
-        if layer in ("landing", "bronze", "quarantine", "silver") and source in SOURCES:
-            return f"{self.root}/{layer}/{source}"
-        raise AttributeError(name)
+    def at(self, layer: str, source: str) -> str:
+        """``landing`` / ``bronze`` / ``quarantine`` / ``silver`` folder of a source."""
+        return f"{self.root}/{layer}/{source}"
+
+    @property
+    def landing_weather(self) -> str:
+        return self.at("landing", "weather")
+
+    @property
+    def landing_energy(self) -> str:
+        return self.at("landing", "energy")
+
+    @property
+    def silver_energy(self) -> str:
+        return self.at("silver", "energy")
+
+    @property
+    def quarantine_energy(self) -> str:
+        return self.at("quarantine", "energy")
 
     def gold(self, table: str) -> str:
         return f"{self.root}/gold/{table}"
@@ -85,8 +99,7 @@ def land_payloads(spark: SparkSession, paths: Paths, start: str, end: str) -> di
     for source, rows in (("weather", weather_rows), ("energy", energy_rows)):
         obs = Observation(f"bronze_{source}")
         lake.write_bronze(rows.observe(obs, F.count(F.lit(1)).alias("rows")),
-                          paths.bronze_weather if source == "weather" else paths.bronze_energy,
-                          mode="overwrite")
+                          paths.at("bronze", source), mode="overwrite")
         counts[source] = obs.get["rows"]
     rejected = rejected_documents(payloads.read_load_payloads(spark, paths.landing_energy))
     rejected.write.mode("append").parquet(paths.quarantine_energy)
@@ -99,16 +112,13 @@ def silver_step(spark: SparkSession, paths: Paths, start: str, end: str) -> dict
     """Decode, type, quarantine, clean and deduplicate the range (C*, D*, J1)."""
     out = {}
     for source in SOURCES:
-        bronze_root = paths.bronze_weather if source == "weather" else paths.bronze_energy
-        text = _range_filter(spark.read.text(bronze_root), start, end)
+        text = _range_filter(spark.read.text(paths.at("bronze", source)), start, end)
         decode = records.decode_weather if source == "weather" else records.decode_energy
         typed = decode(text.select("value"))
         clean = clean_weather if source == "weather" else clean_energy
         obs = Observation(f"silver_{source}")
-        silver_root = paths.silver_weather if source == "weather" else paths.silver_energy
-        lake.write_partitioned(clean(typed), silver_root, observation=obs)
-        records.quarantine_rows(typed, source).write.mode("append").parquet(
-            paths.quarantine_weather if source == "weather" else paths.quarantine_energy)
+        lake.write_partitioned(clean(typed), paths.at("silver", source), observation=obs)
+        records.quarantine_rows(typed, source).write.mode("append").parquet(paths.at("quarantine", source))
         out[source] = obs.get["rows"]
     return out
 
@@ -130,8 +140,8 @@ def marts_step(spark: SparkSession, paths: Paths, start: str, end: str,
     rebuilt from the (small) daily mart.  Returns the check results.
     """
     run_id = uuid.uuid4().hex[:12]
-    w = _range_filter(lake.read_silver(spark, paths.silver_weather), start, end)
-    e = _range_filter(lake.read_silver(spark, paths.silver_energy), start, end)
+    w = _range_filter(lake.read_silver(spark, paths.at("silver", "weather")), start, end)
+    e = _range_filter(lake.read_silver(spark, paths.at("silver", "energy")), start, end)
     marts = build_marts(w, e)
     joined = marts["int_weather_energy_joined"].withColumn("activity_date", F.to_date("time"))
     daily = marts["mart_daily_demand_summary"]

@@ -37,3 +37,9 @@ def test_first_city_per_country(spark):
     got = {r.country: r.city_name for r in countries(spark).collect()}
     assert got["DE"] == "Berlin" and len(got) == 9
     assert dim_city(spark).count() == 9
+
+
+def test_table_checks_one_pass(spark):
+    df = spark.createDataFrame([("DE", None), ("HU", 1.0), (None, 2.0)], "country string, load double")
+    got = {(r.column, r.check): r.failures for r in quality.table_checks(df, "t", ["country", "load"], "country").collect()}
+    assert got == {("country", "not_null"): 1, ("load", "not_null"): 1, ("country", "accepted_values"): 1}
