@@ -102,10 +102,16 @@ def land_payloads(spark: SparkSession, paths: Paths, start: str, end: str) -> di
                           paths.at("bronze", source), mode="overwrite")
         counts[source] = obs.get["rows"]
     rejected = rejected_documents(payloads.read_load_payloads(spark, paths.landing_energy))
-    rejected.write.mode("append").parquet(paths.quarantine_energy)
+    _write_quarantine(rejected, paths.at("quarantine", "energy"), f"land:{start}:{end}")
     return counts
 
 
+def _write_quarantine(rows: DataFrame, root: str, run: str) -> None:
+    """Quarantine rows of one step and range; a rerun replaces its own partition."""
+    (rows.withColumn("run", F.lit(run)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(root))
+
+
 # -- bronze -> silver ----------------------------------------------------------------
 
 def silver_step(spark: SparkSession, paths: Paths, start: str, end: str) -> dict[str, int]:
@@ -118,7 +124,8 @@ def silver_step(spark: SparkSession, paths: Paths, start: str, end: str) -> dict
         clean = clean_weather if source == "weather" else clean_energy
         obs = Observation(f"silver_{source}")
         lake.write_partitioned(clean(typed), paths.at("silver", source), observation=obs)
-        records.quarantine_rows(typed, source).write.mode("append").parquet(paths.at("quarantine", source))
+        _write_quarantine(records.quarantine_rows(typed, source), paths.at("quarantine", source),
+                          f"silver:{start}:{end}")
         out[source] = obs.get["rows"]
     return out
 

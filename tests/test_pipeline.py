@@ -48,6 +48,7 @@ def test_run_day_end_to_end_and_rerun(spark, scratch):
     assert sorted(spark.read.parquet(paths.silver_energy).collect()) == before
     assert spark.read.parquet(paths.gold("mart_daily_demand_summary")).collect() == daily
     assert spark.read.parquet(paths.gold("int_weather_energy_joined")).count() == 10
+    assert spark.read.parquet(paths.quarantine_energy).count() == len(quarantined)
 
 
 def test_gate_blocks_publishing(spark, scratch):
