@@ -30,8 +30,10 @@ def clean_energy(typed: DataFrame, prefer: list | None = None) -> DataFrame:
     """C2 + J1 + D4 + D6 on typed energy rows (output of ``type_energy``)."""
     rows = typed.where(F.col("reason").isNull()) if "reason" in typed.columns else typed
     rows = rows.dropna(subset=["city_name", "country", "time", "load_mw"])
-    rows = rows.select(*KEY, "load_mw", *([c for c in ["ingest_ts"] if c in rows.columns]))
-    survivors = keep_one(rows, KEY, prefer or [c for c in ["ingest_ts"] if c in rows.columns] + ["load_mw"])
+    extra = [c for c in ["ingest_ts"] if c in rows.columns]
+    rows = rows.select(*KEY, "load_mw", *extra)
+    # latest arrival first, then the larger reading, then the whole row
+    survivors = keep_one(rows, KEY, prefer or extra + ["load_mw"])
     return with_date_parts(survivors).select(*SILVER_ENERGY_COLUMNS)
 
 

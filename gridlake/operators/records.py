@@ -50,9 +50,19 @@ def decode_records(df: DataFrame, schema: T.StructType, value_col: str = "value"
     parsed = F.from_json(F.col(value_col), full,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
                           "allowSingleQuotes": "true"})
-    keep = [c for c in df.columns if c != value_col]
-    return df.select(*keep, F.col(value_col).alias("raw"), parsed.alias("_r")).select(
-        *keep, "raw", *[F.col(f"_r.{f.name}").alias(f.name) for f in full.fields])
+    names = set(full.fieldNames())
+    keep = [c for c in df.columns if c != value_col and c not in names]
+    # A column that arrives next to the text (e.g. the topic's ingest time)
+    # fills the field when the record itself does not carry it.
+    beside = {c for c in df.columns if c != value_col and c in names}
+
+    def field(name: str):
+        got = F.col(f"_r.{name}")
+        return (F.coalesce(got, F.col(f"_in_{name}").cast("string")) if name in beside else got).alias(name)
+
+    return (df.select(*keep, *[F.col(c).alias(f"_in_{c}") for c in beside],
+                      F.col(value_col).alias("raw"), parsed.alias("_r"))
+            .select(*keep, "raw", *[field(f.name) for f in full.fields]))
 
 
 def _passthrough(decoded: DataFrame, schema_cols: list[str]) -> list[str]:
@@ -61,6 +71,12 @@ def _passthrough(decoded: DataFrame, schema_cols: list[str]) -> list[str]:
     return [c for c in decoded.columns if c not in skip]
 
 
+def _ingest(decoded: DataFrame) -> Column:
+    if "ingest_ts" in decoded.columns:
+        return parse_iso("ingest_ts").alias("ingest_ts")
+    return F.lit(None).cast("timestamp").alias("ingest_ts")
+
+
 def _num(col: str, typ: str) -> Column:
     return F.col(col).try_cast(typ)
 
@@ -85,7 +101,7 @@ def type_energy(decoded: DataFrame) -> DataFrame:
     ])
     extra = _passthrough(decoded, schemas.ENERGY_RECORD.fieldNames())
     return decoded.select(*extra, "raw", "city_name", "country", t.alias("time"), load.alias("load_mw"),
-                          reason.alias("reason"))
+                          _ingest(decoded), reason.alias("reason"))
 
 
 def type_weather(decoded: DataFrame, check_codes: bool = True) -> DataFrame:
@@ -113,11 +129,12 @@ def type_weather(decoded: DataFrame, check_codes: bool = True) -> DataFrame:
         typed["temperature"].alias("temperature"), typed["humidity"].alias("humidity"),
         typed["wind_speed"].alias("wind_speed"), typed["precipitation"].alias("precipitation"),
         typed["weather_code"].alias("weather_code"),
-        F.coalesce(text, F.col("weather")).alias("weather"),
+        F.coalesce(text, F.col("weather")).alias("weather"), _ingest(decoded),
         _reason_chain(checks).alias("reason"))
 
 
 def valid_rows(typed: DataFrame) -> DataFrame:
+    """Accepted records (typed columns, plus ``ingest_ts`` and pass-through columns)."""
     return typed.where(F.col("reason").isNull()).drop("reason", "raw")
 
 

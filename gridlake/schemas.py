@@ -42,9 +42,11 @@ LOAD_LANDED = _struct(("country", S), ("city_name", S), ("xml", S))
 WEATHER_RECORD = _struct(
     ("city_name", S), ("country", S), ("latitude", S), ("longitude", S), ("time", S),
     ("temperature", S), ("humidity", S), ("wind_speed", S), ("precipitation", S),
-    ("weather_code", S), ("weather", S),
+    ("weather_code", S), ("weather", S), ("ingest_ts", S),
 )
-ENERGY_RECORD = _struct(("city_name", S), ("country", S), ("time", S), ("load_mw", S))
+ENERGY_RECORD = _struct(("city_name", S), ("country", S), ("time", S), ("load_mw", S), ("ingest_ts", S))
+# ``ingest_ts`` (arrival time on the topic) is optional: it decides which copy
+# of a duplicated record survives in silver (latest arrival wins).
 
 # Silver tables.
 SILVER_WEATHER = _struct(

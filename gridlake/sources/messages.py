@@ -31,9 +31,10 @@ def read_topic(spark: SparkSession, topic: str | None = None, fmt: str = "kafka"
         reader = reader.option(k, v)
     df = reader.load(path) if path else reader.load()
     if fmt == "kafka":
-        return df.select(F.col("key").cast("string"), F.col("value").cast("string"), "timestamp")
+        return df.select(F.col("key").cast("string"), F.col("value").cast("string"),
+                         F.col("timestamp").alias("ingest_ts"))
     return df.select(F.lit(None).cast("string").alias("key"), F.col("value"),
-                     F.current_timestamp().alias("timestamp"))
+                     F.current_timestamp().alias("ingest_ts"))
 
 
 def write_topic(messages: DataFrame, topic: str | None = None, fmt: str = "kafka",
