@@ -48,6 +48,32 @@ def build_session(master: str | None = None, app_name: str = "gridlake",
     return spark
 
 
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               shuffle_fraction: float = 0.3, partition_bytes: int = 256 * 2**20) -> dict[str, str]:
+    """Partition sizing for a cluster run.
+
+    The initial shuffle partition count is chosen so that one partition of
+    the expected shuffle volume (``input_bytes * shuffle_fraction``) is about
+    ``partition_bytes`` and fits an executor core's memory, never fewer than
+    two waves of cores and at most 100k (map-output bookkeeping grows with
+    maps x reducers).  AQE then coalesces small partitions to the advisory
+    size and splits skewed ones; scan splits use the same target size.
+    """
+    cores = executors * cores_per_executor
+    wanted = int(input_bytes * shuffle_fraction // partition_bytes) + 1
+    partitions = max(2 * cores, min(wanted, 100_000))
+    size = f"{partition_bytes // 2**20}m"
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * partition_bytes // 2**20}m",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def storage_conf(settings: dict[str, str]) -> dict[str, str]:
     """Object-store settings (account keys, auth type, endpoints) as
     session conf; keys are Hadoop property names, passed through as
@@ -92,5 +118,5 @@ def local_path(uri: str) -> str:
     return uri[len("file:"):] if uri.startswith("file:") else uri
 
 
-__all__ = ["build_session", "apply_pipeline_conf", "storage_conf", "checkpoint_root", "shared_dir",
+__all__ = ["build_session", "apply_pipeline_conf", "storage_conf", "scale_conf", "checkpoint_root", "shared_dir",
            "ensure_checkpoint_dir", "local_path", "PIPELINE_CONF"]
