@@ -20,8 +20,3 @@ def keep_one(df: DataFrame, key: list[str], prefer: list[Column | str] | None =
     return (df.groupBy(*key).agg(F.max(ranked).alias("_best"))
             .select(*key, *[F.col(f"_best._row.{c}").alias(c) for c in others])
             .select(*df.columns))
-
-
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Whole-row duplicates (topic replays)."""
-    return df.dropDuplicates()

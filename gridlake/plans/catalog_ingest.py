@@ -589,3 +589,25 @@ def q_daily_run(spark, sf_dir):
     span = tb.events(spark, sf_dir).agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")).first()
     run_range(spark, root, span.lo.isoformat(), (span.hi + dt.timedelta(days=1)).isoformat())
     return spark.read.parquet(paths.gold("mart_daily_demand_summary")).select(*SUMMARY_COLUMNS)
+
+
+# -- C1 / D3 / D5 ---------------------------------------------------------------------
+CLEAN_WEATHER_SQL = f"""
+SELECT w.city_name, w.country, w.latitude, w.longitude, w.time, w.temperature, w.humidity, w.wind_speed,
+       w.precipitation, w.weather_code, codes.weather, {YMD_SQL.replace('time', 'w.time')}
+FROM ({W_SQL}) w LEFT JOIN {tb.codes_values_sql()} ON codes.weather_code = w.weather_code
+WHERE w.humidity >= 3
+QUALIFY row_number() OVER (PARTITION BY w.city_name, w.country, w.time
+                           ORDER BY w.temperature DESC, w.latitude DESC, w.longitude DESC, w.humidity DESC,
+                                    w.wind_speed DESC, w.precipitation DESC, w.weather_code DESC) = 1
+"""
+
+
+@register("clean_weather_silver", CLEAN_WEATHER_SQL)
+def q_clean_weather_silver(spark, sf_dir):
+    from gridlake.operators.clean import clean_weather
+    w = tb.stage_weather(spark, sf_dir)
+    # temperature missing on some records (dropped, C1); every record twice
+    nully = w.withColumn("temperature", F.when(F.col("humidity") >= 3, F.col("temperature")))
+    enc = records.encode_records(nully.unionByName(nully))
+    return clean_weather(records.decode_weather(enc))

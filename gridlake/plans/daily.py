@@ -33,7 +33,6 @@ from gridlake.operators.clean import clean_energy, clean_weather
 from gridlake.operators.flatten import flatten_weather
 from gridlake.operators.join import join_hourly
 from gridlake.operators.loadxml import load_records, rejected_documents
-from gridlake.functions.timefmt import parse_iso
 from gridlake.sources import lake, payloads
 
 SOURCES = ("weather", "energy")
@@ -93,7 +92,7 @@ def land_payloads(spark: SparkSession, paths: Paths, start: str, end: str) -> di
     """A6/A7 -> B* -> A10: payload files of the range into bronze records."""
     counts = {}
     weather_rows = flatten_weather(payloads.read_weather_payloads(spark, paths.landing_weather))
-    weather_rows = _range_filter(weather_rows, start, end, parse_iso("time"))
+    weather_rows = payloads.restrict_hours(weather_rows, start, end, inclusive_end=False)
     energy_rows = load_records(payloads.read_load_payloads(spark, paths.landing_energy))
     energy_rows = _range_filter(energy_rows, start, end, "time")
     for source, rows in (("weather", weather_rows), ("energy", energy_rows)):
@@ -147,8 +146,8 @@ def marts_step(spark: SparkSession, paths: Paths, start: str, end: str,
     rebuilt from the (small) daily mart.  Returns the check results.
     """
     run_id = uuid.uuid4().hex[:12]
-    w = _range_filter(lake.read_silver(spark, paths.at("silver", "weather")), start, end)
-    e = _range_filter(lake.read_silver(spark, paths.at("silver", "energy")), start, end)
+    w = lake.read_silver_range(spark, paths.at("silver", "weather"), start, end)
+    e = lake.read_silver_range(spark, paths.at("silver", "energy"), start, end)
     marts = build_marts(w, e)
     joined = marts["int_weather_energy_joined"].withColumn("activity_date", F.to_date("time"))
     daily = marts["mart_daily_demand_summary"]

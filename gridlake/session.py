@@ -113,10 +113,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme for local filesystem helpers."""
-    return uri[len("file:"):] if uri.startswith("file:") else uri
-
-
 __all__ = ["build_session", "apply_pipeline_conf", "storage_conf", "scale_conf", "checkpoint_root", "shared_dir",
-           "ensure_checkpoint_dir", "local_path", "PIPELINE_CONF"]
+           "ensure_checkpoint_dir", "PIPELINE_CONF"]

@@ -19,11 +19,13 @@ def read_weather_payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.WEATHER_PAYLOAD).json(path)
 
 
-def restrict_hours(rows: DataFrame, start_date: str, end_date: str, time_col: str = "time") -> DataFrame:
-    """Keep hours of ``[start_date, end_date]`` (both days included)."""
+def restrict_hours(rows: DataFrame, start_date: str, end_date: str, time_col: str = "time",
+                   inclusive_end: bool = True) -> DataFrame:
+    """Keep hours of ``[start_date, end_date]`` (the service sends both
+    days); ``inclusive_end=False`` gives the half-open ``[start, end)``."""
     t = parse_iso(time_col) if dict(rows.dtypes)[time_col] == "string" else F.col(time_col)
-    return rows.where((F.to_date(t) >= F.lit(start_date).cast("date"))
-                      & (F.to_date(t) <= F.lit(end_date).cast("date")))
+    d, hi = F.to_date(t), F.lit(end_date).cast("date")
+    return rows.where((d >= F.lit(start_date).cast("date")) & ((d <= hi) if inclusive_end else (d < hi)))
 
 
 def read_load_payloads(spark: SparkSession, path: str) -> DataFrame:
