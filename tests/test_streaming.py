@@ -72,3 +72,16 @@ def test_two_streams_side_by_side(spark, scratch):
         q.awaitTermination()
     assert spark.read.text(f"{base}/bronze/weather").count() == 1
     assert spark.read.text(f"{base}/bronze/energy").count() == len(GOOD)
+
+
+def test_processing_time_trigger_and_stop(spark, scratch):
+    """A continuous query on a 1-second trigger drains and stops cleanly."""
+    base = scratch("trigger")
+    spark.createDataFrame([(t,) for t in GOOD], "value string").write.text(f"{base}/in")
+    q = land_stream(messages.read_topic(spark, fmt="text", path=f"{base}/in"), "energy",
+                    f"{base}/bronze", f"{base}/quarantine", f"{base}/ckpt",
+                    available_now=False, processing_time="1 second")
+    q.processAllAvailable()
+    q.stop()
+    assert not q.isActive
+    assert spark.read.text(f"{base}/bronze").count() == len(GOOD)
