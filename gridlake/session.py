@@ -108,9 +108,14 @@ def shared_dir(spark: SparkSession, label: str) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable (reliable, shared storage)."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+    """Make ``DataFrame.checkpoint()`` usable (reliable, shared storage):
+    the context's folder is the one named by ``spark.checkpoint.dir``."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session without a context handle: the server's conf applies
+        return
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(checkpoint_root(spark))
 
 
 __all__ = ["build_session", "apply_pipeline_conf", "storage_conf", "scale_conf", "checkpoint_root", "shared_dir",
