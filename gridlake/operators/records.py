@@ -21,11 +21,12 @@ WEATHER_DOUBLES = ["latitude", "longitude", "temperature", "wind_speed", "precip
 WEATHER_INTS = ["humidity", "weather_code"]
 
 
-def encode_records(df: DataFrame, key_col: str | None = None) -> DataFrame:
+def encode_records(df: DataFrame, key_col: str | None = None, time_col: str | None = None) -> DataFrame:
     """``(key, value)`` rows, value = ``to_json`` of all columns.
 
     Timestamps are rendered in ISO-8601 with offset so any reader can
-    parse them.
+    parse them.  ``time_col`` also keeps that column as ``_event_time``
+    (for ordering or partitioning the messages).
     """
     cols = []
     for f in df.schema.fields:
@@ -36,7 +37,8 @@ def encode_records(df: DataFrame, key_col: str | None = None) -> DataFrame:
         else:
             cols.append(F.col(f.name))
     key = F.col(key_col).cast("string") if key_col else F.lit(None).cast("string")
-    return df.select(key.alias("key"), F.to_json(F.struct(*cols)).alias("value"))
+    extra = [F.col(time_col).alias("_event_time")] if time_col else []
+    return df.select(key.alias("key"), F.to_json(F.struct(*cols)).alias("value"), *extra)
 
 
 def decode_records(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:

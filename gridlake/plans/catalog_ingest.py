@@ -512,13 +512,20 @@ def q_table_view_refs(spark, sf_dir):
 
 
 # -- A1 / A2 / A10 / L1-L5 / L8 ---------------------------------------------------
+def arrivals(encoded, files: int = 8):
+    """Landed topic files in arrival (event-time) order, each covering a
+    contiguous stretch of time, as a topic delivers them."""
+    return encoded.repartitionByRange(files, "_event_time").sortWithinPartitions("_event_time").select("value")
+
+
+
 @register("stream_ingest", f"SELECT city_name, country, time, load_mw FROM ({E_SQL})")
 def q_stream_ingest(spark, sf_dir):
     from gridlake.streaming.ingest import land_stream
     base = shared_dir(spark, "stream-energy")
     landing = f"{base}/landing"
-    records.encode_records(tb.stage_energy(spark, sf_dir)).select("value").write.text(landing)
-    src = messages.read_topic(spark, fmt="text", path=landing, max_per_trigger=2)
+    arrivals(records.encode_records(tb.stage_energy(spark, sf_dir), time_col="time")).write.text(landing)
+    src = messages.read_topic(spark, fmt="text", path=landing, max_per_trigger=4)
     q = land_stream(src, "energy", f"{base}/bronze", f"{base}/quarantine", f"{base}/_checkpoint")
     q.awaitTermination()
     bronze = lake.read_bronze(spark, f"{base}/bronze", schemas.ENERGY_RECORD)
@@ -532,13 +539,13 @@ def q_stream_dedup(spark, sf_dir):
     from gridlake.streaming.ingest import dedup_stream
     base = shared_dir(spark, "stream-dedup")
     landing = f"{base}/landing"
-    enc = records.encode_records(tb.stage_energy(spark, sf_dir)).select("value")
+    enc = arrivals(records.encode_records(tb.stage_energy(spark, sf_dir), time_col="time"))
     enc.write.text(f"{landing}/copy=1")
     enc.write.text(f"{landing}/copy=2")  # the whole topic replayed once
-    src = messages.read_topic(spark, fmt="text", path=f"{landing}/*", max_per_trigger=1)
+    src = messages.read_topic(spark, fmt="text", path=f"{landing}/*", max_per_trigger=4)
     typed = records.valid_rows(records.decode_energy(src))
-    deduped = dedup_stream(typed.select(*ENERGY_COLS), ["city_name", "country", "time"])
-    q = (deduped.writeStream.format("parquet").option("path", f"{base}/out")
+    deduped = dedup_stream(typed.select(*ENERGY_COLS, "ingest_ts"), ["city_name", "country", "time"])
+    q = (deduped.drop("ingest_ts").writeStream.format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").select(*ENERGY_COLS)

@@ -32,6 +32,9 @@ def land_batch(batch: DataFrame, batch_id: int, kind: str, bronze_root: str,
         valid = records.valid_rows(typed)
         dated = (valid.withColumn("year", F.year("time")).withColumn("month", F.month("time"))
                  .withColumn("day", F.dayofmonth("time")).withColumn("batch", F.lit(batch_id)))
+        # one writer per date (AQE splits a date that is too big): a batch
+        # writes one file per date it touches, not one per task and date
+        dated = dated.hint("rebalance", "year", "month", "day")
         (dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("timestampFormat", JSON_TIMESTAMP_FORMAT)
          .partitionBy("year", "month", "day", "batch").json(bronze_root))
@@ -53,7 +56,15 @@ def land_stream(source: DataFrame, kind: str, bronze_root: str, quarantine_root:
     return writer.start()
 
 
-def dedup_stream(typed: DataFrame, key: list[str], time_col: str = "time",
+def dedup_stream(typed: DataFrame, key: list[str], arrival_col: str = "ingest_ts",
                  delay: str = "7 days") -> DataFrame:
-    """Drop replayed records inside the watermark (topic retention)."""
-    return typed.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(key)
+    """Drop replays of a record that arrive within ``delay`` of it.
+
+    The watermark runs on the *arrival* time (topic timestamp), not on the
+    event time: a replay arrives within the topic retention (7 days), and
+    a genuinely new record is never older than the arrival watermark, so
+    late events are kept (they land in their own date, L5) instead of being
+    dropped as late.  State holds the keys of the last ``delay`` of
+    arrivals.
+    """
+    return typed.withWatermark(arrival_col, delay).dropDuplicatesWithinWatermark(key)
