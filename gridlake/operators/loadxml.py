@@ -35,7 +35,9 @@ def parse_documents(landed: DataFrame, xml_col: str = "xml") -> DataFrame:
     """One row per period, or a reason when the document is unusable."""
     doc = F.from_xml(F.col(xml_col), schemas.LOAD_DOCUMENT, XML_OPTIONS)
     keep = [c for c in landed.columns if c != xml_col]
-    parsed = landed.select(*keep, F.col(xml_col).alias("raw"), doc.alias("_doc"))
+    # generator boundary: later filters on the document cannot inline (and
+    # so repeat) the XML parse
+    parsed = landed.select(*keep, F.col(xml_col).alias("raw"), F.explode(F.array(doc)).alias("_doc"))
     empty = F.col("raw").isNull() | (F.trim(F.col("raw")) == "")
     reason = (F.when(empty, F.lit("empty_payload"))
               .when(F.col("_doc").isNull() | F.col("_doc.TimeSeries").isNull(), F.lit("malformed_xml")))

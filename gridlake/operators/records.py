@@ -62,8 +62,11 @@ def decode_records(df: DataFrame, schema: T.StructType, value_col: str = "value"
         got = F.col(f"_r.{name}")
         return (F.coalesce(got, F.col(f"_in_{name}").cast("string")) if name in beside else got).alias(name)
 
+    # ``explode(array(x))`` makes the parsed struct a generator output: a later
+    # filter on its fields (e.g. ``reason IS NULL``) cannot be pushed below it
+    # and inline ``from_json``, so every record is parsed exactly once.
     return (df.select(*keep, *[F.col(c).alias(f"_in_{c}") for c in beside],
-                      F.col(value_col).alias("raw"), parsed.alias("_r"))
+                      F.col(value_col).alias("raw"), F.explode(F.array(parsed)).alias("_r"))
             .select(*keep, "raw", *[field(f.name) for f in full.fields]))
 
 
