@@ -44,19 +44,36 @@ def parse_documents(landed: DataFrame, xml_col: str = "xml") -> DataFrame:
     return parsed.withColumn("doc_reason", reason)
 
 
+def period_columns(p) -> list:
+    """Normalised columns of one ``Period`` struct."""
+    res = F.coalesce(p["resolution"], F.lit("PT60M"))
+    return [p["timeInterval"]["start"].alias("start_text"),
+            parse_iso(p["timeInterval"]["start"]).alias("start"),
+            res.alias("resolution"), points_per_hour(res).alias("points_per_hour"),
+            resolution_reason(res).alias("period_reason"),
+            p["Point"].alias("points")]
+
+
 def periods(parsed: DataFrame) -> DataFrame:
     """Explode series and periods, keeping their document order."""
     keep = [c for c in parsed.columns if c not in ("raw", "_doc", "doc_reason")]
     series = parsed.where(F.col("doc_reason").isNull()).select(
         *keep, F.posexplode("_doc.TimeSeries").alias("series_pos", "_series"))
     per = series.select(*keep, "series_pos", F.posexplode("_series.Period").alias("period_pos", "_p"))
-    res = F.coalesce(F.col("_p.resolution"), F.lit("PT60M"))
-    return per.select(*keep, "series_pos", "period_pos",
-                      F.col("_p.timeInterval.start").alias("start_text"),
-                      parse_iso(F.col("_p.timeInterval.start")).alias("start"),
-                      res.alias("resolution"), points_per_hour(res).alias("points_per_hour"),
-                      resolution_reason(res).alias("period_reason"),
-                      F.col("_p.Point").alias("points"))
+    return per.select(*keep, "series_pos", "period_pos", *period_columns(F.col("_p")))
+
+
+def periods_from_rows(rows: DataFrame) -> DataFrame:
+    """Periods read one per row (XML source with ``rowTag=Period``)."""
+    keep = [c for c in rows.columns if c not in schemas.LOAD_PERIOD.fieldNames()]
+    return rows.select(*keep, *period_columns(F.struct(*[F.col(c) for c in schemas.LOAD_PERIOD.fieldNames()])))
+
+
+def load_records_from_files(spark, root: str, by_position: bool = False) -> DataFrame:
+    """A7 on raw documents: ``root/country=../city_name=../*.xml`` -> hourly load."""
+    from gridlake.sources.payloads import read_load_xml_files
+    hourly = hourly_from_periods(periods_from_rows(read_load_xml_files(spark, root)), by_position)
+    return hourly.select("city_name", "country", "time", "load_mw")
 
 
 def hourly_from_periods(per: DataFrame, by_position: bool = False) -> DataFrame:

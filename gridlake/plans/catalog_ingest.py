@@ -263,7 +263,7 @@ valid AS (SELECT *, row_number() OVER (PARTITION BY event_type, chunk ORDER BY i
 sized AS (SELECT *, CASE event_type WHEN 'view' THEN 4 WHEN 'click' THEN 2 ELSE 1 END AS n FROM valid),
 blocks AS (SELECT event_type, chunk, n, vpos // n AS block, sum(CAST(value AS DECIMAL(18,2))) AS s,
                   count(*) AS c FROM sized GROUP BY 1, 2, 3, 4)
-SELECT b.event_type || '-' || CAST(b.chunk AS VARCHAR) AS city_name, b.event_type AS country,
+SELECT {{city}} AS city_name, b.event_type AS country,
        st.start + to_hours(CAST(b.block AS BIGINT)) AS time,
        {half_up_sql('b.s', 'b.n')} AS load_mw
 FROM blocks b JOIN starts st ON st.event_type = b.event_type AND st.chunk = b.chunk
@@ -271,13 +271,26 @@ WHERE b.c = b.n
 """
 
 
+def _indexed_points(spark, sf_dir):
+    from gridlake.operators.sequence import index_within_group
+    ev = tb.events(spark, sf_dir).withColumn("k", tb.props_k())
+    return index_within_group(ev, ["event_type"], ["ts", "event_id"], "i")
+
+
+def _quantity():
+    return F.when(F.col("k") < 95, F.col("value").cast("string")).otherwise(F.lit("n/a"))
+
+
+def _resolution_of(et):
+    return (F.when(et == "view", "PT15M").when(et == "click", "PT30M").when(et == "purchase", "PT60M")
+            .when(et == "error", "PT120M"))
+
+
 def load_documents(spark, sf_dir):
     """Landed load documents built from events: one per 96 consecutive
     points of an event type (so no document grows with the table)."""
-    from gridlake.operators.sequence import index_within_group
-    ev = tb.events(spark, sf_dir).withColumn("k", tb.props_k())
-    idx = index_within_group(ev, ["event_type"], ["ts", "event_id"], "i")
-    qty = F.when(F.col("k") < 95, F.col("value").cast("string")).otherwise(F.lit("n/a"))
+    idx = _indexed_points(spark, sf_dir)
+    qty = _quantity()
     point = F.format_string("<Point><position>%d</position><quantity>%s</quantity></Point>",
                             (F.col("i") % DOC_POINTS + 1).cast("int"), qty)
     docs = (idx.groupBy("event_type", (F.col("i") / DOC_POINTS).cast("long").alias("chunk"))
@@ -298,7 +311,7 @@ def load_documents(spark, sf_dir):
                        xml.alias("xml"))
 
 
-@register("xml_block_mean", XML_SQL)
+@register("xml_block_mean", XML_SQL.replace("{city}", "b.event_type || '-' || CAST(b.chunk AS VARCHAR)"))
 def q_xml_block_mean(spark, sf_dir):
     from gridlake.operators.loadxml import load_records
     landing = shared_dir(spark, "landing-load")
@@ -306,6 +319,29 @@ def q_xml_block_mean(spark, sf_dir):
     return load_records(payloads.read_load_payloads(spark, landing))
 
 
+def load_periods(spark, sf_dir):
+    """The same documents as ``load_documents``, as ``Period`` rows for
+    the XML writer (one folder per event type)."""
+    idx = _indexed_points(spark, sf_dir)
+    et = F.col("event_type")
+    point = F.struct((F.col("i") % DOC_POINTS + 1).cast("int").alias("position"), _quantity().alias("quantity"))
+    per = (idx.groupBy("event_type", (F.col("i") / DOC_POINTS).cast("long").alias("chunk"))
+           .agg(F.min("ts").alias("first_ts"), F.collect_list(F.struct("i", point.alias("p"))).alias("pts")))
+    start = period_start(F.date_trunc("hour", F.col("first_ts").cast("timestamp")))
+    return per.select(et.alias("country"), et.alias("city_name"),
+                      F.struct(start.alias("start"), F.lit(None).cast("string").alias("end")).alias("timeInterval"),
+                      _resolution_of(et).alias("resolution"),
+                      F.transform(F.array_sort("pts"), lambda x: x["p"]).alias("Point"))
+
+
+@register("xml_files_block_mean", XML_SQL.replace("{city}", "b.event_type"))
+def q_xml_files_block_mean(spark, sf_dir):
+    from gridlake.operators.loadxml import load_records_from_files
+    root = shared_dir(spark, "landing-load-xml")
+    payloads.write_load_xml_files(load_periods(spark, sf_dir), root)
+    return load_records_from_files(spark, root)
+
+
 # -- A6 / B1 / B2 / B3 / B4 ----------------------------------------------------
 PAYLOAD_HOURS = 24
 FLATTEN_SQL = f"""

@@ -107,6 +107,11 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/gridlake/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def local_fs_path(uri: str) -> str:
+    """Path of a ``file:`` URI for plain file I/O in tests and fixtures."""
+    return uri[len("file:"):] if uri.startswith("file:") else uri
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable (reliable, shared storage):
     the context's folder is the one named by ``spark.checkpoint.dir``."""

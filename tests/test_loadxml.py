@@ -48,3 +48,22 @@ def test_bad_documents_are_quarantined(spark):
 def test_rounding_half_up(spark):
     got = _run(spark, [load_xml([("2026-03-03T00:00Z", "PT30M", ["1.00", "1.01"])])])
     assert got[0].load_mw == 1.01
+
+
+def test_raw_xml_files_match_landed_rows(spark, scratch):
+    """A7 via Spark's XML source: country/city from folders, same hours."""
+    import os
+    from gridlake.operators.loadxml import load_records_from_files
+    from gridlake.session import local_fs_path
+    root = scratch("xmlfiles")
+    doc = load_xml([("2026-03-03T00:00Z", "PT15M", ["10", "20", "30", "41", "50"]),
+                    ("2026-03-04T00:00Z", None, ["1", "2"])])
+    folder = local_fs_path(f"{root}/country=DE/city_name=Berlin")
+    os.makedirs(folder)
+    with open(f"{folder}/doc.xml", "w") as fh:
+        fh.write(doc)
+    with open(f"{folder}/broken.xml", "w") as fh:
+        fh.write("<bad")
+    got = sorted((r.city_name, r.country, r.time, r.load_mw) for r in load_records_from_files(spark, root).collect())
+    want = sorted((r.city_name, r.country, r.time, r.load_mw) for r in _run(spark, [doc]))
+    assert got == want and len(got) == 3
