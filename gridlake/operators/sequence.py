@@ -6,20 +6,21 @@ a single task; a group holding a third of the data would then run on one
 core.  Here only the key columns are range-partitioned on ``(g, o)``, so a
 big group is cut across many partitions (slices):
 
-1. range-partition the keys, sort inside partitions, and tag each key with
+1. range-partition the rows, sort inside partitions, and tag each row with
    its slice (partition id) and ``monotonically_increasing_id``, which grows
    with the global order;
-2. ``checkpoint()`` the tagged keys into the shared checkpoint folder: the
+2. ``checkpoint()`` the tagged rows into the shared checkpoint folder: the
    range bounds are sampled once, and every later read (and any recompute
    after a lost executor) sees the same slices and ids;
 3. per (group, slice): first id and row count - at most
    ``slices + groups`` rows - and a running sum of the counts over the
    slices of a group gives each slice's offset;
-4. position = offset + (id - first id of the slice), joined back to the
-   rows on the key.
+4. position = offset + (id - first id of the slice): a join of the rows
+   with that small table on (group, slice), which AQE broadcasts once it has
+   measured it.
 
 ``order`` must make the order total inside a group (end it with a unique
-column): the key then identifies exactly one row for the join back.
+column) so that positions are deterministic.
 """
 
 from __future__ import annotations
@@ -36,10 +37,9 @@ def index_within_group(df: DataFrame, group: list[str], order: list[str],
                        index_col: str = "idx", num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    key_cols = group + order
+    keys = [F.col(c) for c in group + order]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c) for c in key_cols]
-    tagged = (df.select(*keys).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_slice", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
@@ -47,8 +47,9 @@ def index_within_group(df: DataFrame, group: list[str], order: list[str],
               .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
     before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    positions = (tagged.join(slices.select(*group, "_slice", "_first", "_offset"), group + ["_slice"])
-                 .select(*[F.col(c).alias(f"_k_{c}") for c in key_cols],
-                         (F.col("_offset") + F.col("_mid") - F.col("_first")).alias(index_col)))
-    cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(positions[f"_k_{c}"]) for c in key_cols])
-    return df.join(positions, cond, "inner").drop(*[f"_k_{c}" for c in key_cols])
+    small = slices.select(*[F.col(c).alias(f"_s_{c}") for c in group],
+                          F.col("_slice").alias("_s_slice"), "_first", "_offset")
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in group]
+                  + [F.col("_slice") == F.col("_s_slice")])
+    out = tagged.join(small, cond, "inner")
+    return out.select(*df.columns, (F.col("_offset") + F.col("_mid") - F.col("_first")).alias(index_col))
