@@ -58,3 +58,14 @@ def test_gate_blocks_publishing(spark, scratch):
         run_range(spark, root, DAY, "2026-03-14", accepted_countries=["FR"])
     with pytest.raises(Exception):
         spark.read.parquet(paths.gold("mart_daily_demand_summary")).count()
+
+
+def test_command_line_run_day(spark, scratch, capsys):
+    import json
+
+    from gridlake.__main__ import main
+    root = scratch("cli")
+    _land(spark, root)
+    assert main(["run-day", "--root", root, "--day", DAY]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["silver"] == {"weather": 24, "energy": 10}
