@@ -1,4 +1,5 @@
-"""Command line: ``spark-submit -m gridlake <command> ...`` or ``python -m gridlake``.
+"""Command line: ``python -m gridlake <command> ...``, or on a cluster
+``spark-submit --py-files gridlake.zip gridlake/__main__.py <command> ...``.
 
   run-day     --root URI --day YYYY-MM-DD [--no-land]
   run-range   --root URI --start YYYY-MM-DD --end YYYY-MM-DD [--no-land]
@@ -13,6 +14,11 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
+import sys
+
+if not __package__:  # run as a file by spark-submit: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def main(argv: list[str] | None = None) -> int:
