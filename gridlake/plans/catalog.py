@@ -7,9 +7,12 @@ through ``gridlake.plans.testbed``.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlake.plans import testbed as tb
 
@@ -17,9 +20,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def naive_utc(df: DataFrame) -> DataFrame:
+    """Instants as UTC wall-clock ``timestamp_ntz``, the type of a SQL
+    ``TIMESTAMP`` (without time zone) in the oracle."""
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def register(name: str, sql: str | None):
     def wrap(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return naive_utc(fn(spark, sf_dir))
+        QUERIES[name] = query
         if sql is not None:
             ORACLES[name] = sql.strip()
         return fn

@@ -65,7 +65,7 @@ def stage_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # SQL text of the same mapping, shared by every oracle query.
 CITY_VALUES_SQL = "(VALUES " + ", ".join(
-    f"({i}, '{c}', '{k}', {lat}, {lon})" for i, c, k, lat, lon in dims.city_rows()
+    f"({i}, '{c}', '{k}', CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))" for i, c, k, lat, lon in dims.city_rows()
 ) + ") AS dim_city(ord, city_name, country, latitude, longitude)"
 
 STAGE_WEATHER_SQL = f"""

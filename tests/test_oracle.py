@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_ORACLE
-from tools.oracle_check import duck, rows_of
+from tools.oracle_check import duck, rows_of, type_diffs
 
 NAMES = sorted(entry.oracle_sql())
 
@@ -20,4 +20,5 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(entry.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
+    assert type_diffs(df, con, entry.oracle_sql()[name]) == []
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(dcols, res.fetchall())
