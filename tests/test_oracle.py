@@ -19,6 +19,7 @@ def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_ORACLE)
     res = con.execute(entry.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
+    drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
     assert type_diffs(df, con, entry.oracle_sql()[name]) == []
-    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(dcols, res.fetchall())
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(dcols, drows)
