@@ -24,8 +24,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridlake import dims
+from gridlake import dims, schemas
 from gridlake.operators import quality, records
 from gridlake.operators.aggregate import daily_summary_from_sides
 from gridlake.operators.anomaly import anomaly_days_grouped
@@ -36,6 +37,8 @@ from gridlake.operators.loadxml import load_records, rejected_documents
 from gridlake.sources import lake, payloads
 
 SOURCES = ("weather", "energy")
+BRONZE_TEXT = T.StructType([T.StructField("value", T.StringType())]
+                           + [T.StructField(c, T.IntegerType()) for c in ("year", "month", "day", "batch")])
 NOT_NULL = {
     "stg_weather": ["city_name", "country", "time", "temperature"],
     "stg_energy": ["city_name", "country", "time", "load_mw"],
@@ -117,7 +120,7 @@ def silver_step(spark: SparkSession, paths: Paths, start: str, end: str) -> dict
     """Decode, type, quarantine, clean and deduplicate the range (C*, D*, J1)."""
     out = {}
     for source in SOURCES:
-        text = _range_filter(spark.read.text(paths.at("bronze", source)), start, end)
+        text = lake.read_day_range(spark, paths.at("bronze", source), start, end, "text", BRONZE_TEXT)
         decode = records.decode_weather if source == "weather" else records.decode_energy
         typed = decode(text.select("value"))
         clean = clean_weather if source == "weather" else clean_energy
@@ -146,8 +149,8 @@ def marts_step(spark: SparkSession, paths: Paths, start: str, end: str,
     rebuilt from the (small) daily mart.  Returns the check results.
     """
     run_id = uuid.uuid4().hex[:12]
-    w = lake.read_silver_range(spark, paths.at("silver", "weather"), start, end)
-    e = lake.read_silver_range(spark, paths.at("silver", "energy"), start, end)
+    w = lake.read_silver_range(spark, paths.at("silver", "weather"), start, end, schemas.SILVER_WEATHER)
+    e = lake.read_silver_range(spark, paths.at("silver", "energy"), start, end, schemas.SILVER_ENERGY)
     marts = build_marts(w, e)
     joined = marts["int_weather_energy_joined"].withColumn("activity_date", F.to_date("time"))
     daily = marts["mart_daily_demand_summary"]

@@ -12,6 +12,9 @@ the data over many tasks (no single hot writer).
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,9 +76,46 @@ def read_silver(spark: SparkSession, root: str, schema: T.StructType | None = No
     return reader.parquet(root)
 
 
-def read_silver_range(spark: SparkSession, root: str, start: str, end: str,
-                      schema: T.StructType | None = None) -> DataFrame:
-    """Dates ``[start, end)`` via a partition filter on ``make_date``."""
-    df = read_silver(spark, root, schema)
+def day_glob(root: str, start: str, end: str) -> str:
+    """One glob over the ``year=/month=/day=`` folders of ``[start, end)``.
+
+    Only matching folders are listed (not the whole history); the glob may
+    match a few extra days of the same months, which the exact date filter
+    of ``read_day_range`` removes.
+    """
+    lo, hi = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days)]
+    if not days:
+        raise ValueError(f"empty date range [{start}, {end})")
+
+    def alt(values):
+        return "{" + ",".join(str(v) for v in sorted(set(values))) + "}"
+
+    return (f"{root.rstrip('/')}/year={alt(d.year for d in days)}/month={alt(d.month for d in days)}"
+            f"/day={alt(d.day for d in days)}")
+
+
+def read_day_range(spark: SparkSession, root: str, start: str, end: str, fmt: str = "parquet",
+                   schema: T.StructType | None = None) -> DataFrame:
+    """Rows of the dates ``[start, end)`` of a date-partitioned folder.
+
+    Lists only the range's folders; ``schema`` (data + partition columns)
+    is used for an empty range.
+    """
+    reader = spark.read.format(fmt).option("basePath", root.rstrip("/"))
+    if schema is not None and fmt != "text":
+        reader = reader.schema(schema)
+    try:
+        df = reader.load(day_glob(root, start, end))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) or schema is None:
+            raise
+        return spark.createDataFrame([], schema)
     d = F.make_date("year", "month", "day")
     return df.where((d >= F.lit(start).cast("date")) & (d < F.lit(end).cast("date")))
+
+
+def read_silver_range(spark: SparkSession, root: str, start: str, end: str,
+                      schema: T.StructType | None = None) -> DataFrame:
+    """Silver rows of the dates ``[start, end)`` (listing only those days)."""
+    return read_day_range(spark, root, start, end, "parquet", schema)
