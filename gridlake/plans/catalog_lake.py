@@ -27,10 +27,7 @@ def q_stage_scan(spark, sf_dir):
 def q_partition_day(spark, sf_dir):
     root = shared_dir(spark, "silver-energy")
     lake.write_partitioned(energy_silver(spark, sf_dir), root)
-    d = F.lit("2024-01-15").cast("date")
-    silver = lake.read_silver(spark, root)
-    return silver.where((F.col("year") == F.year(d)) & (F.col("month") == F.month(d))
-                        & (F.col("day") == F.dayofmonth(d))).select(*SILVER_ENERGY_COLUMNS)
+    return lake.read_day_range(spark, root, "2024-01-15", "2024-01-16").select(*SILVER_ENERGY_COLUMNS)
 
 # -- I2 / N6 -------------------------------------------------------------------
 @register("rerun_idempotent", f"SELECT *, {YMD_SQL} FROM ({E_SQL})")

@@ -64,10 +64,10 @@ def read_bronze(spark: SparkSession, root: str, schema: T.StructType) -> DataFra
 
 
 def read_bronze_day(spark: SparkSession, root: str, schema: T.StructType, day: str) -> DataFrame:
-    """One date, selected by partition filters (pruned at listing)."""
-    d = F.lit(day).cast("date")
-    return read_bronze(spark, root, schema).where(
-        (F.col("year") == F.year(d)) & (F.col("month") == F.month(d)) & (F.col("day") == F.dayofmonth(d)))
+    """One date: only its folder is listed, plus the partition filter."""
+    full = T.StructType(schema.fields + [T.StructField(p, T.IntegerType(), True) for p in PARTS])
+    nxt = (dt.date.fromisoformat(day) + dt.timedelta(days=1)).isoformat()
+    return read_day_range(spark, root, day, nxt, "json", full)
 
 
 def read_silver(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
