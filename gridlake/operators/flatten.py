@@ -37,6 +37,11 @@ def unknown_codes(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("weather").isNull())
 
 
-def lookup_codes_join(rows: DataFrame, codes: DataFrame) -> DataFrame:
-    """E3 as a join: left join to the (28-row, fixed) code dimension."""
-    return rows.drop("weather").join(F.broadcast(codes), "weather_code", "left")
+def lookup_codes_join(rows: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """E3 as a join: left join to the code dimension.
+
+    The fixed 28-row table (default) is broadcast; a caller-supplied table
+    is joined normally and broadcast by AQE only once its size is measured.
+    """
+    dim = F.broadcast(dims.dim_weather_code(rows.sparkSession)) if codes is None else codes
+    return rows.drop("weather").join(dim, "weather_code", "left")

@@ -72,6 +72,7 @@ def q_block_mean(spark, sf_dir):
 
 # -- A7 / B5-B8 / B11-B13 ------------------------------------------------------
 DOC_POINTS = 96
+# Fixed value: default XML namespace of load documents (IEC 62325-451-6); parsing ignores it.
 XML_NS = "urn:iec62325.351:tc57wg16:451-6:generationloaddocument:3:0"
 XML_SQL = f"""
 WITH base AS (

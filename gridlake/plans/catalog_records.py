@@ -101,7 +101,7 @@ def q_json_props(spark, sf_dir):
 def q_entity_enrich(spark, sf_dir):
     from gridlake.operators.join import enrich_with_city
     ev = tb.events(spark, sf_dir).withColumn("ord", (F.col("user_id") % tb.N_CITIES).cast("int"))
-    return enrich_with_city(ev, dims.dim_city(spark)).select(
+    return enrich_with_city(ev).select(
         "event_id", "city_name", "country", "latitude", "longitude")
 
 # -- A9 / B3 / E3 --------------------------------------------------------------
@@ -117,7 +117,7 @@ LEFT JOIN {tb.codes_values_sql()} ON codes.weather_code = e.weather_code
 def q_code_lookup(spark, sf_dir):
     from gridlake.operators.flatten import lookup_codes_join
     ev = tb.events(spark, sf_dir).select("event_id", tb.props_k().alias("weather_code"))
-    out = lookup_codes_join(ev, dims.dim_weather_code(spark))
+    out = lookup_codes_join(ev)
     status = F.when(F.col("weather").isNull(), "quarantine").otherwise("valid")
     return out.select("event_id", "weather_code", "weather", status.alias("status"))
 

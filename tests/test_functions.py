@@ -49,7 +49,5 @@ def test_local_time_to_utc(spark):
 
 def test_storage_conf_passthrough():
     from gridlake.session import storage_conf
-    got = storage_conf({"fs.azure.account.auth.type.acct.dfs.core.windows.net": "SharedKey",
-                        "spark.sql.shuffle.partitions": "4"})
-    assert got == {"spark.hadoop.fs.azure.account.auth.type.acct.dfs.core.windows.net": "SharedKey",
-                   "spark.sql.shuffle.partitions": "4"}
+    got = storage_conf({"fs.s3a.endpoint": "http://store.example:9000", "spark.sql.shuffle.partitions": "4"})
+    assert got == {"spark.hadoop.fs.s3a.endpoint": "http://store.example:9000", "spark.sql.shuffle.partitions": "4"}
