@@ -1,12 +1,14 @@
-"""Exact decimal arithmetic for the published 2-decimal figures.
+"""Exact arithmetic for the published 2-decimal figures.
 
 Measures carry at most two decimals (loads are rounded to 2 dp when they
-are made, temperatures have one).  Summing them as ``decimal(18,2)`` is
-exact and independent of summation order, so a daily mean computed from
-``exact sum / count`` and rounded half-up is the same on every engine and
-every partitioning.  Plain ``avg`` over doubles would differ in the last
-bit between runs with different partition layouts, and ties at the third
-decimal would then round either way.
+are made, temperatures have one).  Each reading becomes integer cents,
+``round(x * 100)`` as a ``bigint``, and sums are plain ``bigint`` sums:
+exact, narrow (8 bytes in a shuffle row), fast to add, and independent of
+summation order and partitioning.  ``round`` acts on the binary value of
+``x * 100`` in Spark and in SQL engines alike; a ``decimal`` cast would
+round a double by its printed form in Spark (0.145 -> 0.15) but by its
+binary value elsewhere (0.14).  A daily mean is then the exact cents
+total over the count, rounded half away from zero.
 """
 
 from __future__ import annotations
@@ -14,32 +16,48 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MEASURE_DECIMAL = "decimal(18,2)"
 PUBLISHED_DECIMAL = "decimal(10,2)"
 
 
-def sum_dec(col) -> Column:
-    """Exact sum of a 2-decimal measure (``decimal(28,2)``)."""
-    return F.sum(F.col(col).cast(MEASURE_DECIMAL) if isinstance(col, str) else col.cast(MEASURE_DECIMAL))
+def _col(col) -> Column:
+    return F.col(col) if isinstance(col, str) else col
 
 
-def half_up_mean(total: Column, count: Column) -> Column:
-    """``total / count`` rounded half away from zero to 2 decimals (double).
+def cents(col) -> Column:
+    """Per-reading integer cents of a 2-decimal measure (``bigint``)."""
+    return F.round(_col(col).cast("double") * 100).cast("long")
+
+
+def sum_cents(col) -> Column:
+    """Aggregate: exact sum in cents (``bigint``; overflow raises under ANSI)."""
+    return F.sum(cents(col))
+
+
+def half_up_mean_cents(total_cents: Column, count: Column) -> Column:
+    """``total_cents / count`` in units, rounded half away from zero to 2
+    decimals, as a double; NULL when ``count`` is 0.
 
-    ``total`` is an exact decimal sum with 2 decimals.  The rounding runs
-    on integer cents (``(2|c| + n) div 2n``), so ties such as 2.01 / 2 are
-    decided exactly, and the final ``q / 100`` is one correctly rounded
-    IEEE division: the same value on any engine and any partitioning.
-    NULL when ``count`` is 0.
+    The rounding runs on integers (``(2|c| + n) div 2n``), so ties such as
+    2.01 / 2 are decided exactly, and the final ``q / 100`` is one correctly
+    rounded IEEE division: the same value on any engine and partitioning.
     """
-    cents = (total * 100).cast("decimal(38,0)")
-    q = F.call_function("div", F.abs(cents) * 2 + count, count * 2)
-    return F.when(count > 0, F.when(cents < 0, -q).otherwise(q).cast("double") / 100)
+    q = F.call_function("div", F.abs(total_cents) * 2 + count, count * 2)
+    return F.when(count > 0, F.when(total_cents < 0, -q).otherwise(q).cast("double") / 100)
+
+
+def half_up_mean(total: Column, count: Column) -> Column:
+    """Same rounding for an exact decimal ``total`` with 2 decimals."""
+    return half_up_mean_cents((total * 100).cast("decimal(38,0)"), count)
 
 
 def half_up_mean_of(col: str) -> Column:
     """Aggregate: 2-decimal mean of a measure (NULL for an empty group)."""
-    return half_up_mean(sum_dec(col), F.count(col))
+    return half_up_mean_cents(sum_cents(col), F.count(col))
+
+
+def cents_to_dec2(total_cents: Column) -> Column:
+    """Exact cents -> published ``decimal(10,2)`` (overflow raises under ANSI)."""
+    return (total_cents.cast("decimal(38,0)") / 100).cast(PUBLISHED_DECIMAL)
 
 
 def dec2(col) -> Column:
@@ -50,7 +68,7 @@ def dec2(col) -> Column:
 
 def exact_sum(col: str) -> Column:
     """Aggregate: exact sum published as ``decimal(10,2)``."""
-    return dec2(sum_dec(col))
+    return cents_to_dec2(sum_cents(col))
 
 
 def mean_and_sd_from_sums(n: Column, s: Column, ss: Column) -> tuple[Column, Column]:

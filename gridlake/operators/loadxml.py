@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake import schemas
-from gridlake.functions.numeric import half_up_mean
+from gridlake.functions.numeric import cents, half_up_mean_cents
 from gridlake.functions.resolution import points_per_hour, resolution_reason
 from gridlake.functions.timefmt import parse_iso
 
@@ -95,22 +95,20 @@ def hourly_from_periods(per: DataFrame, by_position: bool = False) -> DataFrame:
         blocks = F.filter(blocks, lambda blk: F.size(blk["pts"]) == n)
         blocks = F.transform(blocks, lambda blk: F.struct(
             blk["block"].alias("block"),
-            F.aggregate(blk["pts"], F.lit(0).cast("decimal(28,2)"),
-                        lambda acc, s: (acc + s["quantity"].try_cast("double").cast("decimal(18,2)"))
-                        .cast("decimal(28,2)")).alias("total")))
+            F.aggregate(blk["pts"], F.lit(0).cast("long"),
+                        lambda acc, s: acc + cents(s["quantity"].try_cast("double"))).alias("total")))
     else:
         n_blocks = (F.size(good) / n).cast("int")
         blocks = F.transform(
             F.sequence(F.lit(0), n_blocks - 1),
             lambda b: F.struct(
                 b.alias("block"),
-                F.aggregate(F.slice(good, b * n + 1, n), F.lit(0).cast("decimal(28,2)"),
-                            lambda acc, p: (acc + p["quantity"].try_cast("double").cast("decimal(18,2)"))
-                            .cast("decimal(28,2)")).alias("total")))
+                F.aggregate(F.slice(good, b * n + 1, n), F.lit(0).cast("long"),
+                            lambda acc, p: acc + cents(p["quantity"].try_cast("double"))).alias("total")))
         blocks = F.when(n_blocks > 0, blocks).otherwise(F.array())
     keep = [c for c in per.columns if c not in ("points", "start_text", "period_reason")]
     out = usable.select(*keep, F.inline(blocks))
-    load = half_up_mean(F.col("total"), n)
+    load = half_up_mean_cents(F.col("total"), n)
     return out.select(*keep, "block", (F.col("start") + F.make_interval(hours=F.col("block"))).alias("time"),
                       load.alias("load_mw"))
 

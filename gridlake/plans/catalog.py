@@ -56,15 +56,20 @@ FROM w JOIN e
 """
 
 
-def half_up_sql(total: str, n: str) -> str:
-    """SQL twin of ``functions.numeric.half_up_mean`` (integer cents)."""
-    cents = f"CAST(({total}) * 100 AS HUGEINT)"
-    q = f"((2 * abs({cents}) + ({n})) // (2 * ({n})))"
-    return (f"(CASE WHEN ({n}) > 0 THEN CAST(CASE WHEN {cents} < 0 THEN -{q} ELSE {q} END AS DOUBLE) / 100 END)")
+def cents_sql(c: str) -> str:
+    """SQL twin of ``functions.numeric.cents``."""
+    return f"CAST(round(CAST({c} AS DOUBLE) * 100) AS BIGINT)"
+
+
+def half_up_cents_sql(total_cents: str, n: str) -> str:
+    """SQL twin of ``functions.numeric.half_up_mean_cents``."""
+    q = f"((2 * abs({total_cents}) + ({n})) // (2 * ({n})))"
+    return (f"(CASE WHEN ({n}) > 0 THEN CAST(CASE WHEN ({total_cents}) < 0 THEN -{q} ELSE {q} END AS DOUBLE)"
+            f" / 100 END)")
 
 
 def _mean_sql(c: str) -> str:
-    return f"CAST({half_up_sql(f'sum(CAST({c} AS DECIMAL(18,2)))', f'count({c})')} AS DECIMAL(10,2))"
+    return f"CAST({half_up_cents_sql(f'sum({cents_sql(c)})', f'count({c})')} AS DECIMAL(10,2))"
 
 
 DAILY_SQL = f"""
@@ -80,7 +85,7 @@ SELECT city_name, country, CAST(time AS DATE) AS activity_date,
   CAST(min(load_mw) AS DECIMAL(10,2)) AS min_load_mw,
   CAST(max(load_mw) AS DECIMAL(10,2)) AS max_load_mw,
   {_mean_sql('load_mw')} AS avg_load_mw,
-  CAST(sum(CAST(load_mw AS DECIMAL(18,2))) AS DECIMAL(10,2)) AS total_load_mw
+  CAST(CAST(sum({cents_sql('load_mw')}) AS DECIMAL(38,0)) / 100 AS DECIMAL(10,2)) AS total_load_mw
 FROM joined
 GROUP BY city_name, country, CAST(time AS DATE)
 """
@@ -113,6 +118,12 @@ def q_join_hourly(spark, sf_dir):
 
 @register("daily_summary", f"{FLAGSHIP_CTES} SELECT * FROM daily")
 def q_daily_summary(spark, sf_dir):
+    from gridlake.operators.aggregate import daily_summary_from_load_rollup
+    return daily_summary_from_load_rollup(tb.stage_weather(spark, sf_dir), tb.stage_energy(spark, sf_dir))
+
+
+@register("daily_summary_rollups", f"{FLAGSHIP_CTES} SELECT * FROM daily")
+def q_daily_summary_rollups(spark, sf_dir):
     from gridlake.operators.aggregate import daily_summary_from_sides
     return daily_summary_from_sides(tb.stage_weather(spark, sf_dir), tb.stage_energy(spark, sf_dir))
 

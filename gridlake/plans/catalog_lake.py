@@ -86,10 +86,10 @@ def q_append_union(spark, sf_dir):
 # -- A15 / A16 / A17 --------------------------------------------------------------
 @register("table_view_refs", f"{FLAGSHIP_CTES} {ANOMALY_SQL}")
 def q_table_view_refs(spark, sf_dir):
-    from gridlake.operators.aggregate import daily_summary_from_sides
+    from gridlake.operators.aggregate import daily_summary_from_load_rollup
     from gridlake.operators.anomaly import anomaly_days
     suffix = uuid.uuid4().hex[:8]
-    daily = daily_summary_from_sides(tb.stage_weather(spark, sf_dir), tb.stage_energy(spark, sf_dir))
+    daily = daily_summary_from_load_rollup(tb.stage_weather(spark, sf_dir), tb.stage_energy(spark, sf_dir))
     tables.materialise_table(daily, f"mart_daily_demand_summary_{suffix}",
                              shared_dir(spark, "mart-daily"))
     tables.materialise_view(anomaly_days(tables.ref(spark, f"mart_daily_demand_summary_{suffix}")),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridlake.functions.resolution import points_per_hour, resolution_reason
 from gridlake.functions.timefmt import parse_iso, period_start
 from gridlake.plans import testbed as tb
-from gridlake.plans.catalog import half_up_sql, register
+from gridlake.plans.catalog import cents_sql, half_up_cents_sql, register
 from gridlake.plans.catalog_common import W_SQL
 from gridlake.session import shared_dir
 from gridlake.sources import payloads
@@ -53,9 +53,9 @@ def q_resolution_parse(spark, sf_dir):
 # -- B10 / B12 / B13 / F9 ------------------------------------------------------
 BLOCK_SQL = f"""
 SELECT event_type, day, block, day + to_hours(CAST(block AS BIGINT)) AS time,
-       {half_up_sql('s', '4')} AS load_mw, points
+       {half_up_cents_sql('s', '4')} AS load_mw, points
 FROM (
-  SELECT event_type, day, i // 4 AS block, sum(CAST(value AS DECIMAL(18,2))) AS s, count(*) AS points
+  SELECT event_type, day, i // 4 AS block, sum({cents_sql('value')}) AS s, count(*) AS points
   FROM (SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, value,
                row_number() OVER (PARTITION BY event_type, date_trunc('day', ts) ORDER BY ts, event_id) - 1 AS i
         FROM events)
@@ -84,11 +84,11 @@ starts AS (SELECT event_type, chunk, date_trunc('hour', min(ts)) AS start FROM c
 valid AS (SELECT *, row_number() OVER (PARTITION BY event_type, chunk ORDER BY i) - 1 AS vpos
           FROM chunks WHERE k < 95 AND event_type <> 'error'),
 sized AS (SELECT *, CASE event_type WHEN 'view' THEN 4 WHEN 'click' THEN 2 ELSE 1 END AS n FROM valid),
-blocks AS (SELECT event_type, chunk, n, vpos // n AS block, sum(CAST(value AS DECIMAL(18,2))) AS s,
+blocks AS (SELECT event_type, chunk, n, vpos // n AS block, sum({cents_sql('value')}) AS s,
                   count(*) AS c FROM sized GROUP BY 1, 2, 3, 4)
 SELECT {{city}} AS city_name, b.event_type AS country,
        st.start + to_hours(CAST(b.block AS BIGINT)) AS time,
-       {half_up_sql('b.s', 'b.n')} AS load_mw
+       {half_up_cents_sql('b.s', 'b.n')} AS load_mw
 FROM blocks b JOIN starts st ON st.event_type = b.event_type AND st.chunk = b.chunk
 WHERE b.c = b.n
 """

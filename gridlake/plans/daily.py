@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from gridlake import dims, schemas
 from gridlake.operators import quality, records
-from gridlake.operators.aggregate import daily_summary_from_sides
+from gridlake.operators.aggregate import daily_summary_from_load_rollup
 from gridlake.operators.anomaly import anomaly_days_grouped
 from gridlake.operators.clean import clean_energy, clean_weather
 from gridlake.operators.flatten import flatten_weather
@@ -137,7 +137,7 @@ def silver_step(spark: SparkSession, paths: Paths, start: str, end: str) -> dict
 def build_marts(weather: DataFrame, energy: DataFrame) -> dict[str, DataFrame]:
     """stg -> int_weather_energy_joined -> mart_daily_demand_summary (lazy)."""
     return {"int_weather_energy_joined": join_hourly(weather, energy),
-            "mart_daily_demand_summary": daily_summary_from_sides(weather, energy)}
+            "mart_daily_demand_summary": daily_summary_from_load_rollup(weather, energy)}
 
 
 def marts_step(spark: SparkSession, paths: Paths, start: str, end: str,

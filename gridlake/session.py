@@ -22,6 +22,7 @@ PIPELINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from gridlake.operators.aggregate import daily_summary, daily_summary_from_sides
+from gridlake.operators.aggregate import daily_summary, daily_summary_from_load_rollup, daily_summary_from_sides
 from gridlake.operators.anomaly import anomaly_days, anomaly_days_grouped
 from gridlake.operators.join import join_hourly
 from tests import fixtures as fx
@@ -39,7 +39,8 @@ def test_load_golden_values_both_plans(spark):
     w, e = _weather(spark), _energy(spark, fx.SAMPLE_LOADS)
     a = daily_summary(join_hourly(w, e)).collect()
     b = daily_summary_from_sides(w, e).collect()
-    assert a == b and len(a) == 1
+    c = daily_summary_from_load_rollup(w, e).collect()
+    assert a == b == c and len(a) == 1
     r = a[0]
     assert r.activity_date == dt.date(2026, 3, 13)
     assert (r.min_load_mw, r.max_load_mw) == (Decimal("44925.16"), Decimal("65374.97"))
@@ -54,7 +55,7 @@ def test_join_multiplies_duplicates_and_drops_unmatched(spark):
     assert j.count() == 3
     assert sorted(r.load_mw for r in j.where(F.hour("time") == 0).collect()) == [10.0, 30.0]
     both = daily_summary_from_sides(w, e).first()
-    assert both == daily_summary(j).first()
+    assert both == daily_summary(j).first() == daily_summary_from_load_rollup(w, e).first()
 
 
 def test_overflow_raises(spark):
