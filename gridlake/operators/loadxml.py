@@ -119,9 +119,9 @@ def load_records(landed: DataFrame, by_position: bool = False) -> DataFrame:
     return hourly.select("city_name", "country", "time", "load_mw")
 
 
-def rejected_documents(landed: DataFrame, source: str = "energy") -> DataFrame:
-    """Quarantine rows for unusable documents and periods."""
-    parsed = parse_documents(landed)
+def rejected_from_parsed(parsed: DataFrame, source: str = "energy") -> DataFrame:
+    """Quarantine rows for unusable documents and periods (B6, B15, Q13),
+    from the output of ``parse_documents``."""
     docs = parsed.where(F.col("doc_reason").isNotNull()).select(
         F.lit(source).alias("source"), "raw", F.col("doc_reason").alias("reason"),
         F.lit(None).cast("date").alias("event_date"))
@@ -132,3 +132,8 @@ def rejected_documents(landed: DataFrame, source: str = "energy") -> DataFrame:
         F.coalesce(F.col("period_reason"), F.lit("period_without_start")).alias("reason"),
         F.to_date("start").alias("event_date"))
     return docs.unionByName(bad)
+
+
+def rejected_documents(landed: DataFrame, source: str = "energy") -> DataFrame:
+    """Quarantine rows for unusable documents and periods of landed rows."""
+    return rejected_from_parsed(parse_documents(landed), source)

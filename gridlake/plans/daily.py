@@ -33,7 +33,7 @@ from gridlake.operators.anomaly import anomaly_days_grouped
 from gridlake.operators.clean import clean_energy, clean_weather
 from gridlake.operators.flatten import flatten_weather
 from gridlake.operators.join import join_hourly
-from gridlake.operators.loadxml import load_records, rejected_documents
+from gridlake.operators.loadxml import hourly_from_periods, parse_documents, periods, rejected_from_parsed
 from gridlake.sources import lake, payloads
 
 SOURCES = ("weather", "energy")
@@ -91,20 +91,32 @@ def _range_filter(df: DataFrame, start: str, end: str, time_col=None) -> DataFra
 
 # -- landing -> bronze (bounded payloads; the stream path is streaming.ingest) --
 
-def land_payloads(spark: SparkSession, paths: Paths, start: str, end: str) -> dict[str, int]:
-    """A6/A7 -> B* -> A10: payload files of the range into bronze records."""
+def land_payloads(spark: SparkSession, paths: Paths, start: str, end: str,
+                  run_id: str | None = None) -> dict[str, int]:
+    """A6/A7 -> B* -> A10: payload files of the range into bronze records.
+
+    Load documents are parsed once into a staged table (a written table
+    cuts the lineage); the hourly rows and the rejected documents are both
+    read from it, so no document is parsed twice.
+    """
+    run_id = run_id or uuid.uuid4().hex[:12]
     counts = {}
     weather_rows = flatten_weather(payloads.read_weather_payloads(spark, paths.landing_weather))
     weather_rows = payloads.restrict_hours(weather_rows, start, end, inclusive_end=False)
-    energy_rows = load_records(payloads.read_load_payloads(spark, paths.landing_energy))
+    parsed = parse_documents(payloads.read_load_payloads(spark, paths.landing_energy))
+    staged_path = paths.staging(run_id, "load_documents")
+    # keep the raw text only where it explains a rejection
+    (parsed.withColumn("raw", F.when(F.col("doc_reason").isNotNull(), F.col("raw")))
+     .write.mode("overwrite").parquet(staged_path))
+    staged = spark.read.schema(parsed.schema).parquet(staged_path)
+    energy_rows = hourly_from_periods(periods(staged)).select("city_name", "country", "time", "load_mw")
     energy_rows = _range_filter(energy_rows, start, end, "time")
     for source, rows in (("weather", weather_rows), ("energy", energy_rows)):
         obs = Observation(f"bronze_{source}")
         lake.write_bronze(rows.observe(obs, F.count(F.lit(1)).alias("rows")),
                           paths.at("bronze", source), mode="overwrite")
         counts[source] = obs.get["rows"]
-    rejected = rejected_documents(payloads.read_load_payloads(spark, paths.landing_energy))
-    _write_quarantine(rejected, paths.at("quarantine", "energy"), f"land:{start}:{end}")
+    _write_quarantine(rejected_from_parsed(staged), paths.at("quarantine", "energy"), f"land:{start}:{end}")
     return counts
 
 
@@ -116,17 +128,27 @@ def _write_quarantine(rows: DataFrame, root: str, run: str) -> None:
 
 # -- bronze -> silver ----------------------------------------------------------------
 
-def silver_step(spark: SparkSession, paths: Paths, start: str, end: str) -> dict[str, int]:
-    """Decode, type, quarantine, clean and deduplicate the range (C*, D*, J1)."""
+def silver_step(spark: SparkSession, paths: Paths, start: str, end: str,
+                run_id: str | None = None) -> dict[str, int]:
+    """Decode, type, quarantine, clean and deduplicate the range (C*, D*, J1).
+
+    Records are decoded once into a staged table; silver (valid rows) and
+    the quarantine (rejected rows with their raw text) both read it.
+    """
+    run_id = run_id or uuid.uuid4().hex[:12]
     out = {}
     for source in SOURCES:
         text = lake.read_day_range(spark, paths.at("bronze", source), start, end, "text", BRONZE_TEXT)
         decode = records.decode_weather if source == "weather" else records.decode_energy
         typed = decode(text.select("value"))
+        staged_path = paths.staging(run_id, f"typed_{source}")
+        (typed.withColumn("raw", F.when(F.col("reason").isNotNull(), F.col("raw")))
+         .write.mode("overwrite").parquet(staged_path))
+        staged = spark.read.schema(typed.schema).parquet(staged_path)
         clean = clean_weather if source == "weather" else clean_energy
         obs = Observation(f"silver_{source}")
-        lake.write_partitioned(clean(typed), paths.at("silver", source), observation=obs)
-        _write_quarantine(records.quarantine_rows(typed, source), paths.at("quarantine", source),
+        lake.write_partitioned(clean(staged), paths.at("silver", source), observation=obs)
+        _write_quarantine(records.quarantine_rows(staged, source), paths.at("quarantine", source),
                           f"silver:{start}:{end}")
         out[source] = obs.get["rows"]
     return out
@@ -141,14 +163,14 @@ def build_marts(weather: DataFrame, energy: DataFrame) -> dict[str, DataFrame]:
 
 
 def marts_step(spark: SparkSession, paths: Paths, start: str, end: str,
-               accepted_countries: list[str] | None = None) -> DataFrame:
+               accepted_countries: list[str] | None = None, run_id: str | None = None) -> DataFrame:
     """Rebuild the marts for ``[start, end)``, check them, then publish.
 
     The joined and daily marts are date-partitioned and replaced only for
     the range; the anomaly mart depends on every day of a country and is
     rebuilt from the (small) daily mart.  Returns the check results.
     """
-    run_id = uuid.uuid4().hex[:12]
+    run_id = run_id or uuid.uuid4().hex[:12]
     w = lake.read_silver_range(spark, paths.at("silver", "weather"), start, end, schemas.SILVER_WEATHER)
     e = lake.read_silver_range(spark, paths.at("silver", "energy"), start, end, schemas.SILVER_ENERGY)
     marts = build_marts(w, e)
@@ -193,11 +215,12 @@ def run_range(spark: SparkSession, root: str, start: str, end: str, land: bool =
               accepted_countries: list[str] | None = None) -> dict:
     """One job per step for the whole range ``[start, end)``."""
     paths = Paths(root.rstrip("/"))
-    report = {}
+    run_id = uuid.uuid4().hex[:12]
+    report = {"run": run_id}
     if land:
-        report["bronze"] = land_payloads(spark, paths, start, end)
-    report["silver"] = silver_step(spark, paths, start, end)
-    checks = marts_step(spark, paths, start, end, accepted_countries)
+        report["bronze"] = land_payloads(spark, paths, start, end, run_id)
+    report["silver"] = silver_step(spark, paths, start, end, run_id)
+    checks = marts_step(spark, paths, start, end, accepted_countries, run_id)
     report["checks"] = {f"{r['table']}.{r['column']}.{r['check']}": r["failures"] for r in checks.collect()}
     checks.unpersist()
     return report
