@@ -203,3 +203,20 @@ def q_flatten_arrays(spark, sf_dir):
     rows = flatten_weather(payloads.read_weather_payloads(spark, landing))
     return rows.select("city_name", "country", parse_iso("time").alias("time"), "temperature", "humidity",
                        "wind_speed", "precipitation", "weather_code", "weather")
+
+
+XML_QUARANTINE_SQL = f"""
+SELECT 'energy' AS source, 'resolution_over_one_hour' AS reason, count(DISTINCT i // {DOC_POINTS}) AS documents
+FROM (SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS i FROM events)
+WHERE event_type = 'error'
+"""
+
+
+@register("xml_quarantine_counts", XML_QUARANTINE_SQL)
+def q_xml_quarantine_counts(spark, sf_dir):
+    """B6/Q13 on driver data: periods that cannot be downsampled, by reason."""
+    from gridlake.operators.loadxml import rejected_documents
+    landing = shared_dir(spark, "landing-load-q")
+    payloads.write_landed(load_documents(spark, sf_dir), landing)
+    rejected = rejected_documents(payloads.read_load_payloads(spark, landing))
+    return rejected.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("documents"))
