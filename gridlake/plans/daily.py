@@ -164,11 +164,13 @@ def build_marts(weather: DataFrame, energy: DataFrame) -> dict[str, DataFrame]:
 
 def marts_step(spark: SparkSession, paths: Paths, start: str, end: str,
                accepted_countries: list[str] | None = None, run_id: str | None = None) -> DataFrame:
-    """Rebuild the marts for ``[start, end)``, check them, then publish.
+    """Rebuild the marts for ``[start, end)``; every mart is checked before
+    it is published (Q12).  Returns the check results.
 
     The joined and daily marts are date-partitioned and replaced only for
-    the range; the anomaly mart depends on every day of a country and is
-    rebuilt from the (small) daily mart.  Returns the check results.
+    the range.  The anomaly mart depends on every day of a country, so it is
+    rebuilt from the published daily mart (small: cities x days) once the
+    range's days are in it, then checked and published as a whole.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     w = lake.read_silver_range(spark, paths.at("silver", "weather"), start, end, schemas.SILVER_WEATHER)
@@ -181,34 +183,28 @@ def marts_step(spark: SparkSession, paths: Paths, start: str, end: str,
     lake.write_partitioned(daily, paths.staging(run_id, "daily"), partition_cols=["activity_date"])
     staged_joined = spark.read.schema(joined.schema).parquet(paths.staging(run_id, "joined"))
     staged_daily = spark.read.schema(daily.schema).parquet(paths.staging(run_id, "daily"))
-    # Days outside the range come from the published mart.
-    try:
-        published = spark.read.parquet(paths.gold("mart_daily_demand_summary"))
-        outside = _range_filter(published, end, "9999-12-31", "activity_date").unionByName(
-            published.where(F.col("activity_date") < F.lit(start).cast("date")))
-        all_daily = outside.unionByName(staged_daily)
-    except Exception:  # first run: nothing published yet
-        all_daily = staged_daily
-    anomaly = anomaly_days_grouped(all_daily)
-    anomaly.write.mode("overwrite").parquet(paths.staging(run_id, "anomaly"))
-    staged_anomaly = spark.read.schema(anomaly.schema).parquet(paths.staging(run_id, "anomaly"))
 
     allowed = accepted_countries if accepted_countries is not None else [k for _, k in dims.CITIES]
     checks = quality.run_checks(
         {"stg_weather": (w, NOT_NULL["stg_weather"]), "stg_energy": (e, NOT_NULL["stg_energy"]),
          "int_weather_energy_joined": (staged_joined, NOT_NULL["int_weather_energy_joined"]),
-         "mart_daily_demand_summary": (staged_daily, NOT_NULL["mart_daily_demand_summary"]),
-         "mart_anomaly_days": (staged_anomaly, NOT_NULL["mart_anomaly_days"])},
-        countries={"stg_weather": "country", "stg_energy": "country"}, accepted=allowed)
-    checks = checks.cache()  # a handful of rows: asserted, then reported
+         "mart_daily_demand_summary": (staged_daily, NOT_NULL["mart_daily_demand_summary"])},
+        countries={"stg_weather": "country", "stg_energy": "country"}, accepted=allowed).cache()
     quality.assert_passed(checks)
-    # Publish: replace the range's partitions (anomaly mart entirely).
     lake.write_partitioned(staged_joined, paths.gold("int_weather_energy_joined"),
                            partition_cols=["activity_date"])
     lake.write_partitioned(staged_daily, paths.gold("mart_daily_demand_summary"),
                            partition_cols=["activity_date"])
+
+    published = spark.read.schema(daily.schema).parquet(paths.gold("mart_daily_demand_summary"))
+    anomaly = anomaly_days_grouped(published)
+    anomaly.write.mode("overwrite").parquet(paths.staging(run_id, "anomaly"))
+    staged_anomaly = spark.read.schema(anomaly.schema).parquet(paths.staging(run_id, "anomaly"))
+    anomaly_checks = quality.run_checks(
+        {"mart_anomaly_days": (staged_anomaly, NOT_NULL["mart_anomaly_days"])}).cache()
+    quality.assert_passed(anomaly_checks)
     staged_anomaly.write.mode("overwrite").parquet(paths.gold("mart_anomaly_days"))
-    return checks
+    return checks.unionByName(anomaly_checks)
 
 
 def run_range(spark: SparkSession, root: str, start: str, end: str, land: bool = True,
@@ -222,7 +218,6 @@ def run_range(spark: SparkSession, root: str, start: str, end: str, land: bool =
     report["silver"] = silver_step(spark, paths, start, end, run_id)
     checks = marts_step(spark, paths, start, end, accepted_countries, run_id)
     report["checks"] = {f"{r['table']}.{r['column']}.{r['check']}": r["failures"] for r in checks.collect()}
-    checks.unpersist()
     return report
 
 
