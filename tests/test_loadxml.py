@@ -67,3 +67,14 @@ def test_raw_xml_files_match_landed_rows(spark, scratch):
     got = sorted((r.city_name, r.country, r.time, r.load_mw) for r in load_records_from_files(spark, root).collect())
     want = sorted((r.city_name, r.country, r.time, r.load_mw) for r in _run(spark, [doc]))
     assert got == want and len(got) == 3
+
+
+def test_several_series_and_periods(spark):
+    """Each period is downsampled on its own, from its own start."""
+    xml = load_xml([("2026-03-03T00:00Z", "PT30M", ["1", "3", "5", "7"]),
+                    ("2026-03-03T02:00Z", "PT60M", ["10", "20"]),
+                    ("2026-03-04T00:00Z", "PT15M", ["4", "4", "4", "4", "9"])])
+    got = [(r.time, r.load_mw) for r in _run(spark, [xml])]
+    assert got == [(dt.datetime(2026, 3, 3, 0), 2.0), (dt.datetime(2026, 3, 3, 1), 6.0),
+                   (dt.datetime(2026, 3, 3, 2), 10.0), (dt.datetime(2026, 3, 3, 3), 20.0),
+                   (dt.datetime(2026, 3, 4, 0), 4.0)]

@@ -69,3 +69,36 @@ def test_command_line_run_day(spark, scratch, capsys):
     assert main(["run-day", "--root", root, "--day", DAY]) == 0
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["silver"] == {"weather": 24, "energy": 10}
+
+
+def test_rerun_of_one_day_keeps_the_others(spark, scratch):
+    """A range run, then one day rerun with corrected load: only that
+    day's partitions change in silver and gold; the anomaly mart is rebuilt."""
+    root = scratch("lake2")
+    paths = Paths(root)
+    days = ["2026-03-13", "2026-03-14"]
+    weather = [fx.weather_payload("Berlin", "DE", 52.52437, 13.41053, d, fx.SAMPLE_TEMPS, fx.SAMPLE_HUMS,
+                                  fx.SAMPLE_WINDS, [0.0] * 24, fx.SAMPLE_CODES) for d in days]
+    spark.createDataFrame([(w,) for w in weather], "value string").write.mode("overwrite").text(paths.landing_weather)
+
+    def land_load(values_by_day):
+        docs = [("DE", "Berlin", fx.load_xml([(f"{d}T00:00Z", "PT60M", [f"{v:.2f}" for v in vals])]))
+                for d, vals in values_by_day.items()]
+        spark.createDataFrame(docs, "country string, city_name string, xml string").write.mode(
+            "overwrite").json(paths.landing_energy)
+
+    land_load({days[0]: [100.0] * 24, days[1]: [200.0] * 24})
+    run_range(spark, root, days[0], "2026-03-15")
+    before = {r.activity_date.isoformat(): r.avg_load_mw
+              for r in spark.read.parquet(paths.gold("mart_daily_demand_summary")).collect()}
+    assert before == {days[0]: Decimal("100.00"), days[1]: Decimal("200.00")}
+
+    land_load({days[0]: [999.0] * 24, days[1]: [300.0] * 24})  # day 1 changed upstream too
+    run_day(spark, root, days[1])
+    after = {r.activity_date.isoformat(): r.avg_load_mw
+             for r in spark.read.parquet(paths.gold("mart_daily_demand_summary")).collect()}
+    assert after == {days[0]: Decimal("100.00"), days[1]: Decimal("300.00")}
+    silver = spark.read.parquet(paths.silver_energy)
+    assert silver.count() == 48
+    assert {r.load_mw for r in silver.where("day = 13").collect()} == {100.0}
+    assert spark.read.parquet(paths.gold("int_weather_energy_joined")).count() == 48
