@@ -49,7 +49,8 @@ def faulty_energy_records(spark, sf_dir):
     load = (F.col("value") + 1000.0).cast("string")
     et = F.col("event_type")
     good = F.struct("city_name", "country", t.alias("time"), load.alias("load_mw"))
-    value = (F.when(et == "error", F.expr("substring(to_json(struct(city_name, country)), 1, 20)"))
+    # error events: the record lost its closing brace (malformed JSON)
+    value = (F.when(et == "error", F.regexp_replace(F.to_json(good), "}$", ""))
              .when(et == "signup", F.to_json(F.struct("city_name", "country", load.alias("load_mw"))))
              .when(et == "click", F.to_json(F.struct("city_name", "country", t.alias("time"),
                                                      F.lit("n/a").alias("load_mw"))))
