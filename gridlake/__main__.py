@@ -61,7 +61,8 @@ def main(argv: list[str] | None = None) -> int:
             source = read_topic(spark, topic=topic, fmt="kafka", max_per_trigger=100_000,
                                 options={"kafka.bootstrap.servers": args.servers or "localhost:9092"})
         query = land_stream(source, args.kind, f"{root}/bronze/{args.kind}", f"{root}/quarantine/{args.kind}",
-                            f"{root}/_checkpoints/land-{args.kind}", available_now=not args.continuous)
+                            f"{root}/_checkpoints/land-{args.kind}", available_now=not args.continuous,
+                            report_root=f"{root}/reports/land-{args.kind}")
         query.awaitTermination()
         report = {"batches": len(query.recentProgress),
                   "rows": sum(p["numInputRows"] for p in query.recentProgress)}

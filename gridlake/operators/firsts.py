@@ -25,3 +25,17 @@ def per_date_first(df: DataFrame, time_col: str, order: list[str],
     return (df.groupBy(F.to_date(time_col).alias("event_date"))
             .agg(F.count(F.lit(1)).alias("records"), best)
             .select("event_date", "records", *[F.col(f"_first.{c}").alias(f"first_{c}") for c in columns]))
+
+
+def resolve_entities(names: DataFrame, candidates: DataFrame, name_col: str = "query",
+                     rank_col: str = "rank") -> DataFrame:
+    """The top-ranked candidate of every queried name supplies the
+    canonical name and coordinates (``city_name, latitude, longitude``).
+
+    The candidates are reduced to one row per name first (an aggregation),
+    so the join is 1:1 and a name with many candidates never lands whole in
+    one task.
+    """
+    top = first_per_group(candidates, [name_col], [rank_col],
+                          [c for c in candidates.columns if c not in (name_col, rank_col)])
+    return names.join(top, name_col, "left")

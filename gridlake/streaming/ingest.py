@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,10 +26,11 @@ def _typed(kind: str) -> Callable[[DataFrame], DataFrame]:
 
 
 def land_batch(batch: DataFrame, batch_id: int, kind: str, bronze_root: str,
-               quarantine_root: str) -> None:
+               quarantine_root: str, report_root: str | None = None) -> None:
     typed = _typed(kind)(batch).persist()
     try:
-        valid = records.valid_rows(typed)
+        written, rejected = Observation(f"written_{kind}_{batch_id}"), Observation(f"rejected_{kind}_{batch_id}")
+        valid = records.valid_rows(typed).observe(written, F.count(F.lit(1)).alias("rows"))
         dated = (valid.withColumn("year", F.year("time")).withColumn("month", F.month("time"))
                  .withColumn("day", F.dayofmonth("time")).withColumn("batch", F.lit(batch_id)))
         # one writer per date (AQE splits a date that is too big): a batch
@@ -38,19 +39,32 @@ def land_batch(batch: DataFrame, batch_id: int, kind: str, bronze_root: str,
         (dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("timestampFormat", JSON_TIMESTAMP_FORMAT)
          .partitionBy("year", "month", "day", "batch").json(bronze_root))
-        bad = records.quarantine_rows(typed, kind).withColumn("batch", F.lit(batch_id))
+        bad = (records.quarantine_rows(typed, kind).observe(rejected, F.count(F.lit(1)).alias("rows"))
+               .withColumn("batch", F.lit(batch_id)))
         (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch").parquet(quarantine_root))
+        if report_root:
+            # A5: what the batch delivered, one row per batch (a replay replaces it)
+            report = batch.sparkSession.createDataFrame(
+                [(kind, batch_id, written.get["rows"], rejected.get["rows"])],
+                "source string, batch long, written long, rejected long")
+            (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch").parquet(report_root))
     finally:
         typed.unpersist()
 
 
 def land_stream(source: DataFrame, kind: str, bronze_root: str, quarantine_root: str,
                 checkpoint: str, available_now: bool = True,
-                processing_time: str = "5 seconds") -> StreamingQuery:
-    """Start the landing query (L2: 5 s trigger; batch runs: availableNow)."""
+                processing_time: str = "5 seconds", report_root: str | None = None) -> StreamingQuery:
+    """Start the landing query (L2: 5 s trigger; batch runs: availableNow).
+
+    ``report_root`` receives one row per micro-batch: rows written to bronze
+    and rows rejected to the quarantine (A5).
+    """
     writer = (source.writeStream
-              .foreachBatch(lambda df, bid: land_batch(df, bid, kind, bronze_root, quarantine_root))
+              .foreachBatch(lambda df, bid: land_batch(df, bid, kind, bronze_root, quarantine_root,
+                                                       report_root))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -43,3 +43,13 @@ def test_table_checks_one_pass(spark):
     df = spark.createDataFrame([("DE", None), ("HU", 1.0), (None, 2.0)], "country string, load double")
     got = {(r.column, r.check): r.failures for r in quality.table_checks(df, "t", ["country", "load"], "country").collect()}
     assert got == {("country", "not_null"): 1, ("load", "not_null"): 1, ("country", "accepted_values"): 1}
+
+
+def test_resolve_entities_top_candidate(spark):
+    from gridlake.operators.firsts import resolve_entities
+    names = spark.createDataFrame([("Berlin",), ("Nowhere",)], "query string")
+    cands = spark.createDataFrame([("Berlin", 2, "Berlin, Maryland", 39.3, -75.2),
+                                   ("Berlin", 1, "Berlin", 52.52437, 13.41053)],
+                                  "query string, rank int, city_name string, latitude double, longitude double")
+    got = {r.query: (r.city_name, r.latitude) for r in resolve_entities(names, cands).collect()}
+    assert got == {"Berlin": ("Berlin", 52.52437), "Nowhere": (None, None)}

@@ -103,3 +103,18 @@ def test_replay_dedup_keeps_late_events(spark, scratch):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.read.parquet(f"{base}/out").count() == len(GOOD)
+
+
+def test_batch_report(spark, scratch):
+    """A5: per micro-batch, rows written to bronze and rows rejected."""
+    base = scratch("report")
+    spark.createDataFrame([(t,) for t in GOOD[:4] + BAD[:1]], "value string").coalesce(1).write.text(f"{base}/in/a")
+    spark.createDataFrame([(t,) for t in GOOD[4:] + BAD[1:]], "value string").coalesce(1).write.text(f"{base}/in/b")
+    src = messages.read_topic(spark, fmt="text", path=f"{base}/in/*", max_per_trigger=1)
+    q = land_stream(src, "energy", f"{base}/bronze", f"{base}/quarantine", f"{base}/ckpt",
+                    report_root=f"{base}/report")
+    q.awaitTermination()
+    rep = spark.read.parquet(f"{base}/report").collect()
+    assert len(rep) == 2
+    assert sum(r.written for r in rep) == spark.read.text(f"{base}/bronze").count() == len(GOOD) + 1
+    assert sum(r.rejected for r in rep) == spark.read.parquet(f"{base}/quarantine").count() == 2
