@@ -34,3 +34,36 @@ def test_positions_match_row_number(spark, rows, parts):
     got = index_within_group(df, ["g"], ["t", "id"], "pos", num_partitions=parts)
     want = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")) - 1)
     assert sorted(got.select("id", "pos").collect()) == sorted(want.select("id", "pos").collect())
+
+
+_cents_or_null = st.one_of(st.none(), st.integers(min_value=-5000, max_value=5000))
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["Berlin", "Rome"]), st.integers(0, 3), st.integers(0, 59),
+                          _cents_or_null, st.one_of(st.none(), st.integers(0, 100))), min_size=1, max_size=25),
+       st.lists(st.tuples(st.sampled_from(["Berlin", "Rome", "Paris"]), st.integers(0, 3), st.integers(0, 59),
+                          _cents_or_null), min_size=1, max_size=25))
+def test_daily_plans_agree(spark, weather_rows, energy_rows):
+    """Both roll-up plans equal aggregating the n x m join, NULLs included."""
+    import datetime as dt
+
+    from gridlake.operators.aggregate import (daily_summary, daily_summary_from_load_rollup,
+                                              daily_summary_from_sides)
+    from gridlake.operators.join import join_hourly
+    base = dt.datetime(2026, 3, 3, 22)
+
+    def money(c):
+        return None if c is None else c / 100
+
+    w = spark.createDataFrame(
+        [(c, "DE" if c == "Berlin" else "IT", base + dt.timedelta(hours=h, minutes=m), money(t), hu, 1.5, 0.25, 3)
+         for c, h, m, t, hu in weather_rows],
+        "city_name string, country string, time timestamp, temperature double, humidity int, "
+        "wind_speed double, precipitation double, weather_code int")
+    e = spark.createDataFrame(
+        [(c, "XX", base + dt.timedelta(hours=h, minutes=m), money(v)) for c, h, m, v in energy_rows],
+        "city_name string, country string, time timestamp, load_mw double")
+    want = sorted(daily_summary(join_hourly(w, e)).collect())
+    assert sorted(daily_summary_from_sides(w, e).collect()) == want
+    assert sorted(daily_summary_from_load_rollup(w, e).collect()) == want
