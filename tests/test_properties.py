@@ -67,3 +67,48 @@ def test_daily_plans_agree(spark, weather_rows, energy_rows):
     want = sorted(daily_summary(join_hourly(w, e)).collect())
     assert sorted(daily_summary_from_sides(w, e).collect()) == want
     assert sorted(daily_summary_from_load_rollup(w, e).collect()) == want
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["DE", "FR", "IT"]), st.integers(0, 40),
+                          st.one_of(st.none(), st.integers(min_value=0, max_value=10_000_000))),
+                min_size=1, max_size=40, unique_by=lambda t: (t[0], t[1])))
+def test_anomaly_forms_agree(spark, days):
+    import datetime as dt
+    from decimal import Decimal as D
+
+    from gridlake.operators.anomaly import anomaly_days, anomaly_days_grouped
+    rows = [(c, dt.date(2026, 1, 1) + dt.timedelta(days=d), None if v is None else D(v) / 100)
+            for c, d, v in days]
+    daily = spark.createDataFrame(rows, "country string, activity_date date, avg_load_mw decimal(10,2)")
+    assert sorted(anomaly_days(daily).collect()) == sorted(anomaly_days_grouped(daily).collect())
+
+
+def _expected_hours(points, per_hour):
+    """Plain-Python statement of the downsampling rules on one period."""
+    from decimal import ROUND_HALF_UP, Decimal
+    good = [Decimal(q) for q in points if q is not None and q.lstrip("-").replace(".", "", 1).isdigit()]
+    out = []
+    for b in range(len(good) // per_hour):
+        block = good[b * per_hour:(b + 1) * per_hour]
+        mean = (sum(block) / per_hour).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        out.append((b, float(mean)))
+    return out
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.sampled_from([("PT15M", 4), ("PT30M", 2), ("PT60M", 1), ("PT20M", 3)]),
+       st.lists(st.one_of(st.none(), st.just("abc"),
+                          st.integers(0, 99_999).map(lambda c: f"{c // 100}.{c % 100:02d}")),
+                max_size=30))
+def test_downsampling_matches_rules(spark, resolution, points):
+    import datetime as dt
+
+    from gridlake.operators.loadxml import load_records
+    from tests.fixtures import load_xml
+    res, per_hour = resolution
+    xml = load_xml([("2026-03-03T00:00Z", res, points)])
+    df = spark.createDataFrame([("DE", "Berlin", xml)], "country string, city_name string, xml string")
+    got = sorted((r.time, r.load_mw) for r in load_records(df).collect())
+    want = [(dt.datetime(2026, 3, 3) + dt.timedelta(hours=b), m) for b, m in _expected_hours(points, per_hour)]
+    assert got == want
