@@ -112,3 +112,32 @@ def test_downsampling_matches_rules(spark, resolution, points):
     got = sorted((r.time, r.load_mw) for r in load_records(df).collect())
     want = [(dt.datetime(2026, 3, 3) + dt.timedelta(hours=b), m) for b, m in _expected_hours(points, per_hour)]
     assert got == want
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["Berlin", "Rome"]), st.integers(0, 3), st.booleans(),
+                          st.one_of(st.none(), st.integers(0, 9999)), st.one_of(st.none(), st.integers(0, 5))),
+                min_size=1, max_size=30))
+def test_clean_energy_matches_brute_force(spark, recs):
+    """Typing, NULL dropping and one survivor per (city, country, instant)."""
+    import datetime as dt
+    import json
+
+    from gridlake.operators import records
+    from gridlake.operators.clean import clean_energy
+    texts, best = [], {}
+    for city, hour, zoned, cents, arrival in recs:
+        t = f"2026-03-03T0{hour}:00" + (":00+00:00" if zoned else "")
+        load = None if cents is None else cents / 100
+        ingest = None if arrival is None else f"2026-03-04T0{arrival}:00:00Z"
+        texts.append(json.dumps({"city_name": city, "country": "DE", "time": t, "load_mw": load,
+                                 "ingest_ts": ingest}))
+        if load is None:
+            continue
+        key = (city, dt.datetime(2026, 3, 3, hour))
+        rank = (arrival is not None, arrival or 0, load)
+        if key not in best or rank > best[key][0]:
+            best[key] = (rank, load)
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = sorted((r.city_name, r.time, r.load_mw) for r in clean_energy(records.decode_energy(df)).collect())
+    assert got == sorted((c, t, v) for (c, t), (_, v) in best.items())
