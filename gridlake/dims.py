@@ -128,3 +128,19 @@ def first_city_per_country(cities: DataFrame) -> DataFrame:
             .agg(F.min_by(F.struct("ord", "city_name"), "ord").alias("first"))
             .select("country", F.col("first.city_name").alias("city_name"),
                     F.col("first.ord").alias("ord")))
+
+
+def canonical_city_names(rows: DataFrame) -> DataFrame:
+    """Q10: the city name of a row is the city list's name for its country.
+
+    Payload services may spell a city differently (``Wien`` / ``Vienna``);
+    the hourly join matches on the name, so every source takes the name
+    from the fixed list (one city per country there).  Rows of a country
+    not in the list keep their own name.  The list is 9 literal rows, so it
+    is broadcast.
+    """
+    names = F.broadcast(first_city_per_country(dim_city(rows.sparkSession))
+                        .select(F.col("country").alias("_c_country"), F.col("city_name").alias("_c_name")))
+    cols = [F.coalesce(F.col("_c_name"), F.col("city_name")).alias("city_name") if c == "city_name" else F.col(c)
+            for c in rows.columns]
+    return rows.join(names, rows["country"] == names["_c_country"], "left").select(*cols)

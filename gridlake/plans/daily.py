@@ -92,7 +92,7 @@ def _range_filter(df: DataFrame, start: str, end: str, time_col=None) -> DataFra
 # -- landing -> bronze (bounded payloads; the stream path is streaming.ingest) --
 
 def land_payloads(spark: SparkSession, paths: Paths, start: str, end: str,
-                  run_id: str | None = None) -> dict[str, int]:
+                  run_id: str | None = None, canonical_names: bool = True) -> dict[str, int]:
     """A6/A7 -> B* -> A10: payload files of the range into bronze records.
 
     Load documents are parsed once into a staged table (a written table
@@ -112,6 +112,7 @@ def land_payloads(spark: SparkSession, paths: Paths, start: str, end: str,
     energy_rows = hourly_from_periods(periods(staged)).select("city_name", "country", "time", "load_mw")
     energy_rows = _range_filter(energy_rows, start, end, "time")
     for source, rows in (("weather", weather_rows), ("energy", energy_rows)):
+        rows = dims.canonical_city_names(rows) if canonical_names else rows
         obs = Observation(f"bronze_{source}")
         lake.write_bronze(rows.observe(obs, F.count(F.lit(1)).alias("rows")),
                           paths.at("bronze", source), mode="overwrite")

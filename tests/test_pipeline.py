@@ -102,3 +102,13 @@ def test_rerun_of_one_day_keeps_the_others(spark, scratch):
     assert silver.count() == 48
     assert {r.load_mw for r in silver.where("day = 13").collect()} == {100.0}
     assert spark.read.parquet(paths.gold("int_weather_energy_joined")).count() == 48
+
+
+def test_city_spelling_is_canonical(spark):
+    """Q10: a differently spelled city still joins (name taken from the list)."""
+    from gridlake.dims import canonical_city_names
+    rows = spark.createDataFrame([("Wien", "AT", 1.0), ("Springfield", "US", 2.0)],
+                                 "city_name string, country string, v double")
+    got = {r.country: r.city_name for r in canonical_city_names(rows).collect()}
+    assert got == {"AT": "Vienna", "US": "Springfield"}
+    assert canonical_city_names(rows).columns == ["city_name", "country", "v"]
