@@ -87,6 +87,9 @@ def day_glob(root: str, start: str, end: str) -> str:
     days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days)]
     if not days:
         raise ValueError(f"empty date range [{start}, {end})")
+    if len(days) == 1:  # the daily case: the folder itself, no pattern
+        d = days[0]
+        return f"{root.rstrip('/')}/year={d.year}/month={d.month}/day={d.day}"
 
     def alt(values):
         return "{" + ",".join(str(v) for v in sorted(set(values))) + "}"
