@@ -208,14 +208,45 @@ def marts_step(spark: SparkSession, paths: Paths, start: str, end: str,
     return checks.unionByName(anomaly_checks)
 
 
+class ArrivalIncomplete(RuntimeError):
+    """Raised when a required day is not complete in bronze."""
+
+
+def arrival_gaps(spark: SparkSession, paths: Paths, start: str, end: str,
+                 expected_hours: int = 24) -> list[dict]:
+    """(source, city, date) groups of the range with fewer hours than expected.
+
+    One aggregation per source over the range's bronze folders; only the
+    incomplete groups (a bounded list: sources x cities x days) reach the
+    driver.
+    """
+    gaps = []
+    for source in SOURCES:
+        text = lake.read_day_range(spark, paths.at("bronze", source), start, end, "text", BRONZE_TEXT)
+        rows = records.valid_rows((records.decode_weather if source == "weather" else records.decode_energy)(
+            text.select("value")))
+        ready = quality.partition_ready(rows, expected_hours=expected_hours, by=["city_name"])
+        gaps += [dict(r.asDict(), source=source) for r in ready.where(~F.col("complete")).collect()]
+    return gaps
+
+
 def run_range(spark: SparkSession, root: str, start: str, end: str, land: bool = True,
-              accepted_countries: list[str] | None = None) -> dict:
-    """One job per step for the whole range ``[start, end)``."""
+              accepted_countries: list[str] | None = None, require_complete: bool = False) -> dict:
+    """One job per step for the whole range ``[start, end)``.
+
+    ``require_complete`` re-aims the arrival wait (N4): after landing, the
+    run stops with ``ArrivalIncomplete`` unless every city has all hours of
+    every day in bronze; the caller decides when to try again.
+    """
     paths = Paths(root.rstrip("/"))
     run_id = uuid.uuid4().hex[:12]
     report = {"run": run_id}
     if land:
         report["bronze"] = land_payloads(spark, paths, start, end, run_id)
+    if require_complete:
+        gaps = arrival_gaps(spark, paths, start, end)
+        if gaps:
+            raise ArrivalIncomplete(f"incomplete days: {gaps[:10]}")
     report["silver"] = silver_step(spark, paths, start, end, run_id)
     checks = marts_step(spark, paths, start, end, accepted_countries, run_id)
     report["checks"] = {f"{r['table']}.{r['column']}.{r['check']}": r["failures"] for r in checks.collect()}
@@ -223,8 +254,8 @@ def run_range(spark: SparkSession, root: str, start: str, end: str, land: bool =
 
 
 def run_day(spark: SparkSession, root: str, day: str, land: bool = True,
-            accepted_countries: list[str] | None = None) -> dict:
+            accepted_countries: list[str] | None = None, require_complete: bool = False) -> dict:
     """One date for every step (Q11): land -> silver -> marts -> checks."""
     d = dt.date.fromisoformat(day)
     return run_range(spark, root, d.isoformat(), (d + dt.timedelta(days=1)).isoformat(), land,
-                     accepted_countries)
+                     accepted_countries, require_complete)

@@ -112,3 +112,18 @@ def test_city_spelling_is_canonical(spark):
     got = {r.country: r.city_name for r in canonical_city_names(rows).collect()}
     assert got == {"AT": "Vienna", "US": "Springfield"}
     assert canonical_city_names(rows).columns == ["city_name", "country", "v"]
+
+
+def test_arrival_gate(spark, scratch):
+    """N4 re-aimed: an incomplete day stops the run before silver."""
+    from gridlake.plans.daily import ArrivalIncomplete
+    root = scratch("gate")
+    paths = _land(spark, root)  # weather has 24 hours, load only 10
+    with pytest.raises(ArrivalIncomplete):
+        run_day(spark, root, DAY, require_complete=True)
+    with pytest.raises(Exception):
+        spark.read.parquet(paths.silver_energy).count()
+    full = [50000.0 + h for h in range(24)]
+    _land(spark, root, loads=full)
+    report = run_day(spark, root, DAY, require_complete=True)
+    assert report["silver"] == {"weather": 24, "energy": 24}
