@@ -1,8 +1,8 @@
 """Command line: ``python -m gridlake <command> ...``, or on a cluster
 ``spark-submit --py-files gridlake.zip gridlake/__main__.py <command> ...``.
 
-  run-day     --root URI --day YYYY-MM-DD [--no-land]
-  run-range   --root URI --start YYYY-MM-DD --end YYYY-MM-DD [--no-land]
+  run-day     --root URI --day YYYY-MM-DD [--no-land] [--require-complete]
+  run-range   --root URI --start YYYY-MM-DD --end YYYY-MM-DD [--no-land] [--require-complete]
   land-stream --root URI --kind weather|energy (--topic T --servers H | --path URI)
               [--continuous]
 
@@ -28,11 +28,13 @@ def main(argv: list[str] | None = None) -> int:
     day.add_argument("--root", required=True)
     day.add_argument("--day", required=True)
     day.add_argument("--no-land", action="store_true")
+    day.add_argument("--require-complete", action="store_true")
     rng = sub.add_parser("run-range")
     rng.add_argument("--root", required=True)
     rng.add_argument("--start", required=True)
     rng.add_argument("--end", required=True)
     rng.add_argument("--no-land", action="store_true")
+    rng.add_argument("--require-complete", action="store_true")
     stream = sub.add_parser("land-stream")
     stream.add_argument("--root", required=True)
     stream.add_argument("--kind", choices=["weather", "energy"], required=True)
@@ -46,10 +48,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(app_name=f"gridlake-{args.command}")
     if args.command == "run-day":
         from gridlake.plans.daily import run_day
-        report = run_day(spark, args.root, args.day, land=not args.no_land)
+        report = run_day(spark, args.root, args.day, land=not args.no_land,
+                         require_complete=args.require_complete)
     elif args.command == "run-range":
         from gridlake.plans.daily import run_range
-        report = run_range(spark, args.root, args.start, args.end, land=not args.no_land)
+        report = run_range(spark, args.root, args.start, args.end, land=not args.no_land,
+                           require_complete=args.require_complete)
     else:
         from gridlake.sources.messages import ENERGY_TOPIC, WEATHER_TOPIC, read_topic
         from gridlake.streaming.ingest import land_stream
