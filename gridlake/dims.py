@@ -79,11 +79,20 @@ def city_rows() -> list[tuple]:
     return [(i, c, k, *CITY_COORDINATES[c]) for i, (c, k) in enumerate(CITIES)]
 
 
+def _sql_literal(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else repr(v)
+
+
 def city_array():
-    """The city list as a constant ``array<struct>`` (for expression lookups)."""
-    return F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
-                                for v, f in zip(row, schemas.DIM_CITY.fields)])
-                     for row in city_rows()])
+    """The city list as a constant ``array<struct>`` (for expression lookups),
+    built as one SQL expression (one parse instead of dozens of literals)."""
+    types = {"ord": "INT", "latitude": "DOUBLE", "longitude": "DOUBLE"}
+    structs = []
+    for row in city_rows():
+        fields = ", ".join(f"'{f.name}', CAST({_sql_literal(v)} AS {types.get(f.name, 'STRING')})"
+                           for v, f in zip(row, schemas.DIM_CITY.fields))
+        structs.append(f"named_struct({fields})")
+    return F.expr(f"array({', '.join(structs)})")
 
 
 def literal_table(spark: SparkSession, schema, rows: list[tuple]) -> DataFrame:
@@ -108,10 +117,8 @@ def weather_text(code_col) -> "F.Column":
 
     Stays inside whole-stage codegen; no join needed for a 28-entry map.
     """
-    pairs = []
-    for code, text in sorted(WEATHER_CODES.items()):
-        pairs += [F.lit(code), F.lit(text)]
-    return F.create_map(*pairs)[code_col]
+    pairs = ", ".join(f"{code}, {_sql_literal(text)}" for code, text in sorted(WEATHER_CODES.items()))
+    return F.expr(f"map({pairs})")[code_col]
 
 
 def countries(spark: SparkSession) -> DataFrame:
