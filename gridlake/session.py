@@ -23,6 +23,9 @@ PIPELINE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # keyed stream state (7 days of replay keys) lives off-heap in RocksDB
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
