@@ -22,13 +22,25 @@ from gridlake.session import apply_pipeline_conf
 N_CITIES = len(dims.CITIES)
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as a lazy DataFrame.
+
+    The handle (a plan, no data) is kept per session and path, so repeated
+    queries skip listing the read-only files again.
+    """
     apply_pipeline_conf(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _TABLES[key] = df
+    return df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_pipeline_conf(spark)
     return table(spark, sf_dir, "events")
 
 
