@@ -118,3 +118,15 @@ def test_batch_report(spark, scratch):
     assert len(rep) == 2
     assert sum(r.written for r in rep) == spark.read.text(f"{base}/bronze").count() == len(GOOD) + 1
     assert sum(r.rejected for r in rep) == spark.read.parquet(f"{base}/quarantine").count() == 2
+
+
+def test_command_line_land_stream(spark, scratch, capsys):
+    import json
+
+    from gridlake.__main__ import main
+    base = scratch("cli-stream")
+    spark.createDataFrame([(t,) for t in GOOD + BAD], "value string").coalesce(1).write.text(f"{base}/in")
+    assert main(["land-stream", "--root", f"{base}/lake", "--kind", "energy", "--path", f"{base}/in"]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report == {"batches": 1, "rows": len(GOOD) + len(BAD)}
+    assert spark.read.text(f"{base}/lake/bronze/energy").count() == len(GOOD) + 1
