@@ -89,3 +89,33 @@ def op10(spark, sf_dir):
     from gridlake.llm.packing import pack_documents
     packed = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
     return packed.withColumnRenamed("id", "doc_id")
+
+
+def learnable(df: DataFrame, parts: int) -> DataFrame:
+    """Rows outside the held-out fold (crc32 of the id's text modulo ``parts`` is 1)."""
+    return df.filter(~held_out(parts))
+
+
+def held_out(parts: int):
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == 1, F.lit(False))
+
+
+@register("op1_toxicity")
+def op1(spark, sf_dir):
+    from gridlake.llm.toxicity import score_documents, train
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, learnable(table(spark, sf_dir, "labels"), 3))
+    return score_documents(docs, model).select(
+        "doc_id", held_out(3).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register("op2_token_counts")
+def op2(spark, sf_dir):
+    from gridlake.llm.token_counts import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
+
+
+@register("op3_scaled_fingerprints")
+def op3(spark, sf_dir):
+    from gridlake.llm.fingerprints import fingerprint_documents
+    return fingerprint_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

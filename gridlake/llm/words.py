@@ -59,12 +59,25 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def text_slices(column: pa.Array, max_bytes: int = 4 << 20):
+    """(first row, rows) parts of a string column of about ``max_bytes`` each
+    (a longer text is a part of its own): bounds the memory of one step."""
+    _, offsets = utf8(column)
+    a, n = 0, len(column)
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + max_bytes, side="right")) - 1)
+        yield a, min(b, n) - a
+        a = min(b, n)
+
+
 class Words:
     """Words of a batch: ``hashes`` (uint64, all texts after each other),
-    ``offsets`` (text i owns hashes[offsets[i]:offsets[i+1]])."""
+    ``offsets`` (text i owns hashes[offsets[i]:offsets[i+1]]), and each
+    word's first byte and length in ``raw``."""
 
-    def __init__(self, hashes: np.ndarray, offsets: np.ndarray):
+    def __init__(self, hashes, offsets, starts, lengths, raw):
         self.hashes, self.offsets = hashes, offsets
+        self.starts, self.lengths, self.raw = starts, lengths, raw
 
     @property
     def counts(self) -> np.ndarray:
@@ -97,7 +110,7 @@ def words(column: pa.Array, lower: bool = False, separators: np.ndarray = WHITE)
     """Word hashes of each text of ``column`` (``lower``: A-Z count as a-z)."""
     raw, offsets = utf8(column)
     table = _byte_table(separators, lower)
-    hashes, starts = [], []
+    hashes, starts, lengths = [], [], []
     for a, b in _block_ends(raw, offsets, separators):
         block = raw[a:b]
         gap = separators[block]
@@ -115,11 +128,14 @@ def words(column: pa.Array, lower: bool = False, separators: np.ndarray = WHITE)
         value = table[block[begin[0]:]]
         value *= powers(_BASE, int(place.max()) + 1)[place]
         hashes.append(mix64(np.add.reduceat(value, begin - begin[0])))
+        lengths.append(np.add.reduceat(~gap[begin[0]:], begin - begin[0], dtype=np.int64))
         starts.append(begin + a)
     if not hashes:
-        return Words(np.zeros(0, dtype=U64), np.zeros(len(offsets), dtype=np.int64))
+        none = np.zeros(0, dtype=np.int64)
+        return Words(np.zeros(0, dtype=U64), np.zeros(len(offsets), dtype=np.int64), none, none, raw)
     where = np.concatenate(starts)
-    return Words(np.concatenate(hashes), np.searchsorted(where, offsets).astype(np.int64))
+    return Words(np.concatenate(hashes), np.searchsorted(where, offsets).astype(np.int64), where,
+                 np.concatenate(lengths), raw)
 
 
 def runs(w: Words, k: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
