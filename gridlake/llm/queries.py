@@ -119,3 +119,10 @@ def op2(spark, sf_dir):
 def op3(spark, sf_dir):
     from gridlake.llm.fingerprints import fingerprint_documents
     return fingerprint_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@register("op9_substring_dedup")
+def op9(spark, sf_dir):
+    from gridlake.llm.substring import dedup_substrings
+    kept = dedup_substrings(table(spark, sf_dir, "documents"), with_text=False)
+    return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
