@@ -126,3 +126,10 @@ def op9(spark, sf_dir):
     from gridlake.llm.substring import dedup_substrings
     kept = dedup_substrings(table(spark, sf_dir, "documents"), with_text=False)
     return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+@register("op7_ngram_jaccard_join")
+def op7(spark, sf_dir):
+    from gridlake.llm.ngram_join import jaccard_components
+    joined = jaccard_components(table(spark, sf_dir, "documents"))
+    return joined.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
