@@ -96,8 +96,8 @@ def learnable(df: DataFrame, parts: int) -> DataFrame:
     return df.filter(~held_out(parts))
 
 
-def held_out(parts: int):
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == 1, F.lit(False))
+def held_out(parts: int, id_col: str = "doc_id"):
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts == 1, F.lit(False))
 
 
 @register("op1_toxicity")
@@ -133,3 +133,13 @@ def op7(spark, sf_dir):
     from gridlake.llm.ngram_join import jaccard_components
     joined = jaccard_components(table(spark, sf_dir, "documents"))
     return joined.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@register("op8_kneser_ney_lm")
+def op8(spark, sf_dir):
+    from gridlake.llm.lm import score_documents, train
+    docs = table(spark, sf_dir, "documents")
+    model = train(learnable(docs, 5))
+    return score_documents(docs, model).select(
+        F.col("id").alias("doc_id"), held_out(5, "id").alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
