@@ -143,3 +143,9 @@ def op8(spark, sf_dir):
     return score_documents(docs, model).select(
         F.col("id").alias("doc_id"), held_out(5, "id").alias("held_out"), "n_tokens", "n_known", "train_tokens",
         "base_score", "score")
+
+
+@register("op6_embedding_near_dedup")
+def op6(spark, sf_dir):
+    from gridlake.llm.embeddings import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
