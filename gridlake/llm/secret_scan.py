@@ -27,7 +27,7 @@ import math
 import re
 from collections import Counter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,28 +102,34 @@ def scan_text(text: str) -> list[tuple[int, int, str, str]]:
 SCAN_SCHEMA = ("id long, owner string, n_assign long, n_access long, n_hex long, base_sha256 string,"
                " spans array<struct<start:int,end:int,kind:string,base:boolean,random:boolean,hash:binary>>")
 
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("base", pa.bool_()),
+                            ("random", pa.bool_()), ("hash", pa.binary())]))
+
 
 def scan(docs: DataFrame, id_col: str, text_col: str, owner_col: str) -> DataFrame:
     """Candidates of each document (one row per document, base and extra)."""
 
     def over(batches):
-        for pdf in batches:
-            rows = []
-            for ident, text, owner in zip(pdf["id"], pdf["text"], pdf["owner"]):
-                found = scan_text(text) if text else []
+        for batch in batches:
+            counts: dict[str, list] = {k: [] for k in BASE_KINDS}
+            shas, spans = [], []
+            for text in batch.column(1):
+                found = scan_text(text.as_py() or "")
                 base = [f for f in found if f[2] in BASE_KINDS]
                 kinds = Counter(f[2] for f in base)
-                rows.append((None if pd.isna(ident) else int(ident), owner, kinds["assign"], kinds["access"], kinds["hex"],
-                             hashlib.sha256(joined(base).encode()).hexdigest(),
-                             [{"start": a, "end": b, "kind": k, "base": k in BASE_KINDS, "random": looks_random(s),
-                               "hash": digest(s)} for a, b, k, s in found]))
-            out = pd.DataFrame(rows, columns=["id", "owner", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
-            out["id"] = out["id"].astype("Int64")
-            yield out
+                for k, column in counts.items():
+                    column.append(kinds[k])
+                shas.append(hashlib.sha256(joined(base).encode()).hexdigest())
+                spans.append([{"start": a, "end": b, "kind": k, "base": k in BASE_KINDS, "random": looks_random(s),
+                               "hash": digest(s)} for a, b, k, s in found])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), *[pa.array(counts[k], pa.int64()) for k in BASE_KINDS],
+                 pa.array(shas, pa.string()), pa.array(spans, SPANS)],
+                names=["id", "owner", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                          F.col(owner_col).cast("string").alias("owner"))
-    return narrow.mapInPandas(over, SCAN_SCHEMA)
+    return narrow.mapInArrow(over, SCAN_SCHEMA)
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
