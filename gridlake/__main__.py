@@ -4,7 +4,7 @@
   run-day     --root URI --day YYYY-MM-DD [--no-land] [--require-complete]
   run-range   --root URI --start YYYY-MM-DD --end YYYY-MM-DD [--no-land] [--require-complete]
   land-stream --root URI --kind weather|energy (--topic T --servers H | --path URI)
-              [--continuous]
+              [--continuous] [--max-per-trigger N]
 
 The session comes from the launcher (master, resources, storage settings);
 only the pipeline's SQL settings are applied on top.
@@ -21,6 +21,20 @@ if not __package__:  # run as a file by spark-submit: make the package importabl
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def landed_totals(spark, report_root: str) -> dict:
+    """Batches and rows of a landing, from its report table (all batches)."""
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import functions as F
+    try:
+        report = spark.read.parquet(report_root)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return {"batches": 0, "rows": 0}
+    total = report.agg(F.count(F.lit(1)).alias("batches"), F.sum(F.col("written") + F.col("rejected")).alias("rows")).first()
+    return {"batches": total["batches"], "rows": total["rows"] or 0}
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="gridlake")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -42,6 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     stream.add_argument("--servers")
     stream.add_argument("--path")
     stream.add_argument("--continuous", action="store_true")
+    stream.add_argument("--max-per-trigger", type=int, help="files or offsets per micro-batch (all: 0)")
     args = parser.parse_args(argv)
 
     from gridlake.session import build_session
@@ -59,17 +74,17 @@ def main(argv: list[str] | None = None) -> int:
         from gridlake.streaming.ingest import land_stream
         root = args.root.rstrip("/")
         if args.path:
-            source = read_topic(spark, fmt="text", path=args.path, max_per_trigger=100)
+            source = read_topic(spark, fmt="text", path=args.path, max_per_trigger=100 if args.max_per_trigger is None else args.max_per_trigger)
         else:
             topic = args.topic or (WEATHER_TOPIC if args.kind == "weather" else ENERGY_TOPIC)
-            source = read_topic(spark, topic=topic, fmt="kafka", max_per_trigger=100_000,
+            source = read_topic(spark, topic=topic, fmt="kafka",
+                                max_per_trigger=100_000 if args.max_per_trigger is None else args.max_per_trigger,
                                 options={"kafka.bootstrap.servers": args.servers or "localhost:9092"})
         query = land_stream(source, args.kind, f"{root}/bronze/{args.kind}", f"{root}/quarantine/{args.kind}",
                             f"{root}/_checkpoints/land-{args.kind}", available_now=not args.continuous,
                             report_root=f"{root}/reports/land-{args.kind}")
         query.awaitTermination()
-        report = {"batches": len(query.recentProgress),
-                  "rows": sum(p["numInputRows"] for p in query.recentProgress)}
+        report = landed_totals(spark, f"{root}/reports/land-{args.kind}")
     print(json.dumps(report, default=str))
     return 0
 

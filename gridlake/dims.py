@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlake import schemas
 
@@ -25,6 +26,15 @@ CITIES = [
     ("Bucharest", "RO"),
     ("Lisbon", "PT"),
 ]
+# Local spellings of these cities that payload services return.
+CITY_ALIASES = {
+    "Roma": "Rome",
+    "Warszawa": "Warsaw",
+    "Wien": "Vienna",
+    "Bucuresti": "Bucharest",
+    "București": "Bucharest",
+    "Lisboa": "Lisbon",
+}
 # WMO weather interpretation codes and their texts.
 WEATHER_CODES = {
     0: "Clear sky",
@@ -137,17 +147,24 @@ def first_city_per_country(cities: DataFrame) -> DataFrame:
                     F.col("first.ord").alias("ord")))
 
 
-def canonical_city_names(rows: DataFrame) -> DataFrame:
-    """Q10: the city name of a row is the city list's name for its country.
+def city_aliases(spark: SparkSession) -> DataFrame:
+    """``query, rank, city_name`` candidates: the fixed local spellings."""
+    schema = T.StructType([T.StructField("query", T.StringType()), T.StructField("rank", T.IntegerType()),
+                           T.StructField("city_name", T.StringType())])
+    return literal_table(spark, schema, [(k, 0, v) for k, v in sorted(CITY_ALIASES.items())])
+
+
+def canonical_city_names(rows: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
+    """Local spellings of a city (``Wien``) become its listed name.
 
-    Payload services may spell a city differently (``Wien`` / ``Vienna``);
-    the hourly join matches on the name, so every source takes the name
-    from the fixed list (one city per country there).  Rows of a country
-    not in the list keep their own name.  The list is 9 literal rows, so it
-    is broadcast.
+    The hourly join matches on the name, so every source takes the name of
+    the top-ranked candidate for it; names without a candidate stay, so
+    further cities of a country keep their own.  The default candidates are
+    a handful of literal rows; a caller's table is joined by its size.
     """
-    names = F.broadcast(first_city_per_country(dim_city(rows.sparkSession))
-                        .select(F.col("country").alias("_c_country"), F.col("city_name").alias("_c_name")))
-    cols = [F.coalesce(F.col("_c_name"), F.col("city_name")).alias("city_name") if c == "city_name" else F.col(c)
-            for c in rows.columns]
-    return rows.join(names, rows["country"] == names["_c_country"], "left").select(*cols)
+    from gridlake.operators.firsts import resolve_entities
+    given = candidates if candidates is not None else city_aliases(rows.sparkSession)
+    given = given.select(F.col("query").alias("_query"), "rank", F.col("city_name").alias("_name"))
+    resolved = resolve_entities(rows.withColumn("_query", F.col("city_name")), given, "_query")
+    cols = [F.coalesce("_name", "city_name").alias("city_name") if c == "city_name" else F.col(c) for c in rows.columns]
+    return resolved.select(*cols)

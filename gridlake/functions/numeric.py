@@ -1,74 +1,79 @@
 """Exact arithmetic for the published 2-decimal figures.
 
-Measures carry at most two decimals (loads are rounded to 2 dp when they
-are made, temperatures have one).  Each reading becomes integer cents,
-``round(x * 100)`` as a ``bigint``, and sums are plain ``bigint`` sums:
-exact, narrow (8 bytes in a shuffle row), fast to add, and independent of
-summation order and partitioning.  ``round`` acts on the binary value of
-``x * 100`` in Spark and in SQL engines alike; a ``decimal`` cast would
-round a double by its printed form in Spark (0.145 -> 0.15) but by its
-binary value elsewhere (0.14).  A daily mean is then the exact cents
-total over the count, rounded half away from zero.
+A reading enters sums as the decimal that it prints as (16 decimals kept),
+so nothing is rounded before it is added: sums are exact and independent
+of summation order and partitioning.  Only the published figure is
+rounded, once, half away from zero.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PUBLISHED_DECIMAL = "decimal(10,2)"
+READING_DECIMAL = "decimal(26,16)"
+TOTAL_DECIMAL = "decimal(36,16)"
+# A larger figure does not fit the published decimal.
+PUBLISHABLE = 1e8
+# Text of a plain decimal number: no NaN, infinity or type suffix.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?\s*$"
 
 
 def _col(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def cents(col) -> Column:
-    """Per-reading integer cents of a 2-decimal measure (``bigint``)."""
-    return F.round(_col(col).cast("double") * 100).cast("long")
-
+def measure(col) -> Column:
+    """Text (or number) -> double; NULL unless a plain number that can be published."""
+    c = _col(col)
+    value = F.when(c.cast("string").rlike(NUMBER), c.try_cast("double"))
+    return F.when(F.abs(value) < PUBLISHABLE, value)
 
-def sum_cents(col) -> Column:
-    """Aggregate: exact sum in cents (``bigint``; overflow raises under ANSI)."""
-    return F.sum(cents(col))
 
+def exact(col) -> Column:
+    """A reading as the decimal it prints as (overflow raises under ANSI)."""
+    return _col(col).cast(READING_DECIMAL)
 
-def half_up_mean_cents(total_cents: Column, count: Column) -> Column:
-    """``total_cents / count`` in units, rounded half away from zero to 2
-    decimals, as a double; NULL when ``count`` is 0.
 
-    The rounding runs on integers (``(2|c| + n) div 2n``), so ties such as
-    2.01 / 2 are decided exactly, and the final ``q / 100`` is one correctly
-    rounded IEEE division: the same value on any engine and partitioning.
-    """
-    q = F.call_function("div", F.abs(total_cents) * 2 + count, count * 2)
-    return F.when(count > 0, F.when(total_cents < 0, -q).otherwise(q).cast("double") / 100)
+def exact_total(col) -> Column:
+    """Aggregate: exact sum of a measure, ``decimal(36,16)``."""
+    return F.sum(exact(col)).cast(TOTAL_DECIMAL)
 
 
 def half_up_mean(total: Column, count: Column) -> Column:
-    """Same rounding for an exact decimal ``total`` with 2 decimals."""
-    return half_up_mean_cents((total * 100).cast("decimal(38,0)"), count)
+    """``total / count`` rounded half away from zero to 2 decimals, as a
+    double; NULL when ``count`` is 0.
+
+    The double quotient gives a candidate that is at most one cent off; the
+    exact remainder ``total - candidate * count`` then decides, so ties such
+    as 2.01 / 2 are decided exactly.
+    """
+    t, n = total.cast(TOTAL_DECIMAL), count.cast("decimal(15,0)")
+    near = F.round(t.cast("double") / count, 2).cast("decimal(20,2)")
+    rest = t - (near * n).cast(TOTAL_DECIMAL)
+    half = n * F.lit(Decimal("0.005"))
+    up = F.when(t < 0, rest > half).otherwise(rest >= half)
+    down = F.when(t < 0, rest <= -half).otherwise(rest < -half)
+    cent = F.lit(Decimal("0.01"))
+    return F.when(count > 0, F.when(up, near + cent).when(down, near - cent).otherwise(near).cast("double"))
 
 
 def half_up_mean_of(col: str) -> Column:
     """Aggregate: 2-decimal mean of a measure (NULL for an empty group)."""
-    return half_up_mean_cents(sum_cents(col), F.count(col))
-
-
-def cents_to_dec2(total_cents: Column) -> Column:
-    """Exact cents -> published ``decimal(10,2)`` (overflow raises under ANSI)."""
-    return (total_cents.cast("decimal(38,0)") / 100).cast(PUBLISHED_DECIMAL)
+    return half_up_mean(exact_total(col), F.count(col))
 
 
 def dec2(col) -> Column:
     """Cast to the published ``decimal(10,2)`` (overflow raises under ANSI)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast(PUBLISHED_DECIMAL)
+    return _col(col).cast(PUBLISHED_DECIMAL)
 
 
 def exact_sum(col: str) -> Column:
     """Aggregate: exact sum published as ``decimal(10,2)``."""
-    return cents_to_dec2(sum_cents(col))
+    return dec2(exact_total(col))
 
 
 def mean_and_sd_from_sums(n: Column, s: Column, ss: Column) -> tuple[Column, Column]:

@@ -12,7 +12,7 @@ FIXED_FACTORS = {"PT60M": 1, "PT30M": 2, "PT15M": 4}
 
 def _minutes(res: Column) -> Column:
     digits = F.regexp_extract(res, r"^PT([0-9]+)M$", 1)
-    return F.when(digits != "", digits.cast("bigint"))
+    return F.when(digits != "", digits.try_cast("bigint"))
 
 
 def points_per_hour(res: Column, strict: bool = False) -> Column:

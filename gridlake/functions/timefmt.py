@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Accepted shapes, tried in order: ISO with or without seconds/fraction and
 # offset (Spark's default parser), then minute precision with 'Z'/offset.
+_FULL_DATE = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([T\s]|$)"
 _FALLBACK_PATTERNS = ["yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd'T'HH:mm:ssXXX",
                       "yyyy-MM-dd HH:mm:ss"]
 
@@ -14,9 +15,11 @@ _FALLBACK_PATTERNS = ["yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd'T'HH:mm:ssXXX",
 def parse_iso(col) -> Column:
     """ISO-8601 text -> timestamp; NULL (not an error) when unparsable.
 
-    Naive text is read as UTC (the session zone of every job).
+    Naive text is read as UTC (the session zone of every job).  Text must
+    begin with a full date: a bare time or year is not a timestamp.
     """
     c = F.col(col) if isinstance(col, str) else col
+    c = F.when(c.cast("string").rlike(_FULL_DATE), c)
     tries = [F.try_to_timestamp(c)] + [F.try_to_timestamp(c, F.lit(p)) for p in _FALLBACK_PATTERNS]
     return F.coalesce(*tries)
 

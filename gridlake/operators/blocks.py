@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.numeric import half_up_mean_cents, sum_cents
+from gridlake.functions.numeric import exact_total, half_up_mean
 from gridlake.operators.sequence import index_within_group
 
 
@@ -24,9 +24,9 @@ def block_means(points: DataFrame, group: list[str], order: list[str], value: st
     """
     idx = index_within_group(points, group, order, "pos")
     blocks = (idx.groupBy(*group, (F.col("pos") / n).cast("long").alias("block"))
-              .agg(sum_cents(value).alias("_s"), F.count(F.lit(1)).alias("points"),
+              .agg(exact_total(value).alias("_s"), F.count(F.lit(1)).alias("points"),
                    F.min(start_col).alias("_start")))
     return (blocks.where(F.col("points") == n)
             .select(*group, "block",
                     (F.col("_start") + F.make_interval(hours=F.col("block").cast("int"))).alias("time"),
-                    half_up_mean_cents(F.col("_s"), F.lit(n)).alias("load_mw"), "points"))
+                    half_up_mean(F.col("_s"), F.lit(n)).alias("load_mw"), "points"))

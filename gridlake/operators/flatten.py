@@ -21,14 +21,14 @@ RENAMES = [("time", "time"), ("temperature_2m", "temperature"),
 CONTEXT = ["city_name", "country", "latitude", "longitude"]
 
 
-def flatten_weather(payloads: DataFrame) -> DataFrame:
-    """One row per hour: context columns + renamed measures + code text.
+def flatten_weather(payloads: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One row per hour: context columns (and ``keep``) + renamed measures + code text.
 
     ``weather`` is NULL for an unknown or NULL code (the source crashed on
     those); ``type_weather`` / ``unknown_codes`` route them to quarantine.
     """
     zipped = F.arrays_zip(*[F.col(f"hourly.{src}").alias(dst) for src, dst in RENAMES])
-    rows = payloads.select(*CONTEXT, F.inline(zipped))
+    rows = payloads.select(*CONTEXT, *(keep or []), F.inline(zipped))
     return rows.withColumn("weather", dims.weather_text(F.col("weather_code")))
 
 

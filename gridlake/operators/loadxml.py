@@ -10,7 +10,7 @@ holds the document - points are never shuffled.
 Rules (faithful to the source loader):
 * a period without a start is skipped; a missing resolution means PT60M;
 * ``PT<n>M`` gives ``60 div n`` points per hour, other shapes 1;
-* points whose quantity is missing or not numeric are skipped and do not
+* points whose quantity is missing or not a plain number are skipped and do not
   count, so later points move up (``by_position=False``, the default);
   ``by_position=True`` places points by their ``position`` instead;
 * consecutive blocks of n points make one hour, a trailing partial block
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake import schemas
-from gridlake.functions.numeric import cents, half_up_mean_cents
+from gridlake.functions.numeric import TOTAL_DECIMAL, exact, half_up_mean, measure
 from gridlake.functions.resolution import points_per_hour, resolution_reason
 from gridlake.functions.timefmt import parse_iso
 
@@ -77,40 +77,43 @@ def load_records_from_files(spark, root: str, by_position: bool = False) -> Data
 
 
 def hourly_from_periods(per: DataFrame, by_position: bool = False) -> DataFrame:
-    """Hourly mean per full block of points."""
-    usable = per.where(F.col("start").isNotNull() & F.col("points_per_hour").isNotNull())
+    """Hourly mean per full block of points, linear in the points.
+
+    The numeric values of a period are projected once, behind a generator
+    boundary, so no filter or cast is repeated per block.
+    """
     n = F.col("points_per_hour")
-    good = F.filter("points", lambda p: p["quantity"].try_cast("double").isNotNull())
+    usable = per.where(F.col("start").isNotNull() & n.isNotNull())
+    point = F.transform("points", lambda p: F.struct(
+        (p["position"].try_cast("bigint") if by_position else F.lit(None).cast("bigint")).alias("position"),
+        exact(measure(p["quantity"])).alias("value")))
+    good = F.filter(point, lambda p: p["value"].isNotNull())
     if by_position:
-        # Slot of each point from its 1-based position; a block is full when
-        # all n slots hold a valid point.
-        good = F.filter(good, lambda p: p["position"].isNotNull() & (p["position"] >= 1))
-        slots = F.transform(good, lambda p: F.struct(((p["position"] - 1) / n).cast("int").alias("b"),
-                                                     p["quantity"].alias("quantity")))
-        n_blocks = F.coalesce(F.array_max(F.transform(slots, lambda s: s["b"])) + 1, F.lit(0))
-        blocks = F.transform(
-            F.sequence(F.lit(0), n_blocks - 1),
-            lambda b: F.struct(b.alias("block"),
-                               F.filter(slots, lambda s: s["b"] == b).alias("pts")))
-        blocks = F.filter(blocks, lambda blk: F.size(blk["pts"]) == n)
-        blocks = F.transform(blocks, lambda blk: F.struct(
-            blk["block"].alias("block"),
-            F.aggregate(blk["pts"], F.lit(0).cast("long"),
-                        lambda acc, s: acc + cents(s["quantity"].try_cast("double"))).alias("total")))
-    else:
-        n_blocks = (F.size(good) / n).cast("int")
-        blocks = F.transform(
-            F.sequence(F.lit(0), n_blocks - 1),
-            lambda b: F.struct(
-                b.alias("block"),
-                F.aggregate(F.slice(good, b * n + 1, n), F.lit(0).cast("long"),
-                            lambda acc, p: acc + cents(p["quantity"].try_cast("double"))).alias("total")))
-        blocks = F.when(n_blocks > 0, blocks).otherwise(F.array())
+        good = F.array_sort(F.filter(good, lambda p: p["position"] >= 1))
     keep = [c for c in per.columns if c not in ("points", "start_text", "period_reason")]
-    out = usable.select(*keep, F.inline(blocks))
-    load = half_up_mean_cents(F.col("total"), n)
+    flat = usable.select(*keep, F.explode(F.array(good)).alias("_good")) \
+        .withColumn("_values", F.transform("_good", lambda p: p["value"]))
+    if by_position:
+        # points in order of position; a block is full when exactly n of them fall into it
+        flat = flat.withColumn("_slots", F.transform("_good", lambda p: F.call_function("div", p["position"] - 1, n)))
+        slot = F.col("_slots")
+        firsts = F.filter(
+            F.sequence(F.lit(0), F.size("_values") - 1),
+            lambda i: ((i == 0) | (F.get(slot, i - 1) != F.get(slot, i)))
+            & (F.get(slot, i + n - 1) == F.get(slot, i))
+            & F.coalesce(F.get(slot, i + n) != F.get(slot, i), F.lit(True)))
+        spots = F.transform(firsts, lambda i: F.struct(F.get(slot, i).cast("int").alias("block"), i.alias("at")))
+    else:
+        spots = F.transform(F.sequence(F.lit(0), F.call_function("div", F.size("_values"), n).cast("int") - 1),
+                            lambda b: F.struct(b.alias("block"), (b * n).alias("at")))
+    spots = F.when(F.size("_values") >= n, spots)
+    blocks = F.transform(spots, lambda s: F.struct(
+        s["block"].alias("block"),
+        F.aggregate(F.slice("_values", s["at"] + 1, n), F.lit(0).cast(TOTAL_DECIMAL),
+                    lambda acc, v: (acc + v).cast(TOTAL_DECIMAL)).alias("total")))
+    out = flat.select(*keep, F.inline(blocks))
     return out.select(*keep, "block", (F.col("start") + F.make_interval(hours=F.col("block"))).alias("time"),
-                      load.alias("load_mw"))
+                      half_up_mean(F.col("total"), n).alias("load_mw"))
 
 
 def load_records(landed: DataFrame, by_position: bool = False) -> DataFrame:

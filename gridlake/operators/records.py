@@ -2,8 +2,8 @@
 (L6, L7, N3, B3, D1-D3).
 
 A record is one city-hour as JSON text.  Decoding never fails the job:
-malformed text, a missing or unparsable time, a non-numeric measure or an
-unknown weather code each become a quarantine row with a reason.
+malformed text, a missing or unparsable time, a measure that is not a plain
+publishable number (``NaN``, ``Infinity``, ``1d``, ``1e30``) or an unknown weather code each become a quarantine row with a reason.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake import dims, schemas
+from gridlake.functions.numeric import measure
 from gridlake.functions.timefmt import parse_iso
 
 CORRUPT = "_corrupt_record"
@@ -83,7 +84,7 @@ def _ingest(decoded: DataFrame) -> Column:
 
 
 def _num(col: str, typ: str) -> Column:
-    return F.col(col).try_cast(typ)
+    return measure(col) if typ == "double" else F.col(col).try_cast(typ)
 
 
 def _reason_chain(pairs: list[tuple[Column, str]]) -> Column:

@@ -56,20 +56,22 @@ FROM w JOIN e
 """
 
 
-def cents_sql(c: str) -> str:
-    """SQL twin of ``functions.numeric.cents``."""
-    return f"CAST(round(CAST({c} AS DOUBLE) * 100) AS BIGINT)"
+def total_sql(c: str) -> str:
+    """SQL twin of ``functions.numeric.exact_total``."""
+    return f"sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,16)))"
 
 
-def half_up_cents_sql(total_cents: str, n: str) -> str:
-    """SQL twin of ``functions.numeric.half_up_mean_cents``."""
-    q = f"((2 * abs({total_cents}) + ({n})) // (2 * ({n})))"
-    return (f"(CASE WHEN ({n}) > 0 THEN CAST(CASE WHEN ({total_cents}) < 0 THEN -{q} ELSE {q} END AS DOUBLE)"
+def half_up_sql(total: str, n: str) -> str:
+    """SQL twin of ``functions.numeric.half_up_mean``, on integers."""
+    units = f"CAST(replace(CAST({total} AS VARCHAR), '.', '') AS HUGEINT)"
+    unit = "10000000000000000::HUGEINT"
+    q = f"((200 * abs({units}) + ({n}) * {unit}) // (2 * ({n}) * {unit}))"
+    return (f"(CASE WHEN ({n}) > 0 THEN CAST(CASE WHEN ({total}) < 0 THEN -{q} ELSE {q} END AS DOUBLE)"
             f" / 100 END)")
 
 
 def _mean_sql(c: str) -> str:
-    return f"CAST({half_up_cents_sql(f'sum({cents_sql(c)})', f'count({c})')} AS DECIMAL(10,2))"
+    return f"CAST({half_up_sql(total_sql(c), f'count({c})')} AS DECIMAL(10,2))"
 
 
 DAILY_SQL = f"""
@@ -85,7 +87,7 @@ SELECT city_name, country, CAST(time AS DATE) AS activity_date,
   CAST(min(load_mw) AS DECIMAL(10,2)) AS min_load_mw,
   CAST(max(load_mw) AS DECIMAL(10,2)) AS max_load_mw,
   {_mean_sql('load_mw')} AS avg_load_mw,
-  CAST(CAST(sum({cents_sql('load_mw')}) AS DECIMAL(38,0)) / 100 AS DECIMAL(10,2)) AS total_load_mw
+  CAST({total_sql('load_mw')} AS DECIMAL(10,2)) AS total_load_mw
 FROM joined
 GROUP BY city_name, country, CAST(time AS DATE)
 """
@@ -149,5 +151,5 @@ def q_anomaly_days_grouped(spark, sf_dir):
 
 # Scans, sinks, parsing, cleaning, quality and streaming entries register
 # themselves on import.
-from gridlake.plans import (catalog_lake, catalog_payloads, catalog_quality,  # noqa: E402,F401
+from gridlake.plans import (catalog_lake, catalog_payloads, catalog_precise, catalog_quality,  # noqa: E402,F401
                             catalog_records, catalog_runs)

@@ -87,11 +87,11 @@ def q_append_union(spark, sf_dir):
 @register("table_view_refs", f"{FLAGSHIP_CTES} {ANOMALY_SQL}")
 def q_table_view_refs(spark, sf_dir):
     from gridlake.operators.aggregate import daily_summary_from_load_rollup
-    from gridlake.operators.anomaly import anomaly_days
+    from gridlake.operators.anomaly import anomaly_days_grouped
     suffix = uuid.uuid4().hex[:8]
     daily = daily_summary_from_load_rollup(tb.stage_weather(spark, sf_dir), tb.stage_energy(spark, sf_dir))
     tables.materialise_table(daily, f"mart_daily_demand_summary_{suffix}",
                              shared_dir(spark, "mart-daily"))
-    tables.materialise_view(anomaly_days(tables.ref(spark, f"mart_daily_demand_summary_{suffix}")),
+    tables.materialise_view(anomaly_days_grouped(tables.ref(spark, f"mart_daily_demand_summary_{suffix}")),
                             f"mart_anomaly_days_{suffix}")
     return tables.ref(spark, f"mart_anomaly_days_{suffix}")

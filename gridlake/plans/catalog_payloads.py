@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridlake.functions.resolution import points_per_hour, resolution_reason
 from gridlake.functions.timefmt import parse_iso, period_start
 from gridlake.plans import testbed as tb
-from gridlake.plans.catalog import cents_sql, half_up_cents_sql, register
+from gridlake.plans.catalog import half_up_sql, register, total_sql
 from gridlake.plans.catalog_common import W_SQL
 from gridlake.session import shared_dir
 from gridlake.sources import payloads
@@ -53,9 +53,9 @@ def q_resolution_parse(spark, sf_dir):
 # -- B10 / B12 / B13 / F9 ------------------------------------------------------
 BLOCK_SQL = f"""
 SELECT event_type, day, block, day + to_hours(CAST(block AS BIGINT)) AS time,
-       {half_up_cents_sql('s', '4')} AS load_mw, points
+       {half_up_sql('s', '4')} AS load_mw, points
 FROM (
-  SELECT event_type, day, i // 4 AS block, sum({cents_sql('value')}) AS s, count(*) AS points
+  SELECT event_type, day, i // 4 AS block, {total_sql('value')} AS s, count(*) AS points
   FROM (SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, value,
                row_number() OVER (PARTITION BY event_type, date_trunc('day', ts) ORDER BY ts, event_id) - 1 AS i
         FROM events)
@@ -84,11 +84,11 @@ starts AS (SELECT event_type, chunk, date_trunc('hour', min(ts)) AS start FROM c
 valid AS (SELECT *, row_number() OVER (PARTITION BY event_type, chunk ORDER BY i) - 1 AS vpos
           FROM chunks WHERE k < 95 AND event_type <> 'error'),
 sized AS (SELECT *, CASE event_type WHEN 'view' THEN 4 WHEN 'click' THEN 2 ELSE 1 END AS n FROM valid),
-blocks AS (SELECT event_type, chunk, n, vpos // n AS block, sum({cents_sql('value')}) AS s,
+blocks AS (SELECT event_type, chunk, n, vpos // n AS block, {total_sql('value')} AS s,
                   count(*) AS c FROM sized GROUP BY 1, 2, 3, 4)
 SELECT {{city}} AS city_name, b.event_type AS country,
        st.start + to_hours(CAST(b.block AS BIGINT)) AS time,
-       {half_up_cents_sql('b.s', 'b.n')} AS load_mw
+       {half_up_sql('b.s', 'b.n')} AS load_mw
 FROM blocks b JOIN starts st ON st.event_type = b.event_type AND st.chunk = b.chunk
 WHERE b.c = b.n
 """
@@ -100,8 +100,9 @@ def _indexed_points(spark, sf_dir):
     return index_within_group(ev, ["event_type"], ["ts", "event_id"], "i")
 
 
-def _quantity():
-    return F.when(F.col("k") < 95, F.col("value").cast("string")).otherwise(F.lit("n/a"))
+def _quantity(value=None):
+    value = F.col("value") if value is None else value
+    return F.when(F.col("k") < 95, value.cast("string")).otherwise(F.lit("n/a"))
 
 
 def _resolution_of(et):
@@ -109,14 +110,15 @@ def _resolution_of(et):
             .when(et == "error", "PT120M"))
 
 
-def load_documents(spark, sf_dir):
-    """Landed load documents built from events: one per 96 consecutive
-    points of an event type (so no document grows with the table)."""
+def load_documents(spark, sf_dir, points=DOC_POINTS, value=None):
+    """Landed load documents built from events: one per ``points`` (a day's
+    96 unless given) consecutive points of an event type, so no document
+    grows with the table."""
     idx = _indexed_points(spark, sf_dir)
-    qty = _quantity()
+    qty = _quantity(value)
     point = F.format_string("<Point><position>%d</position><quantity>%s</quantity></Point>",
-                            (F.col("i") % DOC_POINTS + 1).cast("int"), qty)
-    docs = (idx.groupBy("event_type", (F.col("i") / DOC_POINTS).cast("long").alias("chunk"))
+                            (F.col("i") % points + 1).cast("int"), qty)
+    docs = (idx.groupBy("event_type", (F.col("i") / points).cast("long").alias("chunk"))
             .agg(F.min("ts").alias("first_ts"), F.collect_list(F.struct("i", point.alias("p"))).alias("pts")))
     et = F.col("event_type")
     res = (F.when(et == "view", "<resolution>PT15M</resolution>")

@@ -46,7 +46,7 @@ def faulty_energy_records(spark, sf_dir):
     """Energy records with one kind of fault per event type."""
     ev = tb.events_with_city(spark, sf_dir)
     t = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    load = (F.col("value") + 1000.0).cast("string")
+    load = F.round(F.col("value") + 1000.0, 2).cast("string")
     et = F.col("event_type")
     good = F.struct("city_name", "country", t.alias("time"), load.alias("load_mw"))
     # error events: the record lost its closing brace (malformed JSON)
@@ -77,7 +77,7 @@ FROM ({E_SQL}) GROUP BY city_name, country, time
 @register("clean_silver", CLEAN_SQL)
 def q_clean_silver(spark, sf_dir):
     ev = tb.events_with_city(spark, sf_dir).where(F.col("event_type") == "purchase")
-    load = F.col("value") + 1000.0
+    load = F.round(F.col("value") + 1000.0, 2)
     naive = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     zoned = F.concat(naive, F.lit("+00:00"))
     # copy 1: naive time, measure missing on some rows; copy 2: same instant

@@ -15,7 +15,6 @@ from gridlake.plans.catalog import DAILY_SQL, register
 from gridlake.plans.catalog_common import ENERGY_COLS, E_SQL, W_SQL
 from gridlake.plans.catalog_payloads import XML_NS, weather_payloads
 from gridlake.session import shared_dir
-from gridlake.session import shared_dir
 from gridlake.sources import lake, messages, payloads
 
 
@@ -99,3 +98,125 @@ def q_daily_run(spark, sf_dir):
     span = tb.events(spark, sf_dir).agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")).first()
     run_range(spark, root, span.lo.isoformat(), (span.hi + dt.timedelta(days=1)).isoformat())
     return spark.read.parquet(paths.gold("mart_daily_demand_summary")).select(*SUMMARY_COLUMNS)
+
+
+# -- A10 / L3 / I1: several writers of one bronze folder --------------------------
+@register("bronze_two_writers", f"SELECT city_name, country, time, load_mw FROM ({E_SQL})")
+def q_bronze_two_writers(spark, sf_dir):
+    """Two streams with their own checkpoints and a batch landing, each a
+    third of the purchase events, into the same bronze days."""
+    from gridlake.plans.daily import LANDED
+    from gridlake.streaming.ingest import land_stream
+    base = shared_dir(spark, "two-writers")
+    rows = tb.events_with_city(spark, sf_dir).where("event_type = 'purchase'").select(
+        "event_id", "city_name", "country", F.col("ts").alias("time"), F.round(F.col("value") + 1000.0, 2).alias("load_mw"))
+    for part in (0, 1):
+        mine = rows.where(F.col("event_id") % 3 == part).drop("event_id")
+        arrivals(records.encode_records(mine, time_col="time"), 2).write.text(f"{base}/landing{part}")
+        land_stream(messages.read_topic(spark, fmt="text", path=f"{base}/landing{part}", max_per_trigger=1), "energy",
+                    f"{base}/bronze", f"{base}/quarantine", f"{base}/_checkpoint{part}").awaitTermination()
+    lake.write_bronze(rows.where("event_id % 3 = 2").drop("event_id"), f"{base}/bronze", mode="overwrite", batch=LANDED)
+    text = spark.read.text(f"{base}/bronze").select("value")
+    return records.valid_rows(records.decode_energy(text)).select(*ENERGY_COLS)
+
+
+# -- B14 / B16 / Q10: cities keep their names, aliases are resolved ----------------
+CITY_IDENTITY_SQL = f"""
+SELECT city_name, country, count(DISTINCT time) AS hours FROM (
+  SELECT city_name, country, time FROM ({W_SQL})
+  UNION ALL SELECT 'Porto', country, time FROM ({W_SQL}) WHERE city_name = 'Lisbon')
+GROUP BY 1, 2
+"""
+
+
+def _span(spark, sf_dir):
+    span = tb.events(spark, sf_dir).agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")).first()
+    return span.lo.isoformat(), (span.hi + dt.timedelta(days=1)).isoformat()
+
+
+@register("city_identity", CITY_IDENTITY_SQL)
+def q_city_identity(spark, sf_dir):
+    """Landing and silver of payloads with a second city of one country
+    (Porto beside Lisbon) and one local spelling (Wien)."""
+    from gridlake.plans.daily import Paths, land_payloads, silver_step
+    paths = Paths(shared_dir(spark, "city-identity"))
+    given = weather_payloads(spark, sf_dir)
+    spelled = given.withColumn("city_name", F.when(F.col("city_name") == "Vienna", "Wien").otherwise(F.col("city_name")))
+    second = given.where("city_name = 'Lisbon'").withColumn("city_name", F.lit("Porto"))
+    payloads.write_landed(spelled.unionByName(second), paths.landing_weather)
+    payloads.write_landed(per_event_load_documents(spark, sf_dir).where("city_name = 'Lisbon'"), paths.landing_energy)
+    start, end = _span(spark, sf_dir)
+    land_payloads(spark, paths, start, end)
+    silver_step(spark, paths, start, end)
+    silver = lake.read_silver_range(spark, paths.at("silver", "weather"), start, end, schemas.SILVER_WEATHER)
+    return silver.groupBy("city_name", "country").agg(F.count_distinct("time").alias("hours"))
+
+
+# -- N4: what has not arrived -------------------------------------------------------
+GAPS_SQL = f"""
+WITH days AS (SELECT CAST(unnest(generate_series(
+       (SELECT CAST(min(ts) AS DATE) FROM events)::TIMESTAMP, (SELECT CAST(max(ts) AS DATE) FROM events)::TIMESTAMP,
+       INTERVAL 1 DAY)) AS DATE) AS event_date),
+arrived AS (SELECT 'weather' AS source, city_name, time FROM ({W_SQL})
+            UNION ALL SELECT 'energy', city_name, time FROM ({E_SQL}) WHERE city_name <> 'Rome'),
+expected AS (SELECT s.source, c.city_name, days.event_date FROM (VALUES ('weather'), ('energy')) AS s(source),
+             {tb.CITY_VALUES_SQL.replace('AS dim_city(', 'AS c(')}, days)
+SELECT x.source, x.city_name, x.event_date, count(a.time) AS rows,
+       count(DISTINCT date_part('hour', a.time)) AS hours
+FROM expected x LEFT JOIN arrived a
+  ON a.source = x.source AND a.city_name = x.city_name AND CAST(a.time AS DATE) = x.event_date
+GROUP BY 1, 2, 3 HAVING count(DISTINCT date_part('hour', a.time)) < 24
+"""
+
+
+@register("arrival_gaps", GAPS_SQL)
+def q_arrival_gaps(spark, sf_dir):
+    """Absent and incomplete (source, city, date); no load of Rome arrives at all."""
+    from gridlake.plans.daily import LANDED, Paths, arrival_gaps
+    paths = Paths(shared_dir(spark, "arrival-gaps"))
+    lake.write_bronze(tb.stage_weather(spark, sf_dir), paths.at("bronze", "weather"), mode="overwrite", batch=LANDED)
+    lake.write_bronze(tb.stage_energy(spark, sf_dir).where("city_name <> 'Rome'"), paths.at("bronze", "energy"),
+                      mode="overwrite", batch=LANDED)
+    return arrival_gaps(spark, paths, *_span(spark, sf_dir))
+
+
+# -- A6 / N3: what a weather landing rejects ----------------------------------------
+WEATHER_REJECTS_SQL = f"""
+SELECT 'malformed_payload' AS reason, count(*) AS records FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'bad_time', count(*) FROM ({W_SQL}) WHERE city_name = 'Madrid'
+"""
+
+
+@register("weather_quarantine_counts", WEATHER_REJECTS_SQL)
+def q_weather_quarantine_counts(spark, sf_dir):
+    """Truncated payload lines (one per error event) and hours without a
+    readable time (those of Madrid)."""
+    from gridlake.operators.flatten import flatten_weather
+    landing = shared_dir(spark, "landing-weather-rejects")
+    given = weather_payloads(spark, sf_dir)
+    hourly = F.col("hourly").withField("time", F.transform("hourly.time", lambda t: F.concat(F.lit("day "), t)))
+    payloads.write_landed(given.withColumn("hourly", F.when(F.col("city_name") == "Madrid", hourly)
+                                           .otherwise(F.col("hourly"))), landing)
+    tb.events(spark, sf_dir).where("event_type = 'error'").select(
+        F.concat(F.lit('{"city_name": "'), F.col("event_id").cast("string")).alias("value")) \
+        .write.mode("append").text(landing)
+    landed = payloads.read_weather_payloads(spark, landing, with_corrupt=True)
+    return payloads.rejected_weather(landed, flatten_weather(landed)).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("records"))
+
+
+# -- B14: the first city of each country --------------------------------------------
+FIRST_CITY_SQL = f"""
+SELECT country, city_name, (SELECT count(*) FROM ({W_SQL}) w WHERE w.country = c.country) AS rows
+FROM {tb.CITY_VALUES_SQL.replace('AS dim_city(', 'AS c(')}
+QUALIFY row_number() OVER (PARTITION BY country ORDER BY ord) = 1
+"""
+
+
+@register("first_city_per_country", FIRST_CITY_SQL)
+def q_first_city_per_country(spark, sf_dir):
+    """The load side's city of each country, with the weather rows of the country."""
+    from gridlake import dims
+    first = dims.first_city_per_country(dims.dim_city(spark))
+    rows = tb.stage_weather(spark, sf_dir).groupBy("country").agg(F.count(F.lit(1)).alias("rows"))
+    return first.join(rows, "country", "left").select("country", "city_name", F.coalesce("rows", F.lit(0)).alias("rows"))

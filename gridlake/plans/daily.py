@@ -10,10 +10,12 @@ Folder layout under one root URI::
     staging/<run>/...    marts of one run, checked before publishing
     gold/{int_weather_energy_joined,mart_daily_demand_summary,mart_anomaly_days}
 
-Every step covers a *date range* in one job (a day is a range of one), and
-writes with dynamic partition overwrite, so rerunning any day or range
-replaces exactly its partitions: reruns are idempotent.  Quality checks
-run on the staged marts; nothing reaches ``gold`` when one fails (Q12).
+Every step covers a *date range* in one job (a day is a range of one) and
+writes with dynamic partition overwrite; days that a rerun no longer fills
+are removed, so rerunning any day or range replaces exactly its partitions.
+Bronze days hold one sub-partition per writer, so a landing replaces its
+own rows and no stream's.  Quality checks run on all three staged marts;
+nothing reaches ``gold`` when one fails (Q12).
 """
 
 from __future__ import annotations
@@ -22,23 +24,30 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake import dims, schemas
+from gridlake.functions.timefmt import parse_iso
 from gridlake.operators import quality, records
-from gridlake.operators.aggregate import daily_summary_from_load_rollup
+from gridlake.operators.aggregate import daily_summary
 from gridlake.operators.anomaly import anomaly_days_grouped
 from gridlake.operators.clean import clean_energy, clean_weather
 from gridlake.operators.flatten import flatten_weather
 from gridlake.operators.join import join_hourly
 from gridlake.operators.loadxml import hourly_from_periods, parse_documents, periods, rejected_from_parsed
 from gridlake.sources import lake, payloads
+from gridlake.sources.tables import materialise_view
 
 SOURCES = ("weather", "energy")
 BRONZE_TEXT = T.StructType([T.StructField("value", T.StringType())]
-                           + [T.StructField(c, T.IntegerType()) for c in ("year", "month", "day", "batch")])
+                           + [T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")]
+                           + [T.StructField("batch", T.StringType())])
+CLEAN_MEASURE = {"weather": "temperature", "energy": "load_mw"}      # silver rows hold it (D5, D6)
+LANDED = "landed"            # the batch landing's own sub-partition of a bronze day
+# The columns that the published data tests check.
 NOT_NULL = {
     "stg_weather": ["city_name", "country", "time", "temperature"],
     "stg_energy": ["city_name", "country", "time", "load_mw"],
@@ -101,23 +110,29 @@ def land_payloads(spark: SparkSession, paths: Paths, start: str, end: str,
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     counts = {}
-    weather_rows = flatten_weather(payloads.read_weather_payloads(spark, paths.landing_weather))
-    weather_rows = payloads.restrict_hours(weather_rows, start, end, inclusive_end=False)
+    landed = payloads.read_weather_payloads(spark, paths.landing_weather, with_corrupt=True)
+    all_hours = flatten_weather(landed, ["ingest_ts"])
+    weather_rows = payloads.restrict_hours(all_hours, start, end, inclusive_end=False)
     parsed = parse_documents(payloads.read_load_payloads(spark, paths.landing_energy))
     staged_path = paths.staging(run_id, "load_documents")
     # keep the raw text only where it explains a rejection
     (parsed.withColumn("raw", F.when(F.col("doc_reason").isNotNull(), F.col("raw")))
      .write.mode("overwrite").parquet(staged_path))
     staged = spark.read.schema(parsed.schema).parquet(staged_path)
-    energy_rows = hourly_from_periods(periods(staged)).select("city_name", "country", "time", "load_mw")
+    energy_rows = hourly_from_periods(periods(staged)).select("city_name", "country", "time", "load_mw", "ingest_ts")
     energy_rows = _range_filter(energy_rows, start, end, "time")
     for source, rows in (("weather", weather_rows), ("energy", energy_rows)):
         rows = dims.canonical_city_names(rows) if canonical_names else rows
         obs = Observation(f"bronze_{source}")
         lake.write_bronze(rows.observe(obs, F.count(F.lit(1)).alias("rows")),
-                          paths.at("bronze", source), mode="overwrite")
-        counts[source] = obs.get["rows"]
-    _write_quarantine(rejected_from_parsed(staged), paths.at("quarantine", "energy"), f"land:{start}:{end}")
+                          paths.at("bronze", source), mode="overwrite", batch=LANDED)
+        counts[source] = lake.observed_rows(obs)
+        day = F.to_date(F.col("time") if source == "energy" else parse_iso("time"))
+        lake.drop_empty_days(spark, paths.at("bronze", source), rows.select(day.alias("event_date")), start, end,
+                             f"/batch={LANDED}")
+    # what cannot be landed does not depend on the range: one partition, replaced by each landing
+    _write_quarantine(rejected_from_parsed(staged), paths.at("quarantine", "energy"), "land")
+    _write_quarantine(payloads.rejected_weather(landed, all_hours), paths.at("quarantine", "weather"), "land")
     return counts
 
 
@@ -149,63 +164,80 @@ def silver_step(spark: SparkSession, paths: Paths, start: str, end: str,
         clean = clean_weather if source == "weather" else clean_energy
         obs = Observation(f"silver_{source}")
         lake.write_partitioned(clean(staged), paths.at("silver", source), observation=obs)
+        filled = staged.where(F.col("reason").isNull() & F.col(CLEAN_MEASURE[source]).isNotNull())
+        lake.drop_empty_days(spark, paths.at("silver", source), filled.select(F.to_date("time").alias("event_date")),
+                             start, end)
         _write_quarantine(records.quarantine_rows(staged, source), paths.at("quarantine", source),
                           f"silver:{start}:{end}")
-        out[source] = obs.get["rows"]
+        out[source] = lake.observed_rows(obs)
     return out
 
 
 # -- silver -> marts ---------------------------------------------------------------
 
-def build_marts(weather: DataFrame, energy: DataFrame) -> dict[str, DataFrame]:
-    """stg -> int_weather_energy_joined -> mart_daily_demand_summary (lazy)."""
-    return {"int_weather_energy_joined": join_hourly(weather, energy),
-            "mart_daily_demand_summary": daily_summary_from_load_rollup(weather, energy)}
-
-
 def marts_step(spark: SparkSession, paths: Paths, start: str, end: str,
                accepted_countries: list[str] | None = None, run_id: str | None = None) -> DataFrame:
-    """Rebuild the marts for ``[start, end)``; every mart is checked before
-    it is published (Q12).  Returns the check results.
-
-    The joined and daily marts are date-partitioned and replaced only for
-    the range.  The anomaly mart depends on every day of a country, so it is
-    rebuilt from the published daily mart (small: cities x days) once the
-    range's days are in it, then checked and published as a whole.
+    """Rebuild the marts for ``[start, end)``: stage all three, check all
+    three, then publish (Q12).  Returns the check results.
+
+    The daily mart aggregates the staged join (silver holds one reading per
+    key, so the join is 1:1 and is computed once).  The joined and daily
+    marts are date-partitioned and replaced only for the range.  The anomaly
+    mart depends on every day of a country; it is built from the staged days
+    of the range and the published days outside it.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     w = lake.read_silver_range(spark, paths.at("silver", "weather"), start, end, schemas.SILVER_WEATHER)
     e = lake.read_silver_range(spark, paths.at("silver", "energy"), start, end, schemas.SILVER_ENERGY)
-    marts = build_marts(w, e)
-    joined = marts["int_weather_energy_joined"].withColumn("activity_date", F.to_date("time"))
-    daily = marts["mart_daily_demand_summary"]
-    # Stage: written tables cut the lineage; checks read the staged copies.
-    lake.write_partitioned(joined, paths.staging(run_id, "joined"), partition_cols=["activity_date"])
-    lake.write_partitioned(daily, paths.staging(run_id, "daily"), partition_cols=["activity_date"])
-    staged_joined = spark.read.schema(joined.schema).parquet(paths.staging(run_id, "joined"))
-    staged_daily = spark.read.schema(daily.schema).parquet(paths.staging(run_id, "daily"))
+
+    def staged(rows: DataFrame, name: str, by_day: bool) -> DataFrame:
+        path = paths.staging(run_id, name)
+        if by_day:
+            lake.write_partitioned(rows, path, partition_cols=["activity_date"])
+        else:
+            rows.write.mode("overwrite").parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    joined = staged(join_hourly(w, e).withColumn("activity_date", F.to_date("time")), "joined", True)
+    daily = staged(daily_summary(joined), "daily", True)
+    elsewhere = _published_days(spark, paths, daily.schema) \
+        .where((F.col("activity_date") < F.lit(start).cast("date")) | (F.col("activity_date") >= F.lit(end).cast("date")))
+    anomaly = staged(anomaly_days_grouped(daily.unionByName(elsewhere)), "anomaly", False)
 
     allowed = accepted_countries if accepted_countries is not None else [k for _, k in dims.CITIES]
     checks = quality.run_checks(
         {"stg_weather": (w, NOT_NULL["stg_weather"]), "stg_energy": (e, NOT_NULL["stg_energy"]),
-         "int_weather_energy_joined": (staged_joined, NOT_NULL["int_weather_energy_joined"]),
-         "mart_daily_demand_summary": (staged_daily, NOT_NULL["mart_daily_demand_summary"])},
+         "int_weather_energy_joined": (joined, NOT_NULL["int_weather_energy_joined"]),
+         "mart_daily_demand_summary": (daily, NOT_NULL["mart_daily_demand_summary"]),
+         "mart_anomaly_days": (anomaly, NOT_NULL["mart_anomaly_days"])},
         countries={"stg_weather": "country", "stg_energy": "country"}, accepted=allowed).cache()
     quality.assert_passed(checks)
-    lake.write_partitioned(staged_joined, paths.gold("int_weather_energy_joined"),
-                           partition_cols=["activity_date"])
-    lake.write_partitioned(staged_daily, paths.gold("mart_daily_demand_summary"),
-                           partition_cols=["activity_date"])
-
-    published = spark.read.schema(daily.schema).parquet(paths.gold("mart_daily_demand_summary"))
-    anomaly = anomaly_days_grouped(published)
-    anomaly.write.mode("overwrite").parquet(paths.staging(run_id, "anomaly"))
-    staged_anomaly = spark.read.schema(anomaly.schema).parquet(paths.staging(run_id, "anomaly"))
-    anomaly_checks = quality.run_checks(
-        {"mart_anomaly_days": (staged_anomaly, NOT_NULL["mart_anomaly_days"])}).cache()
-    quality.assert_passed(anomaly_checks)
-    staged_anomaly.write.mode("overwrite").parquet(paths.gold("mart_anomaly_days"))
-    return checks.unionByName(anomaly_checks)
+    for name, rows in (("int_weather_energy_joined", joined), ("mart_daily_demand_summary", daily)):
+        lake.write_partitioned(rows, paths.gold(name), partition_cols=["activity_date"])
+        lake.drop_empty_days(spark, paths.gold(name), rows.select(F.col("activity_date").alias("event_date")),
+                             start, end, by_parts=False)
+    anomaly.write.mode("overwrite").parquet(paths.gold("mart_anomaly_days"))
+    return checks
+
+
+def _published_days(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(paths.gold("mart_daily_demand_summary"))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def register_marts(spark: SparkSession, root: str, database: str = "default") -> None:
+    """The published marts by name: two tables over their folders,
+    and the anomaly mart as a view over its own."""
+    paths = Paths(root.rstrip("/"))
+    for name in ("int_weather_energy_joined", "mart_daily_demand_summary"):
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{paths.gold(name)}'")
+        spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+    materialise_view(spark.read.parquet(paths.gold("mart_anomaly_days")), "mart_anomaly_days")
 
 
 class ArrivalIncomplete(RuntimeError):
@@ -213,30 +245,38 @@ class ArrivalIncomplete(RuntimeError):
 
 
 def arrival_gaps(spark: SparkSession, paths: Paths, start: str, end: str,
-                 expected_hours: int = 24) -> list[dict]:
-    """(source, city, date) groups of the range with fewer hours than expected.
+                 expected_hours: int = 24, cities: DataFrame | None = None) -> DataFrame:
+    """``source, city_name, event_date, rows, hours`` of every expected
+    (source, city, date) of the range with fewer hours than expected.
 
-    One aggregation per source over the range's bronze folders; only the
-    incomplete groups (a bounded list: sources x cities x days) reach the
-    driver.
+    What is expected comes from the city list, not from what arrived, so a
+    city or a day without any rows is a gap too.
     """
+    days = F.sequence(F.lit(start).cast("date"), F.date_sub(F.lit(end).cast("date"), 1))
+    expected = (cities if cities is not None else dims.dim_city(spark)).select("city_name").distinct() \
+        .select("city_name", F.explode(days).alias("event_date"))
     gaps = []
     for source in SOURCES:
         text = lake.read_day_range(spark, paths.at("bronze", source), start, end, "text", BRONZE_TEXT)
         rows = records.valid_rows((records.decode_weather if source == "weather" else records.decode_energy)(
             text.select("value")))
         ready = quality.partition_ready(rows, expected_hours=expected_hours, by=["city_name"])
-        gaps += [dict(r.asDict(), source=source) for r in ready.where(~F.col("complete")).collect()]
-    return gaps
+        gaps.append(expected.join(ready, ["city_name", "event_date"], "left")
+                    .where(~F.coalesce("complete", F.lit(False)))
+                    .select(F.lit(source).alias("source"), "city_name", "event_date", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+                            F.coalesce("hours", F.lit(0)).cast("long").alias("hours")))
+    return gaps[0].unionByName(gaps[1])
 
 
 def run_range(spark: SparkSession, root: str, start: str, end: str, land: bool = True,
-              accepted_countries: list[str] | None = None, require_complete: bool = False) -> dict:
+              accepted_countries: list[str] | None = None, require_complete: bool = False,
+              cities: DataFrame | None = None) -> dict:
     """One job per step for the whole range ``[start, end)``.
 
     ``require_complete`` re-aims the arrival wait (N4): after landing, the
-    run stops with ``ArrivalIncomplete`` unless every city has all hours of
-    every day in bronze; the caller decides when to try again.
+    run stops with ``ArrivalIncomplete`` unless every city (of ``cities``,
+    the fixed list by default) has all hours of every day in bronze; the
+    caller decides when to try again.
     """
     paths = Paths(root.rstrip("/"))
     run_id = uuid.uuid4().hex[:12]
@@ -244,9 +284,11 @@ def run_range(spark: SparkSession, root: str, start: str, end: str, land: bool =
     if land:
         report["bronze"] = land_payloads(spark, paths, start, end, run_id)
     if require_complete:
-        gaps = arrival_gaps(spark, paths, start, end)
-        if gaps:
-            raise ArrivalIncomplete(f"incomplete days: {gaps[:10]}")
+        where = f"{paths.root}/reports/arrival_gaps/run={run_id}"
+        arrival_gaps(spark, paths, start, end, cities=cities).write.mode("overwrite").parquet(where)
+        missing = spark.read.parquet(where).count()
+        if missing:
+            raise ArrivalIncomplete(f"{missing} incomplete (source, city, date) entries, listed in {where}")
     report["silver"] = silver_step(spark, paths, start, end, run_id)
     checks = marts_step(spark, paths, start, end, accepted_countries, run_id)
     report["checks"] = {f"{r['table']}.{r['column']}.{r['check']}": r["failures"] for r in checks.collect()}
@@ -254,8 +296,9 @@ def run_range(spark: SparkSession, root: str, start: str, end: str, land: bool =
 
 
 def run_day(spark: SparkSession, root: str, day: str, land: bool = True,
-            accepted_countries: list[str] | None = None, require_complete: bool = False) -> dict:
+            accepted_countries: list[str] | None = None, require_complete: bool = False,
+            cities: DataFrame | None = None) -> dict:
     """One date for every step (Q11): land -> silver -> marts -> checks."""
     d = dt.date.fromisoformat(day)
     return run_range(spark, root, d.isoformat(), (d + dt.timedelta(days=1)).isoformat(), land,
-                     accepted_countries, require_complete)
+                     accepted_countries, require_complete, cities)

@@ -6,6 +6,7 @@ Mapping (kept identical in every oracle SQL text):
 * weather row = an ``events`` row with ``event_type = 'view'``
     temperature = value - 20, humidity = props.k, wind_speed = |value - 100|,
     precipitation = max(value - 100, 0), weather_code = props.k % 4
+  (measures rounded to 2 decimals, so that no binary noise is in them)
 * load row    = an ``events`` row with ``event_type = 'purchase'``,
     load_mw = value + 1000
 * time        = ``ts``
@@ -62,8 +63,9 @@ def stage_weather(spark: SparkSession, sf_dir: str, with_id: bool = False) -> Da
     hum = humidity_of()
     out = _with_city(ev, spark).select(*(["event_id"] if with_id else []),
         "city_name", "country", "latitude", "longitude", F.col("ts").alias("time"),
-        (v - 20.0).alias("temperature"), hum.alias("humidity"),
-        F.abs(v - 100.0).alias("wind_speed"), F.greatest(v - 100.0, F.lit(0.0)).alias("precipitation"),
+        F.round(v - 20.0, 2).alias("temperature"), hum.alias("humidity"),
+        F.round(F.abs(v - 100.0), 2).alias("wind_speed"),
+        F.round(F.greatest(v - 100.0, F.lit(0.0)), 2).alias("precipitation"),
         (hum % 4).alias("weather_code"))
     return out.withColumn("weather", dims.weather_text(F.col("weather_code")))
 
@@ -72,7 +74,7 @@ def stage_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """stg_energy over the driver tables."""
     ev = events(spark, sf_dir).where(F.col("event_type") == "purchase")
     return _with_city(ev, spark).select("city_name", "country", F.col("ts").alias("time"),
-                                        (F.col("value") + 1000.0).alias("load_mw"))
+                                        F.round(F.col("value") + 1000.0, 2).alias("load_mw"))
 
 
 # SQL text of the same mapping, shared by every oracle query.
@@ -82,17 +84,17 @@ CITY_VALUES_SQL = "(VALUES " + ", ".join(
 
 STAGE_WEATHER_SQL = f"""
 SELECT c.city_name, c.country, c.latitude, c.longitude, e.ts AS time,
-       e.value - 20.0 AS temperature,
+       round(e.value - 20.0, 2) AS temperature,
        CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS humidity,
-       abs(e.value - 100.0) AS wind_speed,
-       greatest(e.value - 100.0, 0.0) AS precipitation,
+       round(abs(e.value - 100.0), 2) AS wind_speed,
+       round(greatest(e.value - 100.0, 0.0), 2) AS precipitation,
        CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 4 AS weather_code
 FROM events e JOIN {CITY_VALUES_SQL} ON c.ord = e.user_id % {N_CITIES}
 WHERE e.event_type = 'view'
 """.replace("AS dim_city(", "AS c(")
 
 STAGE_ENERGY_SQL = f"""
-SELECT c.city_name, c.country, e.ts AS time, e.value + 1000.0 AS load_mw
+SELECT c.city_name, c.country, e.ts AS time, round(e.value + 1000.0, 2) AS load_mw
 FROM events e JOIN {CITY_VALUES_SQL} ON c.ord = e.user_id % {N_CITIES}
 WHERE e.event_type = 'purchase'
 """.replace("AS dim_city(", "AS c(")

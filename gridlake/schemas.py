@@ -28,7 +28,8 @@ WEATHER_PAYLOAD = _struct(("city_name", S), ("country", S), ("latitude", D), ("l
                           ("hourly", WEATHER_HOURLY))
 
 # Load payload: nested XML tree (namespace ignored).
-LOAD_POINT = _struct(("position", I), ("quantity", S))
+# both as text: a bad value voids its point, not the document
+LOAD_POINT = _struct(("position", S), ("quantity", S))
 LOAD_PERIOD = _struct(
     ("timeInterval", _struct(("start", S), ("end", S))),
     ("resolution", S),

@@ -4,7 +4,7 @@
 zone, AQE with skew-join splitting, dynamic partition overwrite).
 ``shared_dir`` hands out fresh sub-folders of the cluster's checkpoint
 folder (``spark.checkpoint.dir``); a folder of our own is only chosen when
-the session has none, which is the case in ad-hoc local runs.
+the session has none and runs on one machine; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -59,13 +59,12 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
     The initial shuffle partition count is chosen so that one partition of
     the expected shuffle volume (``input_bytes * shuffle_fraction``) is about
     ``partition_bytes`` and fits an executor core's memory, never fewer than
-    two waves of cores and at most 100k (map-output bookkeeping grows with
-    maps x reducers).  AQE then coalesces small partitions to the advisory
+    two waves of cores.  AQE then coalesces small partitions to the advisory
     size and splits skewed ones; scan splits use the same target size.
     """
     cores = executors * cores_per_executor
     wanted = int(input_bytes * shuffle_fraction // partition_bytes) + 1
-    partitions = max(2 * cores, min(wanted, 100_000))
+    partitions = max(2 * cores, wanted)
     size = f"{partition_bytes // 2**20}m"
     return {
         "spark.sql.shuffle.partitions": str(partitions),
@@ -94,13 +93,17 @@ def apply_pipeline_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (ad-hoc local runs, tests) is a
-    folder of our own created and registered as the checkpoint dir.
+    Only when the session has none and its executors are this process
+    (``local[..]``: ad-hoc runs, tests) is a folder of our own created and
+    registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="gridlake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

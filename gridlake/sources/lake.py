@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,18 @@ from gridlake.functions.timefmt import parse_iso
 PARTS = ["year", "month", "day"]
 # JSON text keeps microseconds and the offset (the default drops to millis).
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+JSON_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def observed_rows(observation: Observation) -> int:
+    """Row count of a finished write (F6); 0 if its plan was empty, in which
+    case Spark runs no job and delivers no metrics."""
+    try:
+        return observation.get["rows"]
+    except Py4JJavaError as exc:
+        if "AssertionError" not in str(exc.java_exception):
+            raise
+        return 0
 
 
 def _rebalanced(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -42,19 +55,46 @@ def write_partitioned(df: DataFrame, root: str, fmt: str = "parquet", mode: str
     out = df.observe(observation, F.count(F.lit(1)).alias("rows")) if observation else df
     writer = _rebalanced(out, cols).write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if fmt == "json":
-        writer = writer.option("timestampFormat", JSON_TIMESTAMP_FORMAT)
+        writer = writer.option("timestampFormat", JSON_TIMESTAMP_FORMAT).option("timestampNTZFormat", JSON_NTZ_FORMAT)
     writer.partitionBy(*cols).format(fmt).save(root)
 
 
-def write_bronze(df: DataFrame, root: str, time_col: str = "time", mode: str = "append") -> None:
+def write_bronze(df: DataFrame, root: str, time_col: str = "time", mode: str = "append",
+                 batch: str | None = None) -> None:
     """NDJSON by event date; late records land in their own date.
 
     ``time_col`` may hold ISO text (records as received) or a timestamp.
+    ``batch`` names a sub-partition of each day for this writer, so that
+    several writers (streams, batch landings) share a bronze folder and an
+    overwrite replaces only the writer's own rows.
     """
     t = parse_iso(time_col) if dict(df.dtypes)[time_col] == "string" else F.col(time_col)
     dated = (df.withColumn("year", F.year(t)).withColumn("month", F.month(t))
              .withColumn("day", F.dayofmonth(t)))
-    write_partitioned(dated, root, fmt="json", mode=mode)
+    if batch is None:
+        write_partitioned(dated, root, fmt="json", mode=mode)
+    else:
+        write_partitioned(dated.withColumn("batch", F.lit(batch)), root, fmt="json", mode=mode,
+                          partition_cols=PARTS + ["batch"])
+
+
+def drop_empty_days(spark: SparkSession, root: str, kept: DataFrame, start: str, end: str,
+                    sub: str = "", by_parts: bool = True) -> list[str]:
+    """Remove the day folders of ``[start, end)`` that ``kept`` (the rows
+    just written, with ``event_date``) does not hold: dynamic overwrite leaves
+    days alone that a rerun no longer fills.  Returns the removed days."""
+    held = {r["event_date"] for r in kept.select("event_date").distinct().collect()}   # at most the range's days
+    lo, hi = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    gone = []
+    for day in (lo + dt.timedelta(days=i) for i in range((hi - lo).days)):
+        if day in held:
+            continue
+        folder = f"year={day.year}/month={day.month}/day={day.day}" if by_parts else f"activity_date={day.isoformat()}"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{folder}{sub}")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(path) and fs.delete(path, True):
+            gone.append(day.isoformat())
+    return gone
 
 
 def read_bronze(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -114,6 +154,8 @@ def read_day_range(spark: SparkSession, root: str, start: str, end: str, fmt: st
         if "PATH_NOT_FOUND" not in str(exc) or schema is None:
             raise
         return spark.createDataFrame([], schema)
+    if schema is not None and "year" not in df.columns:     # the day's folder is there, but empty
+        return spark.createDataFrame([], schema)
     d = F.make_date("year", "month", "day")
     return df.where((d >= F.lit(start).cast("date")) & (d < F.lit(end).cast("date")))
 

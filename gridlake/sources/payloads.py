@@ -9,14 +9,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlake import schemas
 from gridlake.functions.timefmt import parse_iso
 
 
-def read_weather_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON payload per line (context columns + ``hourly`` arrays)."""
-    return spark.read.schema(schemas.WEATHER_PAYLOAD).json(path)
+CORRUPT = "_corrupt_record"
+
+
+def read_weather_payloads(spark: SparkSession, path: str, with_corrupt: bool = False) -> DataFrame:
+    """One JSON payload per line (context columns + ``hourly`` arrays).
+
+    ``with_corrupt`` adds the text of lines that are no such payload as
+    ``_corrupt_record`` and the file's time as ``ingest_ts``.
+    """
+    if not with_corrupt:
+        return spark.read.schema(schemas.WEATHER_PAYLOAD).json(path)
+    full = T.StructType(schemas.WEATHER_PAYLOAD.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    lines = spark.read.text(path).where(F.trim("value") != "") \
+        .select("value", F.col("_metadata.file_modification_time").alias("ingest_ts"))
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # generator boundary: the line is parsed once, whatever is filtered later
+    return lines.select("ingest_ts", F.explode(F.array(parsed)).alias("_p")).select("_p.*", "ingest_ts")
+
+
+def rejected_weather(payloads: DataFrame, rows: DataFrame) -> DataFrame:
+    """Quarantine rows of a weather landing: payload lines that do not
+    parse, and hours whose time does not."""
+    lines = payloads.where(F.col(CORRUPT).isNotNull()).select(
+        F.lit("weather").alias("source"), F.col(CORRUPT).alias("raw"), F.lit("malformed_payload").alias("reason"),
+        F.lit(None).cast("date").alias("event_date"))
+    hours = rows.where(parse_iso("time").isNull()).select(
+        F.lit("weather").alias("source"), F.to_json(F.struct("city_name", "country", "time", "temperature")).alias("raw"),
+        F.when(F.col("time").isNull(), F.lit("missing_time")).otherwise(F.lit("bad_time")).alias("reason"),
+        F.lit(None).cast("date").alias("event_date"))
+    return lines.unionByName(hours)
 
 
 def restrict_hours(rows: DataFrame, start_date: str, end_date: str, time_col: str = "time",
@@ -29,8 +57,10 @@ def restrict_hours(rows: DataFrame, start_date: str, end_date: str, time_col: st
 
 
 def read_load_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Landed load documents as ``country, city_name, xml`` JSON lines."""
-    return spark.read.schema(schemas.LOAD_LANDED).json(path)
+    """Landed load documents as ``country, city_name, xml`` JSON lines,
+    with the file's time as ``ingest_ts``."""
+    return spark.read.schema(schemas.LOAD_LANDED).json(path) \
+        .withColumn("ingest_ts", F.col("_metadata.file_modification_time"))
 
 
 def write_landed(df: DataFrame, path: str) -> None:

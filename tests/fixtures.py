@@ -1,6 +1,7 @@
 """Small hand-made inputs (FIXTURES.md §7) for operator tests."""
 
 import json
+from decimal import ROUND_HALF_UP, Decimal
 
 # Fixed value: default XML namespace of load documents (IEC 62325-451-6); parsing ignores it.
 XML_NS = "urn:iec62325.351:tc57wg16:451-6:generationloaddocument:3:0"
@@ -31,14 +32,19 @@ def weather_payload(city, country, lat, lon, day, temps, hums, winds, precs, cod
                                   "weather_code": codes, "shortwave_radiation": [0.0] * len(temps)}})
 
 
-# The 24 Berlin hours of the weather sample (2026-03-13) and 10 load hours
-# (2026-03-03) of the energy sample, as plain data.
-SAMPLE_TEMPS = [6.1, 5.6, 5.1, 4.8, 4.8, 4.9, 5.1, 6.6, 8.3, 10.4, 12.2, 13.3, 14.4, 15.1, 15.2, 14.9,
-                14.1, 12.8, 12.6, 12.1, 11.6, 10.9, 10.9, 10.1]
-SAMPLE_HUMS = [72, 74, 76, 77, 77, 76, 75, 70, 68, 61, 54, 51, 50, 45, 43, 46, 50, 55, 56, 58, 60, 63,
-               64, 67]
-SAMPLE_WINDS = [12.6, 13.7, 14.1, 14.6, 15.3, 16.2, 17.3, 18.2, 15.7, 18.9, 23.0, 23.2, 23.4, 23.1, 21.7,
-                19.2, 16.0, 13.7, 13.6, 13.2, 12.1, 11.3, 11.8, 11.9]
-SAMPLE_CODES = [0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 1, 0, 1, 1, 3, 3, 3, 3, 3, 3, 3, 3, 3, 3]
-SAMPLE_LOADS = [45668.64, 44925.16, 45275.05, 47230.22, 51316.75, 58341.99, 62961.69, 65374.97,
-                65097.9, 63892.96]
+# One invented day of weather (24 hours) and ten invented load hours.
+SAMPLE_TEMPS = [round(4.0 + 0.9 * min(h, 24 - h) - 0.1 * (h % 3), 1) for h in range(24)]
+SAMPLE_HUMS = [80 - 2 * min(h, 24 - h) + h % 2 for h in range(24)]
+SAMPLE_WINDS = [round(9.5 + 0.7 * (h % 8), 1) for h in range(24)]
+SAMPLE_CODES = [(0, 1, 2, 3)[h // 6] for h in range(24)]
+SAMPLE_LOADS = [round(41000.25 + 1234.57 * h - 61.13 * h * h, 2) for h in range(10)]
+
+
+def mean2(values):
+    """Mean of printed values, rounded half up to two decimals."""
+    total = sum(Decimal(str(v)) for v in values)
+    return (total / len(values)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+
+
+def dec(value):
+    return Decimal(str(value)).quantize(Decimal("0.01"), ROUND_HALF_UP)

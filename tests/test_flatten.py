@@ -11,10 +11,10 @@ def test_flatten_sample_day(spark, scratch):
     rows = flatten_weather(payloads.read_weather_payloads(spark, path)).collect()
     assert len(rows) == 24
     first = rows[0].asDict()
-    assert first["time"] == "2026-03-13T00:00" and first["temperature"] == 6.1
-    assert first["humidity"] == 72 and first["weather"] == "Clear sky"
+    assert first["time"] == "2026-03-13T00:00" and first["temperature"] == fx.SAMPLE_TEMPS[0]
+    assert first["humidity"] == fx.SAMPLE_HUMS[0] and first["weather"] == "Clear sky"
     assert "shortwave_radiation" not in first
-    assert rows[14].weather == "Overcast"
+    assert rows[23].weather == "Overcast"
 
 
 def test_unknown_code(spark, scratch):

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gridlake.functions.numeric import half_up_mean_cents, sum_cents
+from gridlake.functions.numeric import exact_total, half_up_mean
 from gridlake.operators.sequence import index_within_group
 
 cents = st.integers(min_value=-10**9, max_value=10**9)
@@ -18,7 +18,7 @@ cents = st.integers(min_value=-10**9, max_value=10**9)
 def test_half_up_mean_matches_decimal(spark, groups):
     rows = [(g, float(Decimal(c) / 100)) for g, vals in enumerate(groups) for c in vals]
     df = spark.createDataFrame(rows, "g int, x double")
-    got = {r.g: r.m for r in df.groupBy("g").agg(half_up_mean_cents(sum_cents("x"), F.count("x")).alias("m")).collect()}
+    got = {r.g: r.m for r in df.groupBy("g").agg(half_up_mean(exact_total("x"), F.count("x")).alias("m")).collect()}
     for g, vals in enumerate(groups):
         exact = (Decimal(sum(vals)) / 100 / len(vals)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
         assert got[g] == float(exact)

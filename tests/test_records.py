@@ -39,7 +39,7 @@ def test_bad_fields_are_quarantined(spark):
 
 def test_unknown_weather_code(spark):
     base = ('{"city_name": "Berlin", "country": "DE", "latitude": 52.5, "longitude": 13.4, '
-            '"time": "2026-03-13T00:00", "temperature": 3.2, "humidity": 92, "wind_speed": 3.7, '
+            '"time": "2026-03-13T00:00", "temperature": 7.5, "humidity": 61, "wind_speed": 8.4, '
             '"precipitation": 0.0, "weather_code": %s}')
     df = spark.createDataFrame([(base % c,) for c in ["3", "4", "null"]], "value string")
     got = sorted(((r.weather_code, r.weather, r.reason) for r in records.decode_weather(df).collect()),
