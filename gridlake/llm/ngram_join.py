@@ -13,17 +13,20 @@ one order, rare shingles first, and indexed by their prefixes:
   index frequent shingles singly; sets near that size do both, so that any
   two that can link share a key.
 
-Frequency classes come from a table of 2**20 hashed counters over all
+Frequency classes come from a table of 2**24 hashed counters over all
 texts (the same for every set, so the order is consistent; its size does
 not depend on the corpus).  Keys that two or more sets share propose pairs:
 first each set against a few leaders of its keys, then, for keys whose sets
-are still in different components, the pairs across components.  Every
-proposed pair is verified on the whole sets.
+are still in different components, the pairs across components.  A
+proposed pair must pass an exact bound first: each set carries the parities
+of its shingles' counts in hash places, and the places in which two
+sets differ cannot outnumber the shingles that only one of them has.  What
+passes is verified on the whole sets.
 
 Scale: copies (equal sets) collapse to one node before anything is joined;
 texts are never shuffled, only keys and, for sets that share a key, the
 sets; groups of copies never become all their pairs.  A node is named by a
-64-bit hash of its set; shingles are compared by 48 bits of their hash.
+64-bit hash of its set; shingles are compared by their 64-bit hashes.
 
 Edge cases: null texts and texts without words have the empty set, link
 with nothing and are their own component; fewer words than a shingle make
@@ -34,24 +37,23 @@ an empty result; other columns of the input are ignored.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridlake.llm import membership
 from gridlake.llm import words as W
 from gridlake.llm.components import connected_components
 from gridlake.llm.staging import stage
 
-COUNTER_BITS = 20
-CHUNK = 1 << 12
+COUNTER_BITS = 24
+CHUNK = 1 << 17
 FREQUENT = 2            # class from which shingles are frequent: 4 times an even share
+MIN_PLACES = 512
 PAIR_PREFIX = 24        # longest extended prefix that is indexed in pairs
 
 
@@ -69,47 +71,59 @@ def _sets(batches, shingle: int):
             yield part.column(0), W.shingle_sets(W.words(part.column(1), lower=True), shingle)
 
 
-def frequency_classes(texts: DataFrame, shingle: int) -> np.ndarray:
+def squeeze(counters: np.ndarray) -> bytes:
+    """Counters (uint64) as compressed byte planes."""
+    planes = np.ascontiguousarray(counters.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unsqueeze(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u8")
+
+
+def frequency_classes(texts: DataFrame, shingle: int, log_counters: int = COUNTER_BITS) -> np.ndarray:
     """Class of each hashed counter: log2 of its count over an even share
-    (at least 8), 0 for counts below twice that.  2**20 bytes."""
-    size = 1 << COUNTER_BITS
+    (at least 8), 0 for counts below twice that.  One byte a counter."""
+    size = 1 << log_counters
 
     def count(batches):
         total = np.zeros(size, dtype=np.uint32)
         for _, sets in _sets(batches, shingle):
             if sets:
-                places = np.concatenate(sets) >> np.uint64(64 - COUNTER_BITS)
-                total += np.bincount(places.astype(np.int64), minlength=size).astype(np.uint32)
+                places = np.concatenate(sets) >> np.uint64(64 - log_counters)
+                np.add.at(total, places.astype(np.int64), np.uint32(1))
         chunks = [i for i in range(size // CHUNK) if total[i * CHUNK:(i + 1) * CHUNK].any()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(chunks, pa.int32()),
-             pa.array([zlib.compress(total[i * CHUNK:(i + 1) * CHUNK].tobytes(), 1) for i in chunks], pa.binary())],
+             pa.array([squeeze(total[i * CHUNK:(i + 1) * CHUNK]) for i in chunks], pa.binary())],
             names=["chunk", "counts"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(CHUNK, dtype=np.uint64)
         for packed in pdf["counts"]:
-            total += np.frombuffer(zlib.decompress(packed), dtype=np.uint32)
-        return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "counts": [total.tobytes()]})
+            total += unsqueeze(packed)
+        return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "counts": [squeeze(total)]})
 
     rows = texts.mapInArrow(count, "chunk int, counts binary").groupBy("chunk") \
-        .applyInPandas(add, "chunk int, counts binary").collect()           # 2**20 counters in all
-    total = np.zeros(size, dtype=np.uint64)
+        .applyInPandas(add, "chunk int, counts binary").collect()           # the counters, whatever the corpus
+    share = max(sum(int(unsqueeze(r["counts"]).sum()) for r in rows) / size, 8.0)
+    classes = np.zeros(size, dtype=np.uint8)
     for r in rows:
-        total[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], dtype=np.uint64)
-    share = max(float(total.mean()), 8.0)
-    return np.floor(np.log2(np.maximum(total / share, 1.0))).astype(np.uint8)
+        ratio = np.maximum(unsqueeze(r["counts"]) / share, 1.0)
+        classes[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.floor(np.log2(ratio)).astype(np.uint8)
+    return classes
 
 
-def index_keys(s: np.ndarray, classes: np.ndarray, num: int, den: int) -> np.ndarray:
+def index_keys(s: np.ndarray, classes: np.ndarray, num: int, den: int, frequent: int = FREQUENT) -> np.ndarray:
     """Prefix keys of one sorted distinct set; linked sets share a key."""
     n = len(s)
     least = -(-num * n // den)                  # shared shingles that a link needs
     first, extended = n - least + 1, min(n, n - least + 2)
-    cls = classes[(s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+    cls = classes[(s >> np.uint64(65 - len(classes).bit_length())).astype(np.int64)]
     order = np.lexsort((s, cls))[:extended]
     head, cls = s[order], cls[order]
-    rare = int(np.searchsorted(cls, FREQUENT))
+    rare = int(np.searchsorted(cls, frequent))
     keys = [W.mix64(head[:min(rare, first)] ^ np.uint64(0x1))]
     often = head[rare:]
     if len(often):
@@ -122,24 +136,38 @@ def index_keys(s: np.ndarray, classes: np.ndarray, num: int, den: int) -> np.nda
     return np.unique(np.concatenate(keys))
 
 
-def indexed(texts: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
-    """(id, node, n, keys) of each text."""
-    sent = texts.sparkSession.sparkContext.broadcast(frequency_classes(texts, shingle))
+def parities(s: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Is the number of shingles in each hash place odd?  Four places (a power
+    of two, at least MIN_PLACES) for each shingle by which a linked set may
+    differ, as int64 words."""
+    apart = 2 * len(s) * (den - num) // (den + num)
+    places = max(MIN_PLACES, 1 << max(4 * apart - 1, 0).bit_length())
+    place = (W.mix64(s) & np.uint64(places - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=places) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
+def indexed(texts: DataFrame, shingle: int, num: int, den: int, frequent: int = FREQUENT,
+            log_counters: int = COUNTER_BITS) -> DataFrame:
+    """(id, node, n, parity, keys) of each text."""
+    sent = texts.sparkSession.sparkContext.broadcast(frequency_classes(texts, shingle, log_counters))
 
     def over(batches):
         for ids, sets in _sets(batches, shingle):
-            keys = [index_keys(s, sent.value, num, den).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
+            keys = [index_keys(s, sent.value, num, den, frequent).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
+            parity = [parities(s, num, den) for s in sets]
+            longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(nodes_of(sets).view(np.int64)), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["id", "node", "n", "keys"])
+                 pa.array(parity, longs), pa.array(keys, longs)], names=["id", "node", "n", "parity", "keys"])
 
-    return texts.mapInArrow(over, "id long, node long, n long, keys array<long>")
+    return texts.mapInArrow(over, "id long, node long, n long, parity array<long>, keys array<long>")
 
 
 def whole_sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(node, tokens) of the wanted (node, id) rows, recomputed from their
-    texts: 6 bytes a shingle, ascending.  A bitmap of the wanted rows keeps
-    other texts out of the shuffle."""
+    """(node, tokens) of the wanted (node, id) rows: the sets recomputed from
+    their texts.  A bitmap of the wanted rows keeps other texts out of the
+    shuffle."""
     stamp = F.xxhash64("node", F.coalesce("id", F.lit(-1)))
     marked = stage(wanted.select("node", F.coalesce("id", F.lit(-1)).alias("id")).withColumn("stamp", stamp), "join-wanted")
     sent = texts.sparkSession.sparkContext.broadcast(membership.build(marked, "stamp", marked.count()))
@@ -152,9 +180,10 @@ def whole_sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             at = np.flatnonzero(sent.value.contains(stamps))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(known[at]), pa.array(names.view(np.int64)[at]),
-                 pa.array([pack(sets[i]) for i in at.tolist()], pa.binary())], names=["id", "node", "tokens"])
+                 pa.array([sets[i].view(np.int64) for i in at.tolist()], pa.list_(pa.int64()))],
+                names=["id", "node", "tokens"])
 
-    found = texts.mapInArrow(over, "id long, node long, tokens binary")
+    found = texts.mapInArrow(over, "id long, node long, tokens array<long>")
     return found.join(marked.select("node", "id"), ["node", "id"], "left_semi").groupBy("node") \
         .agg(F.first("tokens").alias("tokens"))
 
@@ -165,79 +194,96 @@ def row_stamp(node: int, ident: int) -> int:
     return xxhash.xxh64_intdigest((ident & (1 << 64) - 1).to_bytes(8, "little"), seed=seed)
 
 
-def pack(s: np.ndarray) -> bytes:
-    """First 48 bits of each hash, 6 bytes each, ascending."""
-    return s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
+    """(a, b) of the proposed (a, b, na, nb) pairs that link."""
+    pairs = stage(pairs, "join-passing")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stage(whole_sets(texts, nodes.select("node", "id").join(wanted, "node", "left_semi"), shingle), "join-sets")
+    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a") \
+        .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b") \
+        .withColumn("both", F.size(F.array_intersect("ta", "tb")).cast("long"))
+    return met.filter(F.lit(den) * F.col("both") >= F.lit(num) * (F.col("na") + F.col("nb") - F.col("both"))) \
+        .select("a", "b")
+
 
+def may_link(num: int, den: int):
+    """Condition on (pa, pb, na, nb): of a linked pair, at most
+    ``(na + nb) (den - num) / (den + num)`` shingles are in one set only.
+    Sizes differ by less than twice, so one parity is at most twice as long
+    as the other; the longer one is folded."""
+    def level(long: str, short: str):
+        half = F.call_function("div", F.size(long), F.lit(2)).cast("int")
+        return F.when(F.size(long) > F.size(short),
+                      F.zip_with(F.slice(long, F.lit(1), half), F.slice(long, half + 1, half),
+                                 lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(long))
 
-def unpack(raw: bytes) -> np.ndarray:
-    full = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
-    full[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
-    return full.reshape(-1).view(">u8").astype(np.uint64)
+    apart = F.aggregate(F.zip_with(level("pa", "pb"), level("pb", "pa"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                        F.lit(0), lambda t, n: t + n)
+    return apart * F.lit(den + num) <= (F.col("na") + F.col("nb")) * F.lit(den - num)
 
 
-@F.arrow_udf(T.LongType())
-def shared_count(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Shingles that two packed sets share."""
-    return pa.array([len(np.intersect1d(unpack(x.as_py()), unpack(y.as_py()), assume_unique=True))
-                     for x, y in zip(a, b)], pa.int64())
+def passing(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b, na, nb) of the (a, b) pairs whose sizes, then parities allow a link."""
+    size, parity = nodes.select("node", "n"), nodes.select("node", "parity")
+    close = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").filter(sizes_allow(num, den))
+    return close.join(parity.toDF("a", "pa"), "a").join(parity.toDF("b", "pb"), "b").filter(may_link(num, den)) \
+        .select("a", "b", "na", "nb")
 
 
-def links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) of the proposed (a, b, na, nb) pairs that link."""
-    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a") \
-        .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b") \
-        .withColumn("both", shared_count("ta", "tb"))
-    return met.filter(F.lit(den) * F.col("both") >= F.lit(num) * (F.col("na") + F.col("nb") - F.col("both"))) \
-        .select("a", "b")
+def sizes_allow(num: int, den: int):
+    return F.lit(den) * F.least("na", "nb") >= F.lit(num) * F.greatest("na", "nb")
 
 
-LEADERS = 3
+# Flips that give each class of keys an order of its own for choosing leaders.
+FLIPS = [0, 0x5DEECE66D1234567, -0x4B9F1C3A2D7E6F11]
 
 
 def similar_sets(nodes: DataFrame, texts: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     """(node, component) of the nodes that link with another one.
 
-    ``nodes``: staged (node, n, id, keys), one row per distinct set.
+    ``nodes``: staged (node, n, id, parity, keys), one row per distinct set.
     """
-    index = nodes.select("node", "n", F.explode("keys").alias("key"))
-    leader = F.min(F.struct(F.xxhash64("node", F.pmod("key", F.lit(LEADERS))).alias("h"), F.col("node"), F.col("n")))
-    met = index.groupBy("key").agg(F.count(F.lit(1)).alias("size"), leader.alias("lead")).filter("size > 1")
-    close = F.lit(den) * F.least("na", "nb") >= F.lit(num) * F.greatest("na", "nb")
-    listed = stage(index.join(met, "key").select("key", "node", "n", "size", F.col("lead.node").alias("leader"),
-                                                 F.col("lead.n").alias("leader_n")), "join-index")
-    proposed = listed.filter("leader <> node").select(
-        F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"),
-        F.when(F.col("leader") < F.col("node"), F.col("leader_n")).otherwise(F.col("n")).alias("na"),
-        F.when(F.col("leader") < F.col("node"), F.col("n")).otherwise(F.col("leader_n")).alias("nb"))
-    proposed = stage(proposed.filter(close).distinct(), "join-pairs")
+    index = nodes.select("node", F.explode("keys").alias("key"))
+    flip = F.element_at(F.array(*[F.lit(f).cast("long") for f in FLIPS]), F.pmod("key", F.lit(len(FLIPS))).cast("int") + 1)
+    # a key's leader is its least node in the key's order; keys with the same sets (told by two
+    # sums over them) say the same, one of them is enough
+    lists = index.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), F.min(F.col("node").bitwiseXOR(flip)).alias("low"),
+        F.bit_xor(F.xxhash64("node")).alias("mark"), F.sum(F.col("node").bitwiseAND(0xFFFF)).alias("check")) \
+        .filter("size > 1").groupBy("size", "mark", "check").agg(F.min(F.struct("key", "low")).alias("one")) \
+        .select("one.key", "one.low", "size")
+    listed = stage(index.join(lists, "key").select("key", "node", "size", F.col("low").bitwiseXOR(flip).alias("leader")),
+                   "join-index")
+    proposed = stage(listed.filter("leader <> node").select(
+        F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct(), "join-pairs")
+    edges = stage(links(passing(proposed, nodes, num, den), nodes, texts, shingle, num, den), "join-links")
     # keys of three and more sets may hide pairs that no leader was part of
-    wanted = proposed.select(F.explode(F.array("a", "b")).alias("node")) \
-        .union(listed.filter("size > 2").select("node")).distinct()
-    sets = stage(whole_sets(texts, nodes.select("node", "id").join(wanted, "node", "left_semi"), shingle), "join-sets")
-    edges = stage(links(proposed, sets, num, den), "join-links")
     near = connected_components(edges)
-    placed = listed.filter("size > 2").select("key", "node", "n").join(near, "node", "left") \
+    placed = listed.filter("size > 2").select("key", "node").join(near, "node", "left") \
         .withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    open_rows = stage(placed.join(mixed.select("key"), "key", "left_semi"), "join-open")
-    x = open_rows.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = open_rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).filter(close) \
-        .select("a", "b", "na", "nb").distinct().join(proposed.select("a", "b"), ["a", "b"], "left_anti")
-    more = links(rest, sets, num, den)
+    open_rows = stage(placed.join(mixed.select("key"), "key", "left_semi")
+                      .join(nodes.select("node", "n", "parity"), "node"), "join-open")
+    x = open_rows.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"),
+                         F.col("parity").alias("pa"))
+    y = open_rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"),
+                         F.col("parity").alias("pb"))
+    rest = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & sizes_allow(num, den)) \
+        .filter(may_link(num, den)).select("a", "b", "na", "nb").distinct().join(proposed, ["a", "b"], "left_anti")
+    more = links(rest, nodes, texts, shingle, num, den)
     return connected_components(edges.union(more))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                       num: int = 90, den: int = 100) -> DataFrame:
+                       num: int = 90, den: int = 100, frequent: int = FREQUENT) -> DataFrame:
     """(id, n_shingles, node, component_id) per row; ``num / den`` (above a
     half) is the similarity that links."""
     if not den < 2 * num <= 2 * den:
         raise ValueError("the similarity must be above 1/2 and at most 1")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = stage(indexed(texts, shingle, num, den), "join-rows")
+    rows = stage(indexed(texts, shingle, num, den, frequent), "join-rows")
     nodes = stage(rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("id").alias("id"),
+                                                           F.first("parity").alias("parity"),
                                                            F.first("keys").alias("keys")), "join-nodes")
     near = similar_sets(nodes, texts, shingle, num, den)
     placed = nodes.select("node", "id").join(near, "node", "left") \

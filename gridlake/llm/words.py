@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 17
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -59,7 +59,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def text_slices(column: pa.Array, max_bytes: int = 4 << 20):
+def text_slices(column: pa.Array, max_bytes: int = 1 << 20):
     """(first row, rows) parts of a string column of about ``max_bytes`` each
     (a longer text is a part of its own): bounds the memory of one step."""
     _, offsets = utf8(column)

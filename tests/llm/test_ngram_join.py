@@ -72,9 +72,8 @@ def test_near_copies_and_edge_rows(make_docs, odd_rows, num, den, k):
     assert got == brute([(i, t) for i, t, _ in rows], k, num, den)
 
 
-def test_frequent_classes_give_the_same_links(make_docs, monkeypatch):
+def test_frequent_classes_give_the_same_links(make_docs):
     """All shingles frequent: only pairs and long-set singles are left."""
-    monkeypatch.setattr(NJ, "FREQUENT", 0)
     rng = random.Random(3)
     rows = []
     for g in range(6):
@@ -84,14 +83,14 @@ def test_frequent_classes_give_the_same_links(make_docs, monkeypatch):
             for _ in range(rng.randint(0, 1 + len(words) // 50)):
                 words[rng.randrange(len(words))] = f"new{rng.randint(0, 10**6)}"
             rows.append((100 * g + c, " ".join(words), "g"))
-    got = result(NJ.jaccard_components(make_docs(rows)))
+    got = result(NJ.jaccard_components(make_docs(rows), frequent=0))
     assert got == brute([(i, t) for i, t, _ in rows], 3, 90, 100)
 
 
 def test_linked_sets_share_a_key():
     rng = np.random.default_rng(1)
     for frequent in (0, 1, 9):
-        classes = rng.integers(0, frequent + 1, 1 << NJ.COUNTER_BITS).astype(np.uint8)
+        classes = rng.integers(0, frequent + 1, 1 << 12).astype(np.uint8)
         for n in (9, 30, 210, 240, 262, 270, 900):
             x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) << np.uint64(1))
             drop = rng.permutation(len(x))[:int(0.05 * len(x))]
@@ -102,6 +101,24 @@ def test_linked_sets_share_a_key():
                 assert len(np.intersect1d(*keys))
 
 
+def test_parities_bound_the_difference(spark):
+    """The condition never drops a linked pair, across all size steps."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for n in (9, 500, 1000, 1024, 1030, 1100, 2050, 5000):
+        for change in (0.0, 0.02, 0.05, 0.5):
+            x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            y = np.unique(np.concatenate([x[int(change * n):], rng.integers(0, 2**63, int(change * n / 2)).astype(np.uint64)]))
+            both = len(np.intersect1d(x, y))
+            linked = 100 * both >= 90 * (len(x) + len(y) - both)
+            px, py = NJ.parities(x, 90, 100), NJ.parities(y, 90, 100)
+            rows.append((px.tolist(), py.tolist(), len(x), len(y), linked, change))
+    df = spark.createDataFrame(rows, "pa array<long>, pb array<long>, na long, nb long, linked boolean, change double")
+    for r in df.withColumn("may", NJ.may_link(90, 100)).collect():
+        assert r["may"] or not r["linked"]
+        assert not (r["may"] and r["change"] == 0.5 and r["na"] > 100)
+
+
 def test_row_stamp_is_sparks_hash(spark):
     rows = [(0, 0), (-5, 7), (2**62, -1), (-2**63, 2**63 - 1)]
     df = spark.createDataFrame(rows, "node long, id long").selectExpr("node", "id", "xxhash64(node, id) AS h")
