@@ -234,8 +234,9 @@ def sizes_allow(num: int, den: int):
     return F.lit(den) * F.least("na", "nb") >= F.lit(num) * F.greatest("na", "nb")
 
 
-# Flips that give each class of keys an order of its own for choosing leaders.
-FLIPS = [0, 0x5DEECE66D1234567, -0x4B9F1C3A2D7E6F11]
+# Flips that give each class of keys an order of its own for choosing leaders: a set meets a leader
+# of each class, so that few sets of a group of near copies stay outside its component.
+FLIPS = W.mix64(np.arange(8, dtype=np.uint64)).view(np.int64).tolist()
 
 
 def similar_sets(nodes: DataFrame, texts: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
