@@ -7,7 +7,8 @@ writes every stage as Parquet below the shared folder and reads it back.
 * toxicity: documents that score 0.7 or more go;
 * near_duplicates: 5-word shingles, Jaccard 0.8 or more; of each group the
   document with the smallest id stays;
-* secrets: live secrets are replaced by a mark, documents stay;
+* secrets: live secrets (all but widely copied examples) are replaced by a
+  mark, documents stay;
 * mix: documents are repeated, kept or left out (one per source is cut) to
   meet the sources' targets;
 * packing: token pieces of at most 2048 in as few sequences as possible.

@@ -1,13 +1,15 @@
 """Secret scans with corpus-wide ownership frequency.
 
 1. Each text is scanned by fixed patterns: three base kinds (assign,
-   access, hex) and further token shapes that are only candidates.
+   access, hex) and further token shapes that are only candidates, and
+   only if they look random.
 2. Every matched secret is hashed; Spark counts in how many repositories
    (documents) and owners (sources) each hash occurs.
 3. A secret that more than ``max_owners`` owners hold is a widely copied
-   example; one that stays with few owners, and looks random, is live.
-   Further candidates become spans only if they are live; base spans stay
-   whatever the verdict, with ``n_live`` / ``n_example`` beside them.
+   example; one that stays with few owners is live, however short or
+   plain a base secret is.  Further candidates become spans only if they
+   are live; base spans stay whatever the verdict, with ``n_live`` /
+   ``n_example`` beside them.
 
 Scale: only candidates (hash, owner, repository) are shuffled, never
 texts; counting goes (hash, owner, repository) -> (hash, owner) -> hash,
@@ -100,10 +102,10 @@ def scan_text(text: str) -> list[tuple[int, int, str, str]]:
 
 
 SCAN_SCHEMA = ("id long, owner string, n_assign long, n_access long, n_hex long, base_sha256 string,"
-               " spans array<struct<start:int,end:int,kind:string,base:boolean,random:boolean,hash:binary>>")
+               " spans array<struct<start:int,end:int,kind:string,base:boolean,hash:binary>>")
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("base", pa.bool_()),
-                            ("random", pa.bool_()), ("hash", pa.binary())]))
+                            ("hash", pa.binary())]))
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str, owner_col: str) -> DataFrame:
@@ -120,8 +122,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str, owner_col: str) -> DataFra
                 for k, column in counts.items():
                     column.append(kinds[k])
                 shas.append(hashlib.sha256(joined(base).encode()).hexdigest())
-                spans.append([{"start": a, "end": b, "kind": k, "base": k in BASE_KINDS, "random": looks_random(s),
-                               "hash": digest(s)} for a, b, k, s in found])
+                spans.append([{"start": a, "end": b, "kind": k, "base": k in BASE_KINDS, "hash": digest(s)} for a, b, k, s in found])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), *[pa.array(counts[k], pa.int64()) for k in BASE_KINDS],
                  pa.array(shas, pa.string()), pa.array(spans, SPANS)],
@@ -151,7 +152,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts = stage(ownership(hits), "secret-owners")
     judged = hits.join(counts, "hash") \
         .withColumn("example", F.col("n_owners") > F.lit(max_owners)) \
-        .withColumn("live", ~F.col("example") & F.col("random")) \
+        .withColumn("live", ~F.col("example")) \
         .filter(F.col("base") | F.col("live"))
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     per_row = judged.groupBy("row").agg(

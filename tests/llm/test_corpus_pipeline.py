@@ -66,6 +66,16 @@ def test_live_secrets_are_replaced(steps):
     assert changed > 0
 
 
+def test_short_and_plain_secrets_are_replaced(spark, make_docs):
+    plain = {1: "password=hunter2", 2: "token: correcthorsebattery", 3: "secret = 123456", 4: "0123456789" * 3,
+             5: "AKIA" + "A" * 16, 6: "abcdef" * 4}
+    rows = [(i, f"before {t} after", f"s{i}") for i, t in plain.items()]
+    rows += [(10 + i, "set password=changeme first", f"s{i}") for i in range(3)]
+    got = {r["doc_id"]: r["text"] for r in CP.redact_secrets(spark, make_docs(rows), "").collect()}
+    assert all(got[i] == f"before {CP.MARK} after" for i in plain)
+    assert all(got[10 + i] == "set password=changeme first" for i in range(3))
+
+
 def test_mix_meets_targets_with_whole_words(spark, steps):
     from gridlake.llm.mixing import mix
     sizes = {i: len(WORD.findall(t)) for i, t in steps[3].select("doc_id", "text").collect()}
