@@ -17,7 +17,9 @@ Frequency classes come from a table of 2**24 hashed counters over all
 texts (the same for every set, so the order is consistent; its size does
 not depend on the corpus).  Keys that two or more sets share propose pairs:
 first each set against a few leaders of its keys, then, for keys whose sets
-are still in different components, the pairs across components.  A
+are still in different components, the pairs across components.  That
+is enough for components; ``jaccard_links`` verifies every pair that shares
+a key and gives all links between different sets.  A
 proposed pair must pass an exact bound first: each set carries the parities
 of its shingles' counts in hash places, and the places in which two
 sets differ cannot outnumber the shingles that only one of them has.  What
@@ -55,6 +57,7 @@ CHUNK = 1 << 17
 FREQUENT = 2            # class from which shingles are frequent: 4 times an even share
 MIN_PLACES = 512
 PAIR_PREFIX = 24        # longest extended prefix that is indexed in pairs
+BLOCK = 256             # sets of a key that meet in one piece
 
 
 def nodes_of(sets: list[np.ndarray]) -> np.ndarray:
@@ -239,11 +242,8 @@ def sizes_allow(num: int, den: int):
 FLIPS = W.mix64(np.arange(8, dtype=np.uint64)).view(np.int64).tolist()
 
 
-def similar_sets(nodes: DataFrame, texts: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
-    """(node, component) of the nodes that link with another one.
-
-    ``nodes``: staged (node, n, id, parity, keys), one row per distinct set.
-    """
+def shared_keys(nodes: DataFrame) -> DataFrame:
+    """Staged (key, node, size, leader) of the keys that two or more sets share."""
     index = nodes.select("node", F.explode("keys").alias("key"))
     flip = F.element_at(F.array(*[F.lit(f).cast("long") for f in FLIPS]), F.pmod("key", F.lit(len(FLIPS))).cast("int") + 1)
     # a key's leader is its least node in the key's order; keys with the same sets (told by two
@@ -253,32 +253,55 @@ def similar_sets(nodes: DataFrame, texts: DataFrame, shingle: int, num: int, den
         F.bit_xor(F.xxhash64("node")).alias("mark"), F.sum(F.col("node").bitwiseAND(0xFFFF)).alias("check")) \
         .filter("size > 1").groupBy("size", "mark", "check").agg(F.min(F.struct("key", "low")).alias("one")) \
         .select("one.key", "one.low", "size")
-    listed = stage(index.join(lists, "key").select("key", "node", "size", F.col("low").bitwiseXOR(flip).alias("leader")),
-                   "join-index")
+    return stage(index.join(lists, "key").select("key", "node", "size", F.col("low").bitwiseXOR(flip).alias("leader")),
+                 "join-index")
+
+
+def key_pairs(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b, na, nb) of the pairs that share a key of the staged (key, node,
+    size, component) ``rows``, differ in component and may link.  A key of
+    many sets is cut into blocks that meet each other; a pair comes out
+    once, at the least key that it shares."""
+    keys = rows.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    full = stage(rows.join(keys, "node").join(nodes.select("node", "n", "parity"), "node"), "join-open")
+    parts = F.expr(f"cast((size + {BLOCK - 1}) div {BLOCK} as int)")
+    own, every = F.pmod(F.xxhash64("node"), parts).cast("int"), F.explode(F.sequence(F.lit(0), parts - 1))
+
+    def side(name: str, i, j):
+        return full.select("key", i.alias("i"), j.alias("j"), F.col("node").alias(name),
+                           *[F.col(c).alias(c[0] + name) for c in ("n", "component", "parity")],
+                           F.col("keys").alias("k" + name))
+
+    first = F.array_min(F.array_intersect("ka", "kb"))
+    return side("a", own, every).join(side("b", every, own), ["key", "i", "j"]) \
+        .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & sizes_allow(num, den)) \
+        .filter(may_link(num, den)).filter(first == F.col("key")).select("a", "b", "na", "nb")
+
+
+def similar_sets(nodes: DataFrame, texts: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
+    """(node, component) of the nodes that link with another one.
+
+    ``nodes``: staged (node, n, id, parity, keys), one row per distinct set.
+    """
+    listed = shared_keys(nodes)
     proposed = stage(listed.filter("leader <> node").select(
         F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct(), "join-pairs")
     edges = stage(links(passing(proposed, nodes, num, den), nodes, texts, shingle, num, den), "join-links")
     # keys of three and more sets may hide pairs that no leader was part of
     near = connected_components(edges)
-    placed = listed.filter("size > 2").select("key", "node").join(near, "node", "left") \
+    placed = listed.filter("size > 2").select("key", "node", "size").join(near, "node", "left") \
         .withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    open_rows = stage(placed.join(mixed.select("key"), "key", "left_semi")
-                      .join(nodes.select("node", "n", "parity"), "node"), "join-open")
-    x = open_rows.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"),
-                         F.col("parity").alias("pa"))
-    y = open_rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"),
-                         F.col("parity").alias("pb"))
-    rest = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & sizes_allow(num, den)) \
-        .filter(may_link(num, den)).select("a", "b", "na", "nb").distinct().join(proposed, ["a", "b"], "left_anti")
+    open_rows = stage(placed.join(mixed.select("key"), "key", "left_semi"), "join-mixed")
+    rest = key_pairs(open_rows, nodes, num, den).join(proposed, ["a", "b"], "left_anti")
     more = links(rest, nodes, texts, shingle, num, den)
     return connected_components(edges.union(more))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                       num: int = 90, den: int = 100, frequent: int = FREQUENT) -> DataFrame:
-    """(id, n_shingles, node, component_id) per row; ``num / den`` (above a
-    half) is the similarity that links."""
+def indexed_nodes(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int, den: int,
+                  frequent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, text) of the documents, their staged index rows, and one staged
+    row per distinct set."""
     if not den < 2 * num <= 2 * den:
         raise ValueError("the similarity must be above 1/2 and at most 1")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -286,6 +309,34 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nodes = stage(rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("id").alias("id"),
                                                            F.first("parity").alias("parity"),
                                                            F.first("keys").alias("keys")), "join-nodes")
+    return texts, rows, nodes
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                  num: int = 90, den: int = 100, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
+    """Every link between different sets as (a, b), a < b, each once, and the
+    membership (id, n_shingles, node) of the rows; equal sets are one node
+    and link with each other without a row."""
+    texts, rows, nodes = indexed_nodes(docs, id_col, text_col, shingle, num, den, frequent)
+    listed = shared_keys(nodes).select("key", "node", "size", F.col("node").alias("component"))
+    found = stage(links(key_pairs(listed, nodes, num, den), nodes, texts, shingle, num, den), "join-all-links")
+    return found, rows.select("id", F.col("n").alias("n_shingles"), "node")
+
+
+def link_counts(docs: DataFrame, **options) -> DataFrame:
+    """(id, n_shingles, node, n_links) per row: the number of other sets that
+    the row's set links with (see ``jaccard_links``)."""
+    found, members = jaccard_links(docs, **options)
+    counts = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    return members.join(counts, "node", "left").select(
+        "id", "n_shingles", "node", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                       num: int = 90, den: int = 100, frequent: int = FREQUENT) -> DataFrame:
+    """(id, n_shingles, node, component_id) per row; ``num / den`` (above a
+    half) is the similarity that links."""
+    texts, rows, nodes = indexed_nodes(docs, id_col, text_col, shingle, num, den, frequent)
     near = similar_sets(nodes, texts, shingle, num, den)
     placed = nodes.select("node", "id").join(near, "node", "left") \
         .withColumn("component", F.coalesce("component", "node"))

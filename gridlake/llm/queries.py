@@ -135,6 +135,13 @@ def op7(spark, sf_dir):
     return joined.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+@register("op7_ngram_jaccard_links")
+def op7_links(spark, sf_dir):
+    from gridlake.llm.ngram_join import link_counts
+    counted = link_counts(table(spark, sf_dir, "documents"))
+    return counted.select(F.col("id").alias("doc_id"), "n_shingles", F.col("node").alias("class_id"), "n_links")
+
+
 @register("op8_kneser_ney_lm")
 def op8(spark, sf_dir):
     from gridlake.llm.lm import score_documents, train

@@ -87,6 +87,27 @@ def test_frequent_classes_give_the_same_links(make_docs):
     assert got == brute([(i, t) for i, t, _ in rows], 3, 90, 100)
 
 
+def test_every_link_between_different_sets_is_given(make_docs, odd_rows, monkeypatch):
+    monkeypatch.setattr(NJ, "BLOCK", 7)
+    rng = random.Random(8)
+    rows = [(i, t, s) for i, t, s in odd_rows]
+    base = [f"w{i}" for i in range(80)]
+    for c in range(30):
+        words = list(base)
+        words[rng.randrange(80)] = f"new{c % 20}"
+        rows.append((1000 + c, " ".join(words), "g"))
+    sets = [shingles(t, 3) for _, t, _ in rows]
+    distinct = set(sets) - {frozenset()}
+    linked = {x: sum(x != y and 100 * len(x & y) >= 90 * len(x | y) for y in distinct) for x in distinct}
+    docs = make_docs(rows)
+    found, members = NJ.jaccard_links(docs)
+    pairs = [tuple(r) for r in found.collect()]
+    assert len(pairs) == len(set(pairs)) == sum(linked.values()) // 2 > 0 and all(a < b for a, b in pairs)
+    got = sorted(((r["id"], r["n_shingles"], r["n_links"]) for r in NJ.link_counts(docs).collect()), key=str)
+    assert got == sorted(((i, len(s), linked.get(s, 0)) for (i, _, _), s in zip(rows, sets)), key=str)
+    assert members.count() == len(rows)
+
+
 def test_linked_sets_share_a_key():
     rng = np.random.default_rng(1)
     for frequent in (0, 1, 9):
