@@ -79,6 +79,22 @@ def test_sketch_round_trip_and_merge():
     assert len(FP.sketches(pa.array(["one"], pa.string()))[0]) == 1
 
 
+def test_short_text_inside_a_long_one_is_contained(make_docs):
+    rng = random.Random(4)
+    rows, error = [], []
+    for i in range(0, 160, 2):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+        rows += [(i, " ".join(words[500:500 + rng.choice((5, 6, 8, 12, 24))]), "a"), (i + 1, " ".join(words), "a")]
+    got = {r["id"]: r for r in FP.fingerprint_documents(make_docs(rows)).collect()}
+    for i, text, _ in rows[::2]:
+        bare = FP.below(brute_sketch(text)).size == 0
+        error.append(bare)
+        assert got[i]["near_next"] == 1.0
+        sketched = FP.containment(brute_sketch(text), brute_sketch(rows[i + 1][1]))
+        assert sketched != sketched if bare else sketched == 1.0
+    assert 10 < sum(error) < 80
+
+
 def test_fingerprint_edge_rows(make_docs, odd_rows):
     got = FP.fingerprint_documents(make_docs(odd_rows)).collect()
     assert sorted((r["id"] or -1, r["n_chars"]) for r in got) == sorted((i or -1, len(t or "")) for i, t, _ in odd_rows)
