@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark.
+"""Interpolated modified Kneser-Ney model of order 2 or 3, counted in Spark.
 
     P(w | u) = (c(uw) - D(c(uw))) / c(u) + gamma(u) P(w)
     P(w)     = (k(w) - D'(k(w))) / k + gamma' / (V + 1)
@@ -8,6 +8,10 @@ from the counts of counts, and one unit of the uniform share for unknown
 words.  A text is its words (A-Z as a-z) and an end token; the first word's
 context is a begin token.
 
+At order 3 the same formula stands above, over c(tuw); the level below then
+uses k(uw), the number of distinct words before uw, in place of c(uw), and
+the first word's context is two begin tokens.
+
 Counting: tasks combine the bigrams of a few million words and send them,
 packed, to shards by hash; each shard is merged by one task, written as a
 sorted hash array below the shared folder, and passes on what each word
@@ -86,6 +90,20 @@ def tokens(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return token, context, owner
 
 
+def older(w: W.Words, context: np.ndarray) -> np.ndarray:
+    """The token before each token's context."""
+    n = len(w.offsets) - 1
+    out = np.empty_like(context)
+    out[1:] = context[:-1]
+    out[w.offsets[:-1] + np.arange(n)] = BEGIN
+    return out
+
+
+def tri_key(pair: np.ndarray, w40: np.ndarray) -> np.ndarray:
+    """Key of a trigram from its context's gram key."""
+    return W.mix64(pair * U64(0xC2B2AE3D27D4EB4F) + W.mix64(w40 + U64(1)))
+
+
 def gram_key(u40: np.ndarray, w40: np.ndarray) -> np.ndarray:
     return W.mix64(u40 * U64(0x9E3779B97F4A7C15) + W.mix64(w40))
 
@@ -103,7 +121,9 @@ def by_shard(shards: np.ndarray, log_shards: int):
 
 
 ROW = "shard int, kind string, payload binary"
-# kinds: w = (word64, count), u = (word40, followers once, twice, more), v = (word40, predecessors), s = gram file
+# kinds: w = (word64, count), u = (word40, followers once, twice, more), v = (word40, predecessors), s = gram file;
+# at order 3 u ends with the sum of k, k = (u40, w40, predecessors), c = (gram key, followers once, twice, more, count),
+# z = trigram file
 
 
 def _frame(rows) -> pa.RecordBatch:
@@ -112,13 +132,14 @@ def _frame(rows) -> pa.RecordBatch:
                                        pa.array(payload, pa.binary())], names=["shard", "kind", "payload"])
 
 
-def _flushes(batches):
-    """(token, context) of about FLUSH tokens at a time."""
+def _flushes(batches, order: int = 2):
+    """(token, context), at order 3 also the token before, of about FLUSH tokens at a time."""
     held, size = [], 0
     for batch in batches:
         for a, m in W.text_slices(batch.column(0)):
-            token, context, _ = tokens(W.words(batch.column(0).slice(a, m), lower=True))
-            held.append((token, context))
+            w = W.words(batch.column(0).slice(a, m), lower=True)
+            token, context, _ = tokens(w)
+            held.append((token, context) if order == 2 else (token, context, older(w, context)))
             size += len(token)
             if size >= FLUSH:
                 yield tuple(np.concatenate(c) for c in zip(*held))
@@ -153,6 +174,22 @@ def gram_rows(texts: DataFrame, log_shards: int) -> DataFrame:
     return texts.mapInArrow(over, ROW)
 
 
+def tri_rows(texts: DataFrame, log_shards: int) -> DataFrame:
+    def over(batches):
+        for columns in _flushes(batches, 3):
+            w, u, t = (c >> SHORT for c in columns)
+            key, first, count = np.unique(tri_key(gram_key(t, u), w), return_index=True, return_counts=True)
+            t, u, w = t[first], u[first], w[first]
+            rows = []
+            for s, at in by_shard(shard_of(key, log_shards), log_shards):
+                order = np.argsort(t[at], kind="stable")
+                rows.append((s, "t", pack(np.diff(t[at][order], prepend=U64(0)), u[at][order], w[at][order],
+                                          count[at][order].astype(U64))))
+            yield _frame(rows)
+
+    return texts.mapInArrow(over, ROW)
+
+
 def filesystem(uri: str):
     """(pyarrow file system, path) of a folder or file."""
     from pyarrow import fs
@@ -192,16 +229,72 @@ def merge_grams(pdf: pd.DataFrame, folder: str, log_shards: int) -> pd.DataFrame
     return pd.DataFrame(rows, columns=["shard", "kind", "payload"])
 
 
+def thirds(n: np.ndarray) -> list[np.ndarray]:
+    return [(n == 1).astype(U64), (n == 2).astype(U64), (n > 2).astype(U64)]
+
+
+def merge_tris(pdf: pd.DataFrame, folder: str, log_shards: int) -> pd.DataFrame:
+    """One trigram shard: file of (key, count); rows for its bigrams' shards."""
+    parts = [unpack(p, 4) for p in pdf["payload"]]
+    t = np.concatenate([np.cumsum(p[0], dtype=U64) for p in parts])
+    u, w, count = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+    pair = gram_key(t, u)
+    key, first = np.unique(tri_key(pair, w), return_index=True)
+    _, total = summed(tri_key(pair, w), count)
+    pair, u, w = pair[first], u[first], w[first]
+    name = write_arrays(folder, "tris", key, total.astype(np.float32))
+    seen = np.bincount(np.minimum(total, 5).astype(np.int64), minlength=6)[1:5]
+    rows = [(0, "z", f"{int(pdf['shard'].iloc[0])}:{name}:{len(key)}:{':'.join(map(str, seen))}".encode())]
+    context, *followers = summed(pair, *thirds(total), total)
+    rows += [(s, "c", pack(np.diff(context[at], prepend=U64(0)), *[f[at] for f in followers]))
+             for s, at in by_shard(shard_of(context, log_shards), log_shards)]
+    end, place, many = np.unique(gram_key(u, w), return_index=True, return_counts=True)
+    rows += [(s, "k", pack(u[place][at], w[place][at], many[at].astype(U64)))
+             for s, at in by_shard(shard_of(end, log_shards), log_shards)]
+    return pd.DataFrame(rows, columns=["shard", "kind", "payload"])
+
+
+def merge_pairs(pdf: pd.DataFrame, folder: str, log_shards: int) -> pd.DataFrame:
+    """One bigram shard at order 3: file of (key, count as a context,
+    predecessors, followers once, twice, more); rows for its words' shards."""
+    def gathered(kind: str, columns: int):
+        parts = [unpack(p, columns) for p in pdf.loc[pdf["kind"] == kind, "payload"]]
+        return [np.concatenate([p[i] if kind == "k" or i else np.cumsum(p[0], dtype=U64) for p in parts])
+                if parts else np.zeros(0, U64) for i in range(columns)]
+
+    u, w, many = gathered("k", 3)
+    key, first = np.unique(gram_key(u, w), return_index=True)
+    _, k = summed(gram_key(u, w), many)
+    u, w = u[first], w[first]
+    context, one, two, more, total = summed(*gathered("c", 5))
+    every = np.union1d(key, context)
+
+    def spread(keys, values):
+        out = np.zeros(len(every))
+        out[np.searchsorted(every, keys)] = values
+        return out
+
+    name = write_arrays(folder, "grams", every, spread(context, total), spread(key, k).astype(np.float32),
+                        *[spread(context, f).astype(np.float32) for f in (one, two, more)])
+    seen = np.bincount(np.minimum(k, 5).astype(np.int64), minlength=6)[1:5]
+    rows = [(0, "z", p) for p in pdf.loc[pdf["kind"] == "z", "payload"]]
+    rows.append((0, "s", f"{int(pdf['shard'].iloc[0])}:{name}:{len(every)}:{':'.join(map(str, seen))}".encode()))
+    for kind, columns in (("u", summed(u, *thirds(k), k)), ("v", summed(w, np.ones(len(w), U64)))):
+        rows += [(s, kind, pack(np.diff(columns[0][at], prepend=U64(0)), *[c[at] for c in columns[1:]]))
+                 for s, at in by_shard(shard_of(columns[0] << SHORT, log_shards), log_shards)]
+    return pd.DataFrame(rows, columns=["shard", "kind", "payload"])
+
+
 MANIFEST = "kind string, shard int, file string, n long, c1 long, c2 long, c3 long, c4 long, total long, types long, more long"
 
 
-def merge_words(pdf: pd.DataFrame, folder: str, log_shards: int) -> pd.DataFrame:
+def merge_words(pdf: pd.DataFrame, folder: str, log_shards: int, order: int = 2) -> pd.DataFrame:
     """One word shard: file of (word, count, predecessors, followers once,
-    twice, more); also forwards the gram files' lines."""
+    twice, more, at order 3 their sum of k); also forwards the gram files' lines."""
     out = []
-    for line in pdf.loc[pdf["kind"] == "s", "payload"]:
+    for kind, line in pdf.loc[pdf["kind"].isin(["s", "z"]), ["kind", "payload"]].itertuples(index=False):
         number, name, n, *seen = line.decode().split(":")
-        out.append(("gram", int(number), name, int(n), *map(int, seen), 0, 0, 0))
+        out.append(("gram" if kind == "s" else "tri", int(number), name, int(n), *map(int, seen), 0, 0, 0))
 
     def gathered(kind: str, columns: int):
         parts = [unpack(p, columns) for p in pdf.loc[pdf["kind"] == kind, "payload"]]
@@ -215,7 +308,7 @@ def merge_words(pdf: pd.DataFrame, folder: str, log_shards: int) -> pd.DataFrame
     if int(shard_of(np.array([BEGIN]), log_shards)[0]) == number:
         at = int(np.searchsorted(word, BEGIN))
         word, count = np.insert(word, at, BEGIN), np.insert(count, at, U64(0))
-    u, *followers = gathered("u", 4)
+    u, *followers = gathered("u", order + 2)
     v, before = gathered("v", 2)
 
     def at_words(keys, values):
@@ -255,19 +348,28 @@ class Model:
     gram_discount: np.ndarray
     word_discount: np.ndarray
     word_gamma: float
+    order: int = 2
+    tri_discount: np.ndarray | None = None
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Model:
+def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     """Count ``docs`` and write the model below the shared folder."""
+    if order not in (2, 3):
+        raise ValueError("the order must be 2 or 3")
     spark = docs.sparkSession
     log_shards = max(0, (shuffle_partitions(spark) - 1).bit_length())
     folder = shared_dir(spark, "llm-lm")
     texts = docs.select(F.col(text_col).alias("text"))
-    grams = gram_rows(texts, log_shards).groupBy("shard").applyInPandas(
-        lambda pdf: merge_grams(pdf, folder, log_shards), ROW)
+    if order == 2:
+        grams = gram_rows(texts, log_shards).groupBy("shard").applyInPandas(
+            lambda pdf: merge_grams(pdf, folder, log_shards), ROW)
+    else:
+        grams = tri_rows(texts, log_shards).groupBy("shard").applyInPandas(
+            lambda pdf: merge_tris(pdf, folder, log_shards), ROW).groupBy("shard").applyInPandas(
+            lambda pdf: merge_pairs(pdf, folder, log_shards), ROW)
     # one line per shard comes to the driver
     lines = word_rows(texts, log_shards).union(grams).groupBy("shard").applyInPandas(
-        lambda pdf: merge_words(pdf, folder, log_shards), MANIFEST).collect()
+        lambda pdf: merge_words(pdf, folder, log_shards, order), MANIFEST).collect()
 
     def total(kind, column):
         return sum(r[column] for r in lines if r["kind"] == kind)
@@ -279,7 +381,8 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     left = word_discount[1] * counts[0] + word_discount[2] * counts[1] + word_discount[3] * (types - counts[0] - counts[1])
     return Model(folder, log_shards, {(r["kind"], r["shard"]): (r["file"], r["n"]) for r in lines},
                  total("word", "total"), types, pairs, discounts(*[total("gram", f"c{i}") for i in (1, 2, 3, 4)]),
-                 word_discount, left / pairs if pairs else 1.0)
+                 word_discount, left / pairs if pairs else 1.0, order,
+                 discounts(*[total("tri", f"c{i}") for i in (1, 2, 3, 4)]) if order == 3 else None)
 
 
 _OPEN: dict[str, list[np.ndarray]] = {}
@@ -332,24 +435,39 @@ def score_batch(model: Model, w: W.Words) -> tuple[np.ndarray, ...]:
     token, context, owner = tokens(w)
     texts = len(w.offsets) - 1
     words, back = np.unique(np.concatenate([token, [BEGIN, END]]), return_inverse=True)
-    count, before, *followers = look_up(model, "word", words, WORD_TYPES)
+    count, before, *followers = look_up(model, "word", words, WORD_TYPES + ("<f4",) * (model.order - 2))
     of_token = back[:-2]
     # base: add-half unigrams
     base = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
     # continuation unigrams
     dw = model.word_discount[np.minimum(before, 3).astype(np.int64)]
     p1 = (before - dw) / max(model.pairs, 1) + model.word_gamma / (model.types + 1)
-    seen = count.copy()
-    seen[back[-2]] = count[back[-1]]                    # the begin token stands before as many texts as end
+    if model.order == 2:
+        seen = count.copy()
+        seen[back[-2]] = count[back[-1]]                # the begin token stands before as many texts as end
+    else:
+        seen = followers[3]
     d = model.gram_discount
     left = d[1] * followers[0] + d[2] * followers[1] + d[3] * followers[2]
     gamma = np.where(seen > 0, left / np.maximum(seen, 1), 1.0)
     at_context = np.searchsorted(words, context)
     keys, gram = np.unique(gram_key(context >> SHORT, token >> SHORT), return_inverse=True)
-    c, = look_up(model, "gram", keys, GRAM_TYPES)
+    if model.order == 2:
+        c, = look_up(model, "gram", keys, GRAM_TYPES)
+    else:
+        _, c, *_ = look_up(model, "gram", keys, WORD_TYPES)
     c = c[gram]
     p = (c - d[np.minimum(c, 3).astype(np.int64)]) / np.maximum(seen[at_context], 1) \
         + gamma[at_context] * p1[of_token]
+    if model.order == 3:
+        pair = gram_key(older(w, context) >> SHORT, context >> SHORT)
+        keys, at = np.unique(pair, return_inverse=True)
+        total, _, *follow = (x[at] for x in look_up(model, "gram", keys, WORD_TYPES))
+        keys, gram = np.unique(tri_key(pair, token >> SHORT), return_inverse=True)
+        c = look_up(model, "tri", keys, GRAM_TYPES)[0][gram]
+        d = model.tri_discount
+        left = d[1] * follow[0] + d[2] * follow[1] + d[3] * follow[2]
+        p = np.where(total > 0, (c - d[np.minimum(c, 3).astype(np.int64)] + left * p) / np.maximum(total, 1), p)
     n = np.bincount(owner, minlength=texts)
     return (n, np.bincount(owner, count[of_token] > 0, minlength=texts).astype(np.int64),
             np.bincount(owner, base[of_token], minlength=texts), np.bincount(owner, np.log10(p), minlength=texts))

@@ -152,6 +152,16 @@ def op8(spark, sf_dir):
         "base_score", "score")
 
 
+@register("op8_kneser_ney_trigram")
+def op8_trigram(spark, sf_dir):
+    from gridlake.llm.lm import score_documents, train
+    docs = table(spark, sf_dir, "documents")
+    model = train(learnable(docs, 5), order=3)
+    return score_documents(docs, model).select(
+        F.col("id").alias("doc_id"), held_out(5, "id").alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 @register("op6_embedding_near_dedup")
 def op6(spark, sf_dir):
     from gridlake.llm.embeddings import near_duplicates

@@ -103,6 +103,52 @@ def test_edge_rows(spark, make_docs, odd_rows):
     assert all(r["score"] == 0.0 and r["train_tokens"] == 0 for r in nothing)
 
 
+class Brute3(Brute):
+    """Order 3 over continuation counts of bigrams."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        self.tris = Counter()
+        for t in texts:
+            row = split(t) + [END]
+            self.tris.update(zip([BEGIN, BEGIN, *row], [BEGIN, *row], row))
+        self.grams = Counter((u, w) for _, u, w in self.tris)
+        self.follow, self.total = defaultdict(lambda: [0, 0, 0]), Counter()
+        for grams in (self.grams, self.tris):
+            for (*u, _), c in grams.items():
+                u = u[0] if len(u) == 1 else tuple(u)
+                self.follow[u][min(c, 3) - 1] += 1
+                self.total[u] += c
+        self.d, self.d3 = self.discounts(self.grams), self.discounts(self.tris)
+
+    def p3(self, t, u, w):
+        c, total = self.tris[t, u, w], self.total[t, u]
+        if not total:
+            return self.p(u, w)
+        left = sum(self.d3[i + 1] * f for i, f in enumerate(self.follow[t, u]))
+        return (c - self.d3[min(c, 3)] + left * self.p(u, w)) / total
+
+    def score(self, text):
+        row = split(text) + [END]
+        return (*super().score(text)[:4], sum(math.log10(self.p3(t, u, w)) for t, u, w in
+                                              zip([BEGIN, BEGIN, *row], [BEGIN, *row], row)))
+
+
+def test_order_three_equals_brute_force(spark, make_docs, odd_rows):
+    texts = ["a b a c", "a b a b", "c c d a", "b a c c d", "a b a c d a b", "d a b a c"]
+    rows = odd_rows + [(50 + i, t, "a") for i, t in enumerate(texts)]
+    docs, want = make_docs(rows), Brute3([t for _, t, _ in rows])
+    model = lm.train(docs, order=3)
+    got = sorted((tuple(r) for r in lm.score_documents(docs, model).collect()), key=str)
+    for g, w in zip(got, sorted(((i, *want.score(t)) for i, t, _ in rows), key=str)):
+        assert g[0] == w[0]
+        check(g[1:], w[1:])
+    for t, u in [(BEGIN, BEGIN), (BEGIN, "a"), ("a", "b"), ("zzz", "b")]:
+        assert sum(want.p3(t, u, w) for w in [*want.unigrams, "unknown"]) == pytest.approx(1.0)
+    nothing = lm.score_documents(docs, lm.train(make_docs([]), order=3)).collect()
+    assert all(r["score"] == 0.0 for r in nothing)
+
+
 def test_packing_round_trip():
     a = np.sort(np.random.default_rng(0).integers(0, 2**63, 1000).astype(np.uint64))
     b = np.arange(1000, dtype=np.uint64)
