@@ -166,3 +166,50 @@ def op8_trigram(spark, sf_dir):
 def op6(spark, sf_dir):
     from gridlake.llm.embeddings import near_duplicates
     return near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@register("op11_spelling_variants")
+def op11(spark, sf_dir):
+    from gridlake.llm.variants import count_words, variant_groups
+    grouped = variant_groups(count_words(table(spark, sf_dir, "documents"), drop_one_in=97))
+    return grouped.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+EXACT_SQL = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
+                  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS plain FROM documents)
+SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size,
+       first_value(doc_id) OVER g IS NOT DISTINCT FROM doc_id AND first_value(n) OVER g = n AS kept,
+       sha256(plain) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY plain ORDER BY n DESC, doc_id ASC NULLS LAST)
+"""
+
+
+@register("op12_exact_dedup", EXACT_SQL)
+def op12(spark, sf_dir):
+    from gridlake.llm.exact_dedup import exact_groups
+    groups = exact_groups(table(spark, sf_dir, "documents"))
+    return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
+def with_repeated_tail(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): one document in ten, by the crc32 h of its id's text,
+    repeats a piece of itself: with g = h div 10, a = g % n and p = 1 + (n - a)
+    div (3 + g % 8), each of its n words i >= a becomes word a + (i - a) % p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    cut = docs.select("doc_id", "text", F.expr("0L").alias("zero"), F.call_function("div", h, F.lit(10)).alias("g"),
+                      F.explode(F.array(words)).alias("w")).withColumn("n", F.size("w").cast("long")) \
+        .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))) \
+        .withColumn("p", 1 + F.call_function("div", F.col("n") - F.col("a"), 3 + F.col("g") % 8))
+    word = F.transform(F.sequence(F.col("zero"), F.col("n") - 1), lambda i: F.get(
+        "w", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return cut.select("doc_id", F.when(F.col("n") > 0, F.array_join(word, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@register("op13_periodic_runs")
+def op13(spark, sf_dir):
+    from gridlake.llm.periodic import periodic_runs
+    found = periodic_runs(with_repeated_tail(table(spark, sf_dir, "documents")), with_text=False)
+    return found.select(F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "start", "length",
+                        "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
