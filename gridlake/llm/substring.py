@@ -65,8 +65,8 @@ def anchors(w: W.Words, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 def text_marks(w: W.Words) -> np.ndarray:
     """32-bit hash of each text's word sequence: tells rows that share an id apart."""
-    total = np.concatenate([[0], np.cumsum(w.hashes * W.powers(np.uint64(0x9E3779B97F4A7C15), len(w.hashes)))]) \
-        .astype(np.uint64)
+    total = np.zeros(len(w.hashes) + 1, dtype=np.uint64)
+    np.cumsum(w.hashes * W.powers(np.uint64(0x9E3779B97F4A7C15), len(w.hashes)), out=total[1:])
     start = W.powers(np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64)), len(w.hashes) + 1)
     mark = W.mix64((total[w.offsets[1:]] - total[w.offsets[:-1]]) * start[w.offsets[:-1]])
     return (mark >> np.uint64(32)).astype(np.uint32).view(np.int32)
