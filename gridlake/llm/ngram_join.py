@@ -16,10 +16,13 @@ one order, rare shingles first, and indexed by their prefixes:
 Frequency classes come from a table of 2**24 hashed counters over all
 texts (the same for every set, so the order is consistent; its size does
 not depend on the corpus).  Keys that two or more sets share propose pairs:
-first each set against a few leaders of its keys, then, for keys whose sets
-are still in different components, the pairs across components.  That
-is enough for components; ``jaccard_links`` verifies every pair that shares
-a key and gives all links between different sets.  A
+first each set against a few leaders of its keys, then, where sets are still
+in different components, the pairs across components.  That is enough for
+components; ``jaccard_links`` verifies every pair that shares a key and
+gives all links between different sets.  For these pairs, keys with the
+same least set are one circle: a set that shares hundreds of keys with a
+group of near copies is in a few circles of it, and meets the group a few
+times, in blocks, not once for each key.  A
 proposed pair must pass an exact bound first: each set carries the parities
 of its shingles' counts in hash places, and the places in which two
 sets differ cannot outnumber the shingles that only one of them has.  What
@@ -57,7 +60,7 @@ CHUNK = 1 << 17
 FREQUENT = 2            # class from which shingles are frequent: 4 times an even share
 MIN_PLACES = 512
 PAIR_PREFIX = 24        # longest extended prefix that is indexed in pairs
-BLOCK = 256             # sets of a key that meet in one piece
+BLOCK = 1024            # sets of a circle that meet in one piece
 
 
 def nodes_of(sets: list[np.ndarray]) -> np.ndarray:
@@ -243,39 +246,99 @@ FLIPS = W.mix64(np.arange(8, dtype=np.uint64)).view(np.int64).tolist()
 
 
 def shared_keys(nodes: DataFrame) -> DataFrame:
-    """Staged (key, node, size, leader) of the keys that two or more sets share."""
+    """Staged (key, node, size, leader, circle) of the keys that two or more
+    sets share; the circle of a key is named by the least of its sets."""
     index = nodes.select("node", F.explode("keys").alias("key"))
     flip = F.element_at(F.array(*[F.lit(f).cast("long") for f in FLIPS]), F.pmod("key", F.lit(len(FLIPS))).cast("int") + 1)
     # a key's leader is its least node in the key's order; keys with the same sets (told by two
     # sums over them) say the same, one of them is enough
     lists = index.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), F.min(F.col("node").bitwiseXOR(flip)).alias("low"),
-        F.bit_xor(F.xxhash64("node")).alias("mark"), F.sum(F.col("node").bitwiseAND(0xFFFF)).alias("check")) \
-        .filter("size > 1").groupBy("size", "mark", "check").agg(F.min(F.struct("key", "low")).alias("one")) \
-        .select("one.key", "one.low", "size")
-    return stage(index.join(lists, "key").select("key", "node", "size", F.col("low").bitwiseXOR(flip).alias("leader")),
-                 "join-index")
-
-
-def key_pairs(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b, na, nb) of the pairs that share a key of the staged (key, node,
-    size, component) ``rows``, differ in component and may link.  A key of
-    many sets is cut into blocks that meet each other; a pair comes out
-    once, at the least key that it shares."""
-    keys = rows.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    full = stage(rows.join(keys, "node").join(nodes.select("node", "n", "parity"), "node"), "join-open")
+        F.bit_xor(F.xxhash64("node")).alias("mark"), F.sum(F.col("node").bitwiseAND(0xFFFF)).alias("check"),
+        F.min("node").alias("circle")) \
+        .filter("size > 1").groupBy("size", "mark", "check").agg(F.min(F.struct("key", "low", "circle")).alias("one")) \
+        .select("one.key", "one.low", "one.circle", "size")
+    return stage(index.join(lists, "key").select("key", "node", "size", F.col("low").bitwiseXOR(flip).alias("leader"),
+                                                 "circle"), "join-index")
+
+
+def folded(parity: np.ndarray, words: int) -> np.ndarray:
+    """Parities (one row a set) over fewer places: halves are added up."""
+    while parity.shape[1] > words:
+        half = parity.shape[1] // 2
+        parity = parity[:, :half] ^ parity[:, half:]
+    return parity
+
+
+def block_pairs(node, n, component, parity, first, second, num: int, den: int):
+    """(a, b, na, nb) arrays of the pairs between the rows ``first`` and
+    ``second`` (arrays of row numbers) that differ in component and whose
+    sizes, then parities allow a link.  ``parity``: one array a row."""
+    words = np.array([len(p) for p in parity])
+    for la in np.unique(words[first]):
+        x = first[words[first] == la]
+        px = np.stack([parity[i] for i in x])
+        for lb in np.unique(words[second]):
+            if max(la, lb) > 2 * min(la, lb):          # their sizes are too far apart
+                continue
+            y = second[words[second] == lb]
+            py, least = np.stack([parity[i] for i in y]), min(la, lb)
+            fx, fy = folded(px, least), folded(py, least)
+            apart = np.zeros((len(x), len(y)), dtype=np.int32)
+            for k in range(least):
+                apart += np.bitwise_count(fx[:, k][:, None] ^ fy[:, k][None, :])
+            na, nb = n[x][:, None], n[y][None, :]
+            may = (apart * (den + num) <= (na + nb) * (den - num)) & (den * np.minimum(na, nb) >= num * np.maximum(na, nb)) \
+                & (component[x][:, None] != component[y][None, :])
+            i, j = np.nonzero(may)
+            i, j = x[i], y[j]
+            swap = node[i] > node[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            yield node[i], node[j], n[i], n[j]
+
+
+def circle_pairs(members: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b, na, nb) of the pairs that share a circle of the (circle, node,
+    size, component) ``members``, differ in component and may link; each pair
+    once.
+
+    A circle of more than ``BLOCK`` sets is cut into blocks that meet each
+    other; a row carries the parity of its set, not its keys, and goes to as
+    many pieces as its circle has blocks.
+    """
     parts = F.expr(f"cast((size + {BLOCK - 1}) div {BLOCK} as int)")
-    own, every = F.pmod(F.xxhash64("node"), parts).cast("int"), F.explode(F.sequence(F.lit(0), parts - 1))
-
-    def side(name: str, i, j):
-        return full.select("key", i.alias("i"), j.alias("j"), F.col("node").alias(name),
-                           *[F.col(c).alias(c[0] + name) for c in ("n", "component", "parity")],
-                           F.col("keys").alias("k" + name))
+    own = F.pmod(F.xxhash64("node"), parts).cast("int")
+    rows = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))) \
+        .join(nodes.select("node", "n", "parity"), "node") \
+        .select("circle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n",
+                "component", "parity")
 
-    first = F.array_min(F.array_intersect("ka", "kb"))
-    return side("a", own, every).join(side("b", every, own), ["key", "i", "j"]) \
-        .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & sizes_allow(num, den)) \
-        .filter(may_link(num, den)).filter(first == F.col("key")).select("a", "b", "na", "nb")
+    def over(batches):
+        held: list = []
+
+        def flush(items):
+            node, n, component = (np.array([x[k] for x in items], dtype=np.int64) for k in (4, 5, 6))
+            own, at = np.array([x[3] for x in items]), np.arange(len(items))
+            i, j = items[0][1:3]
+            parity = [np.array(x[7], dtype=np.int64) for x in items]
+            found = list(block_pairs(node, n, component, parity, at if i == j else at[own == i],
+                                     at if i == j else at[own == j], num, den))
+            columns = [np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(4)]
+            once = np.unique(np.stack(columns), axis=1) if i == j else columns
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in once], names=["a", "b", "na", "nb"])
+
+        for batch in batches:
+            for item in zip(*[c.to_pylist() for c in batch.columns]):
+                if held and held[-1][:3] != item[:3]:
+                    yield flush(held)
+                    held = []
+                held.append(item)
+        if held:
+            yield flush(held)
+
+    keys = ["circle", "i", "j"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys) \
+        .mapInArrow(over, "a long, b long, na long, nb long").distinct()
 
 
 def similar_sets(nodes: DataFrame, texts: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
@@ -287,13 +350,15 @@ def similar_sets(nodes: DataFrame, texts: DataFrame, shingle: int, num: int, den
     proposed = stage(listed.filter("leader <> node").select(
         F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct(), "join-pairs")
     edges = stage(links(passing(proposed, nodes, num, den), nodes, texts, shingle, num, den), "join-links")
-    # keys of three and more sets may hide pairs that no leader was part of
+    # keys of three and more sets may hide pairs that no leader was part of; keys with the same
+    # least set are one circle, so a set comes once for many keys
     near = connected_components(edges)
-    placed = listed.filter("size > 2").select("key", "node", "size").join(near, "node", "left") \
-        .withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    open_rows = stage(placed.join(mixed.select("key"), "key", "left_semi"), "join-mixed")
-    rest = key_pairs(open_rows, nodes, num, den).join(proposed, ["a", "b"], "left_anti")
+    circles = stage(listed.filter("size > 2").select("circle", "node").distinct(), "join-circles")
+    placed = circles.join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("circle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                         F.count(F.lit(1)).alias("size")).filter("lo < hi").select("circle", "size")
+    open_rows = stage(placed.join(mixed, "circle"), "join-mixed")
+    rest = circle_pairs(open_rows, nodes, num, den).join(proposed, ["a", "b"], "left_anti")
     more = links(rest, nodes, texts, shingle, num, den)
     return connected_components(edges.union(more))
 
@@ -318,8 +383,10 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     membership (id, n_shingles, node) of the rows; equal sets are one node
     and link with each other without a row."""
     texts, rows, nodes = indexed_nodes(docs, id_col, text_col, shingle, num, den, frequent)
-    listed = shared_keys(nodes).select("key", "node", "size", F.col("node").alias("component"))
-    found = stage(links(key_pairs(listed, nodes, num, den), nodes, texts, shingle, num, den), "join-all-links")
+    circles = stage(shared_keys(nodes).select("circle", "node").distinct(), "join-circles")
+    sizes = circles.groupBy("circle").agg(F.count(F.lit(1)).alias("size"))
+    members = stage(circles.join(sizes, "circle").withColumn("component", F.col("node")), "join-members")
+    found = stage(links(circle_pairs(members, nodes, num, den), nodes, texts, shingle, num, den), "join-all-links")
     return found, rows.select("id", F.col("n").alias("n_shingles"), "node")
 
 
