@@ -2,7 +2,9 @@
 ``spark-submit --py-files gridlake.zip gridlake/__main__.py <command> ...``.
 
   run-day     --root URI --day YYYY-MM-DD [--no-land] [--require-complete]
+  run-pending --root URI [--no-land]
   run-range   --root URI --start YYYY-MM-DD --end YYYY-MM-DD [--no-land] [--require-complete]
+  compact     --root URI --kind weather|energy --start YYYY-MM-DD --end YYYY-MM-DD
   land-stream --root URI --kind weather|energy (--topic T --servers H | --path URI)
               [--continuous] [--max-per-trigger N]
 
@@ -43,6 +45,14 @@ def main(argv: list[str] | None = None) -> int:
     day.add_argument("--day", required=True)
     day.add_argument("--no-land", action="store_true")
     day.add_argument("--require-complete", action="store_true")
+    new = sub.add_parser("run-pending")
+    new.add_argument("--root", required=True)
+    new.add_argument("--no-land", action="store_true")
+    fold = sub.add_parser("compact")
+    fold.add_argument("--root", required=True)
+    fold.add_argument("--kind", choices=["weather", "energy"], required=True)
+    fold.add_argument("--start", required=True)
+    fold.add_argument("--end", required=True)
     rng = sub.add_parser("run-range")
     rng.add_argument("--root", required=True)
     rng.add_argument("--start", required=True)
@@ -65,6 +75,14 @@ def main(argv: list[str] | None = None) -> int:
         from gridlake.plans.daily import run_day
         report = run_day(spark, args.root, args.day, land=not args.no_land,
                          require_complete=args.require_complete)
+    elif args.command == "run-pending":
+        from gridlake.plans.incremental import run_pending
+        report = run_pending(spark, args.root, land=not args.no_land)
+    elif args.command == "compact":
+        from gridlake.plans.daily import Paths
+        from gridlake.sources.compaction import compact
+        paths = Paths(args.root.rstrip("/"))
+        report = compact(spark, paths.at("bronze", args.kind), paths.at("folded", args.kind), args.start, args.end)
     elif args.command == "run-range":
         from gridlake.plans.daily import run_range
         report = run_range(spark, args.root, args.start, args.end, land=not args.no_land,
@@ -82,7 +100,7 @@ def main(argv: list[str] | None = None) -> int:
                                 options={"kafka.bootstrap.servers": args.servers or "localhost:9092"})
         query = land_stream(source, args.kind, f"{root}/bronze/{args.kind}", f"{root}/quarantine/{args.kind}",
                             f"{root}/_checkpoints/land-{args.kind}", available_now=not args.continuous,
-                            report_root=f"{root}/reports/land-{args.kind}")
+                            report_root=f"{root}/reports/land-{args.kind}", lake_root=root)
         query.awaitTermination()
         report = landed_totals(spark, f"{root}/reports/land-{args.kind}")
     print(json.dumps(report, default=str))

@@ -33,6 +33,12 @@ def measure(col) -> Column:
     return F.when(F.abs(value) < PUBLISHABLE, value)
 
 
+def over_limit(col) -> Column:
+    """Is it a plain number that is too large to publish?"""
+    c = _col(col)
+    return c.cast("string").rlike(NUMBER) & (F.abs(c.try_cast("double")) >= PUBLISHABLE)
+
+
 def exact(col) -> Column:
     """A reading as the decimal it prints as (overflow raises under ANSI)."""
     return _col(col).cast(READING_DECIMAL)

@@ -12,6 +12,8 @@ Rules (faithful to the source loader):
 * ``PT<n>M`` gives ``60 div n`` points per hour, other shapes 1;
 * points whose quantity is missing or not a plain number are skipped and do not
   count, so later points move up (``by_position=False``, the default);
+* a period with a finite quantity that is too large to publish is rejected
+  whole, with a reason: leaving the point out would shift the later hours;
   ``by_position=True`` places points by their ``position`` instead;
 * consecutive blocks of n points make one hour, a trailing partial block
   is dropped; hour i starts at ``start + i hours``;
@@ -24,9 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake import schemas
-from gridlake.functions.numeric import TOTAL_DECIMAL, exact, half_up_mean, measure
+from gridlake.functions.numeric import TOTAL_DECIMAL, exact, half_up_mean, measure, over_limit
 from gridlake.functions.resolution import points_per_hour, resolution_reason
 from gridlake.functions.timefmt import parse_iso
+from gridlake.sources.payloads import file_origin
 
 XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
 
@@ -47,10 +50,11 @@ def parse_documents(landed: DataFrame, xml_col: str = "xml") -> DataFrame:
 def period_columns(p) -> list:
     """Normalised columns of one ``Period`` struct."""
     res = F.coalesce(p["resolution"], F.lit("PT60M"))
+    over = F.exists(p["Point"], lambda x: F.coalesce(over_limit(x["quantity"]), F.lit(False)))
     return [p["timeInterval"]["start"].alias("start_text"),
             parse_iso(p["timeInterval"]["start"]).alias("start"),
             res.alias("resolution"), points_per_hour(res).alias("points_per_hour"),
-            resolution_reason(res).alias("period_reason"),
+            F.coalesce(resolution_reason(res), F.when(over, F.lit("quantity_over_limit"))).alias("period_reason"),
             p["Point"].alias("points")]
 
 
@@ -83,7 +87,7 @@ def hourly_from_periods(per: DataFrame, by_position: bool = False) -> DataFrame:
     boundary, so no filter or cast is repeated per block.
     """
     n = F.col("points_per_hour")
-    usable = per.where(F.col("start").isNotNull() & n.isNotNull())
+    usable = per.where(F.col("start").isNotNull() & n.isNotNull() & F.col("period_reason").isNull())
     point = F.transform("points", lambda p: F.struct(
         (p["position"].try_cast("bigint") if by_position else F.lit(None).cast("bigint")).alias("position"),
         exact(measure(p["quantity"])).alias("value")))
@@ -122,19 +126,23 @@ def load_records(landed: DataFrame, by_position: bool = False) -> DataFrame:
     return hourly.select("city_name", "country", "time", "load_mw")
 
 
+def rejected_periods(per: DataFrame, source: str = "energy") -> DataFrame:
+    """Quarantine rows of the periods that give no hours."""
+    bad = per.where(F.col("period_reason").isNotNull() | F.col("start").isNull())
+    return bad.select(
+        F.lit(source).alias("source"),
+        F.concat_ws("|", F.col("country"), F.col("start_text"), F.col("resolution")).alias("raw"),
+        F.coalesce(F.col("period_reason"), F.lit("period_without_start")).alias("reason"),
+        F.to_date("start").alias("event_date"), file_origin(per))
+
+
 def rejected_from_parsed(parsed: DataFrame, source: str = "energy") -> DataFrame:
     """Quarantine rows for unusable documents and periods (B6, B15, Q13),
     from the output of ``parse_documents``."""
     docs = parsed.where(F.col("doc_reason").isNotNull()).select(
         F.lit(source).alias("source"), "raw", F.col("doc_reason").alias("reason"),
-        F.lit(None).cast("date").alias("event_date"))
-    per = periods(parsed)
-    bad = per.where(F.col("period_reason").isNotNull() | F.col("start").isNull()).select(
-        F.lit(source).alias("source"),
-        F.concat_ws("|", F.col("country"), F.col("start_text"), F.col("resolution")).alias("raw"),
-        F.coalesce(F.col("period_reason"), F.lit("period_without_start")).alias("reason"),
-        F.to_date("start").alias("event_date"))
-    return docs.unionByName(bad)
+        F.lit(None).cast("date").alias("event_date"), file_origin(parsed))
+    return docs.unionByName(rejected_periods(periods(parsed), source))
 
 
 def rejected_documents(landed: DataFrame, source: str = "energy") -> DataFrame:

@@ -144,10 +144,11 @@ def valid_rows(typed: DataFrame) -> DataFrame:
     return typed.where(F.col("reason").isNull()).drop("reason", "raw")
 
 
-def quarantine_rows(typed: DataFrame, source: str) -> DataFrame:
-    """``source, raw, reason, event_date`` for every rejected record."""
+def quarantine_rows(typed: DataFrame, source: str, *keep: str) -> DataFrame:
+    """``source, raw, reason, event_date`` for every rejected record (and
+    the columns ``keep`` that came with it)."""
     return typed.where(F.col("reason").isNotNull()).select(
-        F.lit(source).alias("source"), "raw", "reason", F.to_date("time").alias("event_date"))
+        F.lit(source).alias("source"), "raw", "reason", F.to_date("time").alias("event_date"), *keep)
 
 
 def decode_energy(df: DataFrame, value_col: str = "value") -> DataFrame:

@@ -151,5 +151,5 @@ def q_anomaly_days_grouped(spark, sf_dir):
 
 # Scans, sinks, parsing, cleaning, quality and streaming entries register
 # themselves on import.
-from gridlake.plans import (catalog_lake, catalog_payloads, catalog_precise, catalog_quality,  # noqa: E402,F401
+from gridlake.plans import (catalog_incremental, catalog_lake, catalog_payloads, catalog_precise, catalog_quality,  # noqa: E402,F401
                             catalog_records, catalog_runs)

@@ -57,10 +57,11 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select(*ENERGY_COLS)
 
 # -- N5 / N6: the whole daily run over data derived from the driver tables ----------
-def per_event_load_documents(spark, sf_dir):
-    """One load document per purchase event: a PT60M period starting at the
-    event's hour with a single point."""
+def per_event_load_documents(spark, sf_dir, keep=None):
+    """One load document per purchase event (that meets ``keep``): a PT60M
+    period starting at the event's hour with a single point."""
     e = tb.stage_energy(spark, sf_dir)
+    e = e if keep is None else e.where(keep)
     xml = F.concat(F.lit(f'<Publication_MarketDocument xmlns="{XML_NS}"><TimeSeries><Period><timeInterval>'
                          "<start>"), period_start(F.date_trunc("hour", "time")),
                    F.lit("</start></timeInterval><resolution>PT60M</resolution><Point><position>1</position>"
@@ -90,14 +91,14 @@ SELECT * FROM daily
 @register("daily_run", DAILY_RUN_SQL)
 def q_daily_run(spark, sf_dir):
     from gridlake.operators.aggregate import SUMMARY_COLUMNS
-    from gridlake.plans.daily import Paths, run_range
+    from gridlake.plans.daily import Paths, published, run_range
     root = shared_dir(spark, "lake")
     paths = Paths(root)
     payloads.write_landed(weather_payloads(spark, sf_dir), paths.landing_weather)
     payloads.write_landed(per_event_load_documents(spark, sf_dir), paths.landing_energy)
     span = tb.events(spark, sf_dir).agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")).first()
     run_range(spark, root, span.lo.isoformat(), (span.hi + dt.timedelta(days=1)).isoformat())
-    return spark.read.parquet(paths.gold("mart_daily_demand_summary")).select(*SUMMARY_COLUMNS)
+    return published(spark, paths, "mart_daily_demand_summary").select(*SUMMARY_COLUMNS)
 
 
 # -- A10 / L3 / I1: several writers of one bronze folder --------------------------

@@ -64,3 +64,15 @@ ENERGY_KEY = ["city_name", "country", "time"]
 
 QUARANTINE = _struct(("source", S), ("raw", S), ("reason", S), ("event_date", T.DateType()))
 CHECK_RESULT = _struct(("table", S), ("column", S), ("check", S), ("failures", L))
+
+# Published marts (with their partition column where they have one).
+DEC = T.DecimalType(10, 2)
+JOINED_MART = _struct(("city_name", S), ("country", S), ("time", T.TimestampType()), ("temperature", D), ("humidity", I),
+                      ("wind_speed", D), ("precipitation", D), ("weather_code", I), ("load_mw", D),
+                      ("activity_date", T.DateType()))
+DAILY_MART = _struct(("city_name", S), ("country", S), ("activity_date", T.DateType()),
+                     *[(f"{how}_{what}", DEC) for what in ("temperature", "humidity") for how in ("avg", "min", "max")],
+                     ("avg_wind_speed", DEC), ("avg_precipitation", DEC),
+                     *[(f"{how}_load_mw", DEC) for how in ("min", "max", "avg", "total")])
+ANOMALY_MART = _struct(("country", S), ("activity_date", T.DateType()), ("avg_load_mw", DEC), ("mean_load", D),
+                       ("stddev_load", D), ("deviation_score", D))

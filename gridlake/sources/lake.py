@@ -13,16 +13,20 @@ the data over many tasks (no single hot writer).
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.functions.timefmt import parse_iso
+from gridlake.sources.storage import exists, located
 
 PARTS = ["year", "month", "day"]
+BRONZE_TEXT = T.StructType([T.StructField("value", T.StringType())]
+                           + [T.StructField(c, T.IntegerType()) for c in PARTS]
+                           + [T.StructField("batch", T.StringType())])
 # JSON text keeps microseconds and the offset (the default drops to millis).
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 JSON_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -78,23 +82,29 @@ def write_bronze(df: DataFrame, root: str, time_col: str = "time", mode: str = "
                           partition_cols=PARTS + ["batch"])
 
 
-def drop_empty_days(spark: SparkSession, root: str, kept: DataFrame, start: str, end: str,
-                    sub: str = "", by_parts: bool = True) -> list[str]:
-    """Remove the day folders of ``[start, end)`` that ``kept`` (the rows
-    just written, with ``event_date``) does not hold: dynamic overwrite leaves
-    days alone that a rerun no longer fills.  Returns the removed days."""
-    held = {r["event_date"] for r in kept.select("event_date").distinct().collect()}   # at most the range's days
+def range_days(start: str, end: str) -> list[dt.date]:
+    """The dates of ``[start, end)``."""
     lo, hi = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    return [lo + dt.timedelta(days=i) for i in range((hi - lo).days)]
+
+
+def drop_empty_days(spark: SparkSession, root: str, kept: DataFrame, days: list[dt.date], sub: str = "") -> list[str]:
+    """Remove the folders of ``days`` that ``kept`` (the rows just written,
+    with ``event_date``) does not hold: dynamic overwrite leaves days alone
+    that a rerun no longer fills.  The folders that exist are listed with one
+    pattern; returns the removed days."""
+    held = {r["event_date"] for r in kept.select("event_date").distinct().collect()}   # at most the days
+    empty = {d for d in days if d not in held}
+    if not empty:
+        return []
+    fs, pattern = located(spark, days_glob(root, sorted(empty)) + sub)
     gone = []
-    for day in (lo + dt.timedelta(days=i) for i in range((hi - lo).days)):
-        if day in held:
-            continue
-        folder = f"year={day.year}/month={day.month}/day={day.day}" if by_parts else f"activity_date={day.isoformat()}"
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{folder}{sub}")
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(path) and fs.delete(path, True):
+    for status in fs.globStatus(pattern) or []:
+        y, m, d = re.search(r"year=(\d+)/month=(\d+)/day=(\d+)", status.getPath().toString()).groups()
+        day = dt.date(int(y), int(m), int(d))
+        if day in empty and fs.delete(status.getPath(), True):
             gone.append(day.isoformat())
-    return gone
+    return sorted(gone)
 
 
 def read_bronze(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -116,17 +126,15 @@ def read_silver(spark: SparkSession, root: str, schema: T.StructType | None = No
     return reader.parquet(root)
 
 
-def day_glob(root: str, start: str, end: str) -> str:
-    """One glob over the ``year=/month=/day=`` folders of ``[start, end)``.
+def days_glob(root: str, days: list[dt.date]) -> str:
+    """One glob over the ``year=/month=/day=`` folders of ``days``.
 
     Only matching folders are listed (not the whole history); the glob may
     match a few extra days of the same months, which the exact date filter
-    of ``read_day_range`` removes.
+    of ``read_days`` removes.
     """
-    lo, hi = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
-    days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days)]
     if not days:
-        raise ValueError(f"empty date range [{start}, {end})")
+        raise ValueError("no days")
     if len(days) == 1:  # the daily case: the folder itself, no pattern
         d = days[0]
         return f"{root.rstrip('/')}/year={d.year}/month={d.month}/day={d.day}"
@@ -138,26 +146,39 @@ def day_glob(root: str, start: str, end: str) -> str:
             f"/day={alt(d.day for d in days)}")
 
 
-def read_day_range(spark: SparkSession, root: str, start: str, end: str, fmt: str = "parquet",
-                   schema: T.StructType | None = None) -> DataFrame:
-    """Rows of the dates ``[start, end)`` of a date-partitioned folder.
+def day_glob(root: str, start: str, end: str) -> str:
+    """``days_glob`` of the dates ``[start, end)``."""
+    return days_glob(root, range_days(start, end))
+
+
+def read_days(spark: SparkSession, root: str, days: list[dt.date], fmt: str = "parquet",
+              schema: T.StructType | None = None) -> DataFrame:
+    """Rows of some dates of a date-partitioned folder.
 
-    Lists only the range's folders; ``schema`` (data + partition columns)
-    is used for an empty range.
+    Lists only their folders; ``schema`` (data + partition columns) is used
+    where there are none.
     """
     reader = spark.read.format(fmt).option("basePath", root.rstrip("/"))
     if schema is not None and fmt != "text":
         reader = reader.schema(schema)
-    try:
-        df = reader.load(day_glob(root, start, end))
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) or schema is None:
-            raise
+    if schema is not None and not exists(spark, days_glob(root, days)):
         return spark.createDataFrame([], schema)
+    df = reader.load(days_glob(root, days))
     if schema is not None and "year" not in df.columns:     # the day's folder is there, but empty
         return spark.createDataFrame([], schema)
-    d = F.make_date("year", "month", "day")
-    return df.where((d >= F.lit(start).cast("date")) & (d < F.lit(end).cast("date")))
+    d, lo, hi = F.make_date("year", "month", "day"), min(days), max(days)
+    if (hi - lo).days + 1 == len(set(days)):
+        return df.where((d >= F.lit(lo)) & (d <= F.lit(hi)))
+    return df.where(d.isin(list(days)))
+
+
+def read_day_range(spark: SparkSession, root: str, start: str, end: str, fmt: str = "parquet",
+                   schema: T.StructType | None = None) -> DataFrame:
+    """Rows of the dates ``[start, end)`` of a date-partitioned folder."""
+    days = range_days(start, end)
+    if not days:
+        raise ValueError(f"empty date range [{start}, {end})")
+    return read_days(spark, root, days, fmt, schema)
 
 
 def read_silver_range(spark: SparkSession, root: str, start: str, end: str,

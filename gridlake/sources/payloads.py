@@ -18,20 +18,30 @@ from gridlake.functions.timefmt import parse_iso
 CORRUPT = "_corrupt_record"
 
 
-def read_weather_payloads(spark: SparkSession, path: str, with_corrupt: bool = False) -> DataFrame:
-    """One JSON payload per line (context columns + ``hourly`` arrays).
+def read_weather_payloads(spark: SparkSession, path: str | list[str], with_corrupt: bool = False) -> DataFrame:
+    """One JSON payload per line (context columns + ``hourly`` arrays) of
+    a folder, or of some files.
 
     ``with_corrupt`` adds the text of lines that are no such payload as
-    ``_corrupt_record`` and the file's time as ``ingest_ts``.
+    ``_corrupt_record``, the file's time as ``ingest_ts`` and its name as
+    ``source_file``.
     """
     if not with_corrupt:
         return spark.read.schema(schemas.WEATHER_PAYLOAD).json(path)
     full = T.StructType(schemas.WEATHER_PAYLOAD.fields + [T.StructField(CORRUPT, T.StringType(), True)])
     lines = spark.read.text(path).where(F.trim("value") != "") \
-        .select("value", F.col("_metadata.file_modification_time").alias("ingest_ts"))
+        .select("value", F.col("_metadata.file_modification_time").alias("ingest_ts"),
+                F.col("_metadata.file_path").alias("source_file"))
     parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     # generator boundary: the line is parsed once, whatever is filtered later
-    return lines.select("ingest_ts", F.explode(F.array(parsed)).alias("_p")).select("_p.*", "ingest_ts")
+    return lines.select("ingest_ts", "source_file", F.explode(F.array(parsed)).alias("_p")) \
+        .select("_p.*", "ingest_ts", "source_file")
+
+
+def file_origin(df: DataFrame):
+    """Where a rejected record of a landed file comes from (quarantine key)."""
+    return (F.concat(F.lit("file:"), F.col("source_file")) if "source_file" in df.columns
+            else F.lit(None).cast("string")).alias("origin")
 
 
 def rejected_weather(payloads: DataFrame, rows: DataFrame) -> DataFrame:
@@ -39,11 +49,11 @@ def rejected_weather(payloads: DataFrame, rows: DataFrame) -> DataFrame:
     parse, and hours whose time does not."""
     lines = payloads.where(F.col(CORRUPT).isNotNull()).select(
         F.lit("weather").alias("source"), F.col(CORRUPT).alias("raw"), F.lit("malformed_payload").alias("reason"),
-        F.lit(None).cast("date").alias("event_date"))
+        F.lit(None).cast("date").alias("event_date"), file_origin(payloads))
     hours = rows.where(parse_iso("time").isNull()).select(
         F.lit("weather").alias("source"), F.to_json(F.struct("city_name", "country", "time", "temperature")).alias("raw"),
         F.when(F.col("time").isNull(), F.lit("missing_time")).otherwise(F.lit("bad_time")).alias("reason"),
-        F.lit(None).cast("date").alias("event_date"))
+        F.lit(None).cast("date").alias("event_date"), file_origin(rows))
     return lines.unionByName(hours)
 
 
@@ -56,11 +66,12 @@ def restrict_hours(rows: DataFrame, start_date: str, end_date: str, time_col: st
     return rows.where((d >= F.lit(start_date).cast("date")) & ((d <= hi) if inclusive_end else (d < hi)))
 
 
-def read_load_payloads(spark: SparkSession, path: str) -> DataFrame:
+def read_load_payloads(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Landed load documents as ``country, city_name, xml`` JSON lines,
-    with the file's time as ``ingest_ts``."""
+    with the file's time as ``ingest_ts`` and its name as ``source_file``."""
     return spark.read.schema(schemas.LOAD_LANDED).json(path) \
-        .withColumn("ingest_ts", F.col("_metadata.file_modification_time"))
+        .withColumn("ingest_ts", F.col("_metadata.file_modification_time")) \
+        .withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def write_landed(df: DataFrame, path: str) -> None:

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridlake.operators import records
 from gridlake.sources.lake import JSON_TIMESTAMP_FORMAT, observed_rows
+from gridlake.sources.ledger import Ledger, days_of
 
 
 def _typed(kind: str) -> Callable[[DataFrame], DataFrame]:
@@ -32,7 +33,8 @@ def stream_tag(checkpoint: str) -> str:
 
 
 def land_batch(batch: DataFrame, batch_id: int, kind: str, bronze_root: str,
-               quarantine_root: str, report_root: str | None = None, stream: str = "stream") -> None:
+               quarantine_root: str, report_root: str | None = None, stream: str = "stream",
+               lake_root: str | None = None) -> None:
     tag = f"{stream}-{batch_id}"
     typed = _typed(kind)(batch).persist()
     try:
@@ -46,6 +48,9 @@ def land_batch(batch: DataFrame, batch_id: int, kind: str, bronze_root: str,
         (dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("timestampFormat", JSON_TIMESTAMP_FORMAT)
          .partitionBy("year", "month", "day", "batch").json(bronze_root))
+        if lake_root:
+            # days that the next run has to rebuild; a replayed batch files them again, under the same mark
+            Ledger(batch.sparkSession, lake_root).touch(kind, days_of(records.valid_rows(typed), F.to_date("time")), tag, tag)
         bad = (records.quarantine_rows(typed, kind).observe(rejected, F.count(F.lit(1)).alias("rows"))
                .withColumn("batch", F.lit(tag)))
         (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -63,15 +68,18 @@ def land_batch(batch: DataFrame, batch_id: int, kind: str, bronze_root: str,
 
 def land_stream(source: DataFrame, kind: str, bronze_root: str, quarantine_root: str,
                 checkpoint: str, available_now: bool = True,
-                processing_time: str = "5 seconds", report_root: str | None = None) -> StreamingQuery:
+                processing_time: str = "5 seconds", report_root: str | None = None,
+                lake_root: str | None = None) -> StreamingQuery:
     """Start the landing query (L2: 5 s trigger; batch runs: availableNow).
 
     ``report_root`` receives one row per micro-batch: rows written to bronze
-    and rows rejected to the quarantine (A5).
+    and rows rejected to the quarantine (A5).  ``lake_root`` (the root of the
+    lake that bronze belongs to) has the touched days filed in its ledger, so
+    that ``plans.incremental.run_pending`` rebuilds them.
     """
     writer = (source.writeStream
               .foreachBatch(lambda df, bid: land_batch(df, bid, kind, bronze_root, quarantine_root,
-                                                       report_root, stream_tag(checkpoint)))
+                                                       report_root, stream_tag(checkpoint), lake_root))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

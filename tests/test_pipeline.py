@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from gridlake.operators.quality import QualityGateError
-from gridlake.plans.daily import Paths, run_day, run_range
+from gridlake.plans.daily import Paths, published, run_day, run_range
 from tests import fixtures as fx
 
 DAY = "2026-03-13"
@@ -31,14 +31,14 @@ def test_run_day_end_to_end_and_rerun(spark, scratch):
     report = run_day(spark, root, DAY)
     assert report["silver"] == {"weather": 24, "energy": 10}
     assert all(v == 0 for v in report["checks"].values())
-    daily = spark.read.parquet(paths.gold("mart_daily_demand_summary")).collect()
+    daily = published(spark, paths, "mart_daily_demand_summary").collect()
     assert len(daily) == 1
     d = daily[0]
     assert d.activity_date == dt.date(2026, 3, 13)
     assert (d.avg_load_mw, d.total_load_mw) == (fx.mean2(fx.SAMPLE_LOADS), fx.dec(sum(map(fx.dec, fx.SAMPLE_LOADS))))
     assert (d.min_load_mw, d.max_load_mw) == (fx.dec(min(fx.SAMPLE_LOADS)), fx.dec(max(fx.SAMPLE_LOADS)))
     assert d.avg_temperature == fx.mean2(fx.SAMPLE_TEMPS[:10])
-    joined = spark.read.parquet(paths.gold("int_weather_energy_joined"))
+    joined = published(spark, paths, "int_weather_energy_joined")
     assert joined.count() == 10
     quarantined = spark.read.parquet(paths.quarantine_energy).collect()
     assert [r.reason for r in quarantined] == ["malformed_xml"]
@@ -46,8 +46,8 @@ def test_run_day_end_to_end_and_rerun(spark, scratch):
     before = sorted(spark.read.parquet(paths.silver_energy).collect())
     run_day(spark, root, DAY)
     assert sorted(spark.read.parquet(paths.silver_energy).collect()) == before
-    assert spark.read.parquet(paths.gold("mart_daily_demand_summary")).collect() == daily
-    assert spark.read.parquet(paths.gold("int_weather_energy_joined")).count() == 10
+    assert published(spark, paths, "mart_daily_demand_summary").collect() == daily
+    assert published(spark, paths, "int_weather_energy_joined").count() == 10
     assert spark.read.parquet(paths.quarantine_energy).count() == len(quarantined)
 
 
@@ -57,7 +57,7 @@ def test_gate_blocks_publishing(spark, scratch):
     with pytest.raises(QualityGateError):
         run_range(spark, root, DAY, "2026-03-14", accepted_countries=["FR"])
     with pytest.raises(Exception):
-        spark.read.parquet(paths.gold("mart_daily_demand_summary")).count()
+        published(spark, paths, "mart_daily_demand_summary").count()
 
 
 def test_command_line_run_day(spark, scratch, capsys):
@@ -90,18 +90,18 @@ def test_rerun_of_one_day_keeps_the_others(spark, scratch):
     land_load({days[0]: [100.0] * 24, days[1]: [200.0] * 24})
     run_range(spark, root, days[0], "2026-03-15")
     before = {r.activity_date.isoformat(): r.avg_load_mw
-              for r in spark.read.parquet(paths.gold("mart_daily_demand_summary")).collect()}
+              for r in published(spark, paths, "mart_daily_demand_summary").collect()}
     assert before == {days[0]: Decimal("100.00"), days[1]: Decimal("200.00")}
 
     land_load({days[0]: [999.0] * 24, days[1]: [300.0] * 24})  # day 1 changed upstream too
     run_day(spark, root, days[1])
     after = {r.activity_date.isoformat(): r.avg_load_mw
-             for r in spark.read.parquet(paths.gold("mart_daily_demand_summary")).collect()}
+             for r in published(spark, paths, "mart_daily_demand_summary").collect()}
     assert after == {days[0]: Decimal("100.00"), days[1]: Decimal("300.00")}
     silver = spark.read.parquet(paths.silver_energy)
     assert silver.count() == 48
     assert {r.load_mw for r in silver.where("day = 13").collect()} == {100.0}
-    assert spark.read.parquet(paths.gold("int_weather_energy_joined")).count() == 48
+    assert published(spark, paths, "int_weather_energy_joined").count() == 48
 
 
 def test_city_spelling_is_canonical(spark):
@@ -152,20 +152,20 @@ def test_rerun_empties_a_day_and_failed_marts_publish_nothing(spark, scratch, mo
     root = scratch("shrinks")
     paths = _land(spark, root)
     run_day(spark, root, DAY)
-    before = spark.read.parquet(paths.gold("mart_daily_demand_summary")).collect()
+    before = published(spark, paths, "mart_daily_demand_summary").collect()
     _land(spark, root, loads=[70000.0] * 10)
     monkeypatch.setitem(plan.NOT_NULL, "mart_anomaly_days", ["country"])
-    monkeypatch.setattr(plan, "anomaly_days_grouped", lambda d: d.selectExpr(
+    monkeypatch.setattr(plan, "build_anomaly", lambda d, candidates: d.selectExpr(
         "cast(null as string) as country", "activity_date", "avg_load_mw"))
     with pytest.raises(QualityGateError):
         run_day(spark, root, DAY)
-    assert spark.read.parquet(paths.gold("mart_daily_demand_summary")).collect() == before
+    assert published(spark, paths, "mart_daily_demand_summary").collect() == before
     monkeypatch.undo()
     spark.createDataFrame([("DE", "Berlin", fx.load_xml([("2026-01-01T00:00Z", "PT60M", ["1"])]))],
                           "country string, city_name string, xml string").write.mode("overwrite").json(paths.landing_energy)
     run_day(spark, root, DAY)
     assert spark.read.schema("load_mw double").parquet(paths.silver_energy).count() == 0
-    assert spark.read.schema("avg_load_mw double").parquet(paths.gold("mart_daily_demand_summary")).count() == 0
+    assert published(spark, paths, "mart_daily_demand_summary").count() == 0
 
 
 def test_landing_quarantines_once_and_latest_file_wins(spark, scratch):
