@@ -7,9 +7,11 @@ the sketches.  A text's smallest hash is kept even if it lies above the
 threshold, so that only texts without words have an empty sketch (a merge
 drops it again if the union has a smaller one above the threshold).  Only
 hashes below the threshold are compared: a longer text never keeps the
-other one.  Where a sketch has none, the likeness of two sketches is
-unknown (NaN) unless they are equal; the likeness columns, whose texts are
-at hand, then hold the exact containment of the whole shingle sets.
+other one.  The fraction is a half: of a text with s shingles none lies
+below the threshold with chance 2^-s, and a containment c is estimated with
+standard error sqrt(c (1 - c) / s) at most.  Likeness is that of the two
+sketches and of nothing else: 1 if they are equal, else 0 where one of them
+has no hash below the threshold.
 
 A fingerprint is the base64 text of the kept hashes (their first 48 bits,
 ascending).  Words are compared with A-Z as a-z; a text with fewer than
@@ -41,7 +43,7 @@ from gridlake.llm import words as W
 from gridlake.llm.staging import shuffle_partitions
 
 SHINGLE = 5
-FRACTION = 1 / 8
+FRACTION = 1 / 2
 LEAST_ID = -(1 << 63)
 
 
@@ -81,37 +83,23 @@ def share(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def containment(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> float:
-    """Share of the smaller sketch's hashes below the threshold that the other
-    one holds; NaN if one has none and they differ."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
+    """Likeness of two sketches: the share of the smaller one's hashes below
+    the threshold that the other one holds; 1 if they are equal, else 0 where
+    one has no such hash."""
     if np.array_equal(a, b):
         return 1.0
     low, other = below(a, fraction), below(b, fraction)
-    return share(low, other) if len(low) and len(other) else float("nan")
+    return share(low, other) if len(low) and len(other) else 0.0
 
 
-def likeness(x: np.ndarray, y: np.ndarray, fraction: float = FRACTION) -> float:
-    """Containment of two sorted shingle sets by their sketches, by the whole
-    sets where a sketch has no hash below the threshold."""
-    a, b = sketch(x, fraction), sketch(y, fraction)
-    if len(a) and len(b) and not (len(below(a, fraction)) and len(below(b, fraction))):
-        return share(x, y)
-    return containment(a, b, fraction)
-
-
-def shingled(texts: pa.Array) -> list[np.ndarray]:
-    """Sorted shingle hashes of each text."""
+def sketches(texts: pa.Array, fraction: float = FRACTION) -> list[np.ndarray]:
+    """Sketch of each text."""
     out: list[np.ndarray] = []
     for a, m in W.text_slices(texts):
-        out += W.shingle_sets(W.words(texts.slice(a, m), lower=True), SHINGLE)
+        out += [sketch(s, fraction) for s in W.shingle_sets(W.words(texts.slice(a, m), lower=True), SHINGLE)]
     return out
 
 
-def sketches(texts: pa.Array, fraction: float = FRACTION) -> list[np.ndarray]:
-    return [sketch(s, fraction) for s in shingled(texts)]
-
-
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(bucket, guard, key, id, text), dealt by bucket and sorted; the row
     after a document in its bucket is the next document by id.  Guard rows
@@ -165,16 +153,15 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         texts = [r[3] for r in rows]
         pairs = [i for i in range(len(rows) - 1) if not rows[i][1] and rows[i][0] == rows[i + 1][0]]
         edited = [edited_text(texts[i], texts[i + 1]) for i in pairs]
-        sets, changed = shingled(pa.array(texts, pa.string())), shingled(pa.array(edited, pa.string()))
-        own = [sketch(s, fraction) for s in sets]
+        own, changed = sketches(pa.array(texts, pa.string()), fraction), sketches(pa.array(edited, pa.string()), fraction)
         return pa.RecordBatch.from_arrays([
             pa.array([rows[i][2] for i in pairs], pa.int64()),
             pa.array([len(texts[i]) for i in pairs], pa.int64()),
             pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited], pa.string()),
             pa.array([encode(own[i]) for i in pairs], pa.string()),
-            pa.array([encode(sketch(c, fraction)) for c in changed], pa.string()),
-            pa.array([likeness(sets[i], c, fraction) for i, c in zip(pairs, changed)], pa.float64()),
-            pa.array([likeness(sets[i], sets[i + 1], fraction) for i in pairs], pa.float64()),
+            pa.array([encode(c) for c in changed], pa.string()),
+            pa.array([containment(own[i], c, fraction) for i, c in zip(pairs, changed)], pa.float64()),
+            pa.array([containment(own[i], own[i + 1], fraction) for i in pairs], pa.float64()),
             pa.array([len(own[i]) for i in pairs], pa.int64()),
         ], names=["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
                   "n_kept"])
