@@ -5,9 +5,10 @@
    only if they look random.
 2. Every matched secret is hashed; Spark counts in how many repositories
    (documents) and owners (sources) each hash occurs.
-3. A secret that more than ``max_owners`` owners hold is a widely copied
-   example; one that stays with few owners is live, however short or
-   plain a base secret is.  Further candidates become spans only if they
+3. A secret that more than ``max_owners`` owners hold, or more than
+   ``max_repositories`` repositories of any owners, is a widely copied
+   example; one that stays with few owners, in few of their repositories, is
+   live, however short or plain a base secret is.  Further candidates become spans only if they
    are live; base spans stay whatever the verdict, with ``n_live`` /
    ``n_example`` beside them.
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -44,7 +46,8 @@ BASE_KINDS = ("assign", "access", "hex")
 # Further shapes, candidates that the ownership count decides on.
 EXTRA = {
     "prefixed": re.compile(r"\b(?:gh[pousr]_|glpat-|xox[abprs]-|sk_live_|sk-)[A-Za-z0-9_-]{16,}"),
-    "jwt": re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # from the start of a run only, without going back into it: linear in the text
+    "jwt": re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
     "urlpass": re.compile(r"[a-z][a-z0-9+.-]{1,12}://[^\s:/@]{1,64}:[^\s:/@]{6,64}@"),
     "opaque": re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_=-])"),
 }
@@ -69,14 +72,28 @@ def looks_random(secret: str) -> bool:
     return bool(has) and bits >= 3.0
 
 
+def apart(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans merged where they overlap, in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
 def extra_matches(text: str, taken: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
     """Further candidates that overlap no span found before them."""
-    out, used = [], sorted((a, b) for a, b, _, _ in taken)
+    out, used = [], apart([(a, b) for a, b, _, _ in taken])
     for kind, pattern in EXTRA.items():
-        found = [(m.start(), m.end(), kind, m.group()) for m in pattern.finditer(text) if looks_random(m.group())]
-        found = [f for f in found if not any(a < f[1] and f[0] < b for a, b in used)]
+        found = []
+        for m in pattern.finditer(text):
+            at = bisect_left(used, (m.end(), 0))           # the last span that starts before the match ends
+            if (at == 0 or used[at - 1][1] <= m.start()) and looks_random(m.group()):
+                found.append((m.start(), m.end(), kind, m.group()))
         out += found
-        used += [(f[0], f[1]) for f in found]
+        used = apart(used + [(f[0], f[1]) for f in found])
     return out
 
 
@@ -141,7 +158,7 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                 max_owners: int = 2) -> DataFrame:
+                 max_owners: int = 2, max_repositories: int = 30) -> DataFrame:
     """One row per document: id, n_assign, n_access, n_hex, base_sha256,
     found (array of struct: start, end, kind, base, live, n_owners,
     n_repositories), spans (joined text), n_live, n_example."""
@@ -151,7 +168,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select("row", F.col("id").alias("repository"), "owner", "s.*")
     counts = stage(ownership(hits), "secret-owners")
     judged = hits.join(counts, "hash") \
-        .withColumn("example", F.col("n_owners") > F.lit(max_owners)) \
+        .withColumn("example", (F.col("n_owners") > max_owners) | (F.col("n_repositories") > max_repositories)) \
         .withColumn("live", ~F.col("example")) \
         .filter(F.col("base") | F.col("live"))
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
