@@ -51,14 +51,17 @@ def ngram_places(w: W.Words) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def features(texts: pa.Array) -> list[np.ndarray]:
-    """Distinct feature places of each text."""
+    """Distinct feature places of each text (views of one array per slice of
+    texts: many small arrays would not be given back to the system)."""
     out: list[np.ndarray] = []
     for a, m in W.text_slices(texts):
         w = W.words(texts.slice(a, m), lower=True, separators=SEPARATORS)
         families = ngram_places(w)
+        found = []
         for i in range(m):
             part = slice(w.offsets[i], w.offsets[i + 1])
-            out.append(np.unique(np.concatenate([p[part][v[part]] for p, v in families])))
+            found.append(np.unique(np.concatenate([p[part][v[part]] for p, v in families])))
+        out += np.split(np.concatenate(found), np.cumsum([len(f) for f in found])[:-1])
     return out
 
 
@@ -70,15 +73,18 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int, alpha: float,
     intercept is one more place, without the L1 penalty.
     """
     size = (1 << BITS) + 1
-    held = np.bincount(np.concatenate(rows), minlength=size) if len(rows) else np.zeros(size)
-    rows = [np.append(r[held[r] >= min_rows], size - 1) for r in rows]
-    penalty = np.full(size, l1)
-    penalty[size - 1] = 0.0
+    held = np.zeros(size, dtype=np.int32)
+    for r in rows:
+        held[r] += 1                                # places are distinct within a row
+    rows, last = list(rows), np.array([size - 1], dtype=np.int32)
+    for i, r in enumerate(rows):
+        rows[i] = np.concatenate([r[held[r] >= min_rows], last])
+    del held
     z, n = np.zeros(size), np.zeros(size)
 
     def weights(at: np.ndarray) -> np.ndarray:
         za = z[at]
-        shrunk = np.sign(za) * np.maximum(np.abs(za) - penalty[at], 0)
+        shrunk = np.sign(za) * np.maximum(np.abs(za) - np.where(at == size - 1, 0.0, l1), 0)
         return -shrunk / ((beta + np.sqrt(n[at])) / alpha + l2)
 
     for _ in range(epochs):
