@@ -313,28 +313,32 @@ def circle_pairs(members: DataFrame, nodes: DataFrame, num: int, den: int) -> Da
         .select("circle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n",
                 "component", "parity")
 
-    def over(batches):
-        held: list = []
-
-        def flush(items):
-            node, n, component = (np.array([x[k] for x in items], dtype=np.int64) for k in (4, 5, 6))
-            own, at = np.array([x[3] for x in items]), np.arange(len(items))
-            i, j = items[0][1:3]
-            parity = [np.array(x[7], dtype=np.int64) for x in items]
-            found = list(block_pairs(node, n, component, parity, at if i == j else at[own == i],
-                                     at if i == j else at[own == j], num, den))
-            columns = [np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(4)]
-            once = np.unique(np.stack(columns), axis=1) if i == j else columns
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in once], names=["a", "b", "na", "nb"])
+    def answer(i, j, parts):
+        own, node, n, component = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        parity, at = [x for p in parts for x in p[4]], np.arange(len(node))
+        found = list(block_pairs(node, n, component, parity, at if i == j else at[own == i],
+                                 at if i == j else at[own == j], num, den))
+        columns = [np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(4)]
+        once = np.unique(np.stack(columns), axis=1) if i == j else columns
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in once], names=["a", "b", "na", "nb"])
 
+    def over(batches):
+        held, piece = [], None                              # parts of one piece: arrays, and views of the parities
         for batch in batches:
-            for item in zip(*[c.to_pylist() for c in batch.columns]):
-                if held and held[-1][:3] != item[:3]:
-                    yield flush(held)
+            circle, i, j, own, node, n, component = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:7])
+            ends, bits = batch.column(7).offsets.to_numpy(), batch.column(7).values.to_numpy(zero_copy_only=False)
+            new = np.flatnonzero((np.diff(circle) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+            for a, b in zip([0, *new.tolist()], [*new.tolist(), len(circle)]):
+                if a == b:
+                    continue
+                now = int(circle[a]), int(i[a]), int(j[a])
+                if held and now != piece:
+                    yield answer(*piece[1:], held)
                     held = []
-                held.append(item)
+                piece = now
+                held.append((own[a:b], node[a:b], n[a:b], component[a:b], [bits[ends[r]:ends[r + 1]] for r in range(a, b)]))
         if held:
-            yield flush(held)
+            yield answer(*piece[1:], held)
 
     keys = ["circle", "i", "j"]
     return rows.repartition(*keys).sortWithinPartitions(*keys) \
