@@ -45,6 +45,7 @@ from gridlake.llm.staging import shuffle_partitions
 SHINGLE = 5
 FRACTION = 1 / 2
 LEAST_ID = -(1 << 63)
+BUCKET_BYTES = 32 << 20     # texts of a bucket, on average
 
 
 def sketch(shingles: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
@@ -107,7 +108,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .withColumn("key", F.coalesce("id", F.lit(LEAST_ID)))
-    buckets = 4 * shuffle_partitions(spark)
+    size = base.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    buckets = max(shuffle_partitions(spark), -(-size // BUCKET_BYTES))
     cuts = base.agg(F.percentile_approx("key", [i / buckets for i in range(buckets)], 100 * buckets).alias("c"),
                     F.min("key").alias("m")).first()
     bounds = np.unique(np.array([cuts["m"], *cuts["c"]] if cuts["c"] else [0], dtype=np.int64))
