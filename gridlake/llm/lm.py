@@ -18,14 +18,18 @@ sorted hash array below the shared folder, and passes on what each word
 needs (followers seen once, twice, more; distinct predecessors).  Word
 shards are made the same way.  Nothing but the list of files and the
 counts of counts comes to the driver.  The number of shards follows the
-session's shuffle partitions, so a shard's size is that of any shuffle
-partition; a frequent word's bigrams are spread over all shards.
+bytes of the training texts (``SHARD_BYTES`` of text a shard at most), so
+what one task merges is bounded at any size and with any number of shuffle
+partitions; a frequent word's bigrams are spread over all shards.
 
 Scoring: workers memory-map the arrays (a file system without mapping is
 copied to a temporary file that is unlinked at once) and look up the
 sorted distinct words and bigrams of each batch.
 
-Words are named by 64-bit hashes, in bigrams by the first 40 bits of them.
+Words are named by 64-bit hashes, in bigrams by the first 48 bits of them:
+of V words about V^2 / 2^49 pairs share a name there (0.002 at a million
+words, 18 at a hundred million).  Counts are whole numbers, stored in the
+narrowest float that holds them exactly.
 
 Edge cases: null and empty texts are the end token alone; without training
 texts every score is that of the uniform distribution; null ids and
@@ -49,14 +53,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import words as W
-from gridlake.llm.staging import shuffle_partitions
 from gridlake.session import shared_dir
 
 U64 = np.uint64
 END = U64(0x6A09E667F3BCC908)
 BEGIN = U64(0xBB67AE8584CAA73B)
-SHORT = U64(24)                    # word40 = word64 >> 24
+SHORT = U64(16)                    # word48 = word64 >> 16
 FLUSH = 3_000_000
+SHARD_BYTES = 16 << 20
 
 
 def pack(*columns: np.ndarray) -> bytes:
@@ -99,13 +103,13 @@ def older(w: W.Words, context: np.ndarray) -> np.ndarray:
     return out
 
 
-def tri_key(pair: np.ndarray, w40: np.ndarray) -> np.ndarray:
+def tri_key(pair: np.ndarray, w48: np.ndarray) -> np.ndarray:
     """Key of a trigram from its context's gram key."""
-    return W.mix64(pair * U64(0xC2B2AE3D27D4EB4F) + W.mix64(w40 + U64(1)))
+    return W.mix64(pair * U64(0xC2B2AE3D27D4EB4F) + W.mix64(w48 + U64(1)))
 
 
-def gram_key(u40: np.ndarray, w40: np.ndarray) -> np.ndarray:
-    return W.mix64(u40 * U64(0x9E3779B97F4A7C15) + W.mix64(w40))
+def gram_key(u48: np.ndarray, w48: np.ndarray) -> np.ndarray:
+    return W.mix64(u48 * U64(0x9E3779B97F4A7C15) + W.mix64(w48))
 
 
 def shard_of(keys: np.ndarray, log_shards: int) -> np.ndarray:
@@ -121,8 +125,8 @@ def by_shard(shards: np.ndarray, log_shards: int):
 
 
 ROW = "shard int, kind string, payload binary"
-# kinds: w = (word64, count), u = (word40, followers once, twice, more), v = (word40, predecessors), s = gram file;
-# at order 3 u ends with the sum of k, k = (u40, w40, predecessors), c = (gram key, followers once, twice, more, count),
+# kinds: w = (word64, count), u = (word48, followers once, twice, more), v = (word48, predecessors), s = gram file;
+# at order 3 u ends with the sum of k, k = (u48, w48, predecessors), c = (gram key, followers once, twice, more, count),
 # z = trigram file
 
 
@@ -197,16 +201,22 @@ def filesystem(uri: str):
 
 
 def write_arrays(folder: str, name: str, *arrays: np.ndarray) -> str:
-    """One file of arrays after each other (name unique to the attempt)."""
+    """One file of arrays after each other; its name tells their types and is
+    unique to the attempt."""
     system, path = filesystem(folder)
     system.create_dir(path, recursive=True)
-    file = f"{name}-{uuid.uuid4().hex}"
+    file = f"{name}-{uuid.uuid4().hex}.{''.join(a.dtype.str[1:] for a in arrays)}"
     with system.open_output_stream(f"{path}/{file}") as out:
         for a in arrays:
             out.write(np.ascontiguousarray(a).tobytes())
     return file
 
 
+def exact(counts: np.ndarray) -> np.ndarray:
+    """Counts in four bytes where that holds each of them, else in eight."""
+    return counts.astype(np.float32 if counts.max(initial=0) <= 1 << 24 else np.float64)
+
+
 def merge_grams(pdf: pd.DataFrame, folder: str, log_shards: int) -> pd.DataFrame:
     """One gram shard: file of (key, count); rows for its words' shards."""
     parts = [unpack(p, 3) for p in pdf["payload"]]
@@ -217,7 +227,7 @@ def merge_grams(pdf: pd.DataFrame, folder: str, log_shards: int) -> pd.DataFrame
     first = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
     total = np.add.reduceat(count[order], first)
     key, u, w = key[order][first], u[order][first], w[order][first]
-    name = write_arrays(folder, "grams", key, total.astype(np.float32))
+    name = write_arrays(folder, "grams", key, exact(total))
     number = int(pdf["shard"].iloc[0])
     seen = np.bincount(np.minimum(total, 5).astype(np.int64), minlength=6)[1:5]
     rows = [(0, "s", f"{number}:{name}:{len(key)}:{':'.join(map(str, seen))}".encode())]
@@ -242,7 +252,7 @@ def merge_tris(pdf: pd.DataFrame, folder: str, log_shards: int) -> pd.DataFrame:
     key, first = np.unique(tri_key(pair, w), return_index=True)
     _, total = summed(tri_key(pair, w), count)
     pair, u, w = pair[first], u[first], w[first]
-    name = write_arrays(folder, "tris", key, total.astype(np.float32))
+    name = write_arrays(folder, "tris", key, exact(total))
     seen = np.bincount(np.minimum(total, 5).astype(np.int64), minlength=6)[1:5]
     rows = [(0, "z", f"{int(pdf['shard'].iloc[0])}:{name}:{len(key)}:{':'.join(map(str, seen))}".encode())]
     context, *followers = summed(pair, *thirds(total), total)
@@ -274,8 +284,8 @@ def merge_pairs(pdf: pd.DataFrame, folder: str, log_shards: int) -> pd.DataFrame
         out[np.searchsorted(every, keys)] = values
         return out
 
-    name = write_arrays(folder, "grams", every, spread(context, total), spread(key, k).astype(np.float32),
-                        *[spread(context, f).astype(np.float32) for f in (one, two, more)])
+    name = write_arrays(folder, "grams", every, exact(spread(context, total)), exact(spread(key, k)),
+                        *[exact(spread(context, f)) for f in (one, two, more)])
     seen = np.bincount(np.minimum(k, 5).astype(np.int64), minlength=6)[1:5]
     rows = [(0, "z", p) for p in pdf.loc[pdf["kind"] == "z", "payload"]]
     rows.append((0, "s", f"{int(pdf['shard'].iloc[0])}:{name}:{len(every)}:{':'.join(map(str, seen))}".encode()))
@@ -313,12 +323,12 @@ def merge_words(pdf: pd.DataFrame, folder: str, log_shards: int, order: int = 2)
 
     def at_words(keys, values):
         if not len(keys):
-            return np.zeros(len(word), dtype=np.float32)
+            return exact(np.zeros(len(word)))
         spot = np.minimum(np.searchsorted(keys, word >> SHORT), len(keys) - 1)
-        return np.where(keys[spot] == word >> SHORT, values[spot], 0).astype(np.float32)
+        return exact(np.where(keys[spot] == word >> SHORT, values[spot], U64(0)))
 
     k = at_words(v, before)
-    name = write_arrays(folder, "words", word, count.astype(np.float64), k, *[at_words(u, f) for f in followers])
+    name = write_arrays(folder, "words", word, exact(count), k, *[at_words(u, f) for f in followers])
     seen = np.bincount(np.minimum(k, 5).astype(np.int64), minlength=6)
     out.append(("word", number, name, len(word), *map(int, seen[1:5]), int(count.sum()), int((count > 0).sum()),
                 int(k.astype(np.float64).sum())))
@@ -352,14 +362,18 @@ class Model:
     tri_discount: np.ndarray | None = None
 
 
+def shard_bits(text_bytes: int) -> int:
+    """Logarithm of the number of shards for so many bytes of training text."""
+    return (max(1, -(-text_bytes // SHARD_BYTES)) - 1).bit_length()
+
+
 def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     """Count ``docs`` and write the model below the shared folder."""
     if order not in (2, 3):
         raise ValueError("the order must be 2 or 3")
-    spark = docs.sparkSession
-    log_shards = max(0, (shuffle_partitions(spark) - 1).bit_length())
-    folder = shared_dir(spark, "llm-lm")
+    folder = shared_dir(docs.sparkSession, "llm-lm")
     texts = docs.select(F.col(text_col).alias("text"))
+    log_shards = shard_bits(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     if order == 2:
         grams = gram_rows(texts, log_shards).groupBy("shard").applyInPandas(
             lambda pdf: merge_grams(pdf, folder, log_shards), ROW)
@@ -386,11 +400,9 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
 
 
 _OPEN: dict[str, list[np.ndarray]] = {}
-WORD_TYPES = ("<u8", "<f8", "<f4", "<f4", "<f4", "<f4")
-GRAM_TYPES = ("<u8", "<f4")
 
 
-def mapped(folder: str, name: str, rows: int, types: tuple[str, ...]) -> list[np.ndarray]:
+def mapped(folder: str, name: str, rows: int) -> list[np.ndarray]:
     """The arrays of one file, memory-mapped (once per worker)."""
     uri = f"{folder}/{name}"
     if uri not in _OPEN:
@@ -405,7 +417,8 @@ def mapped(folder: str, name: str, rows: int, types: tuple[str, ...]) -> list[np
         if copy:
             os.unlink(copy)                   # the mapping keeps it alive, nothing stays behind
         arrays, at = [], 0
-        for kind in types:
+        types = name.rpartition(".")[2]
+        for kind in (f"<{types[i:i + 2]}" for i in range(0, len(types), 2)):
             width = np.dtype(kind).itemsize * rows
             arrays.append(raw[at:at + width].view(kind))
             at += width
@@ -413,16 +426,16 @@ def mapped(folder: str, name: str, rows: int, types: tuple[str, ...]) -> list[np
     return _OPEN[uri]
 
 
-def look_up(model: Model, kind: str, keys: np.ndarray, types: tuple[str, ...]) -> list[np.ndarray]:
+def look_up(model: Model, kind: str, keys: np.ndarray, columns: int) -> list[np.ndarray]:
     """Value columns at sorted distinct ``keys``; 0 where a key is absent."""
-    out = [np.zeros(len(keys)) for _ in types[1:]]
+    out = [np.zeros(len(keys)) for _ in range(columns)]
     for s, at in by_shard(shard_of(keys, model.log_shards), model.log_shards):
         if (kind, s) not in model.files:
             continue
         name, rows = model.files[kind, s]
         if not rows:
             continue
-        known, *values = mapped(model.folder, name, rows, types)
+        known, *values = mapped(model.folder, name, rows)
         spot = np.minimum(np.searchsorted(known, keys[at]), rows - 1)
         hit = known[spot] == keys[at]
         for o, v in zip(out, values):
@@ -435,7 +448,7 @@ def score_batch(model: Model, w: W.Words) -> tuple[np.ndarray, ...]:
     token, context, owner = tokens(w)
     texts = len(w.offsets) - 1
     words, back = np.unique(np.concatenate([token, [BEGIN, END]]), return_inverse=True)
-    count, before, *followers = look_up(model, "word", words, WORD_TYPES + ("<f4",) * (model.order - 2))
+    count, before, *followers = look_up(model, "word", words, model.order + 3)
     of_token = back[:-2]
     # base: add-half unigrams
     base = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
@@ -453,18 +466,18 @@ def score_batch(model: Model, w: W.Words) -> tuple[np.ndarray, ...]:
     at_context = np.searchsorted(words, context)
     keys, gram = np.unique(gram_key(context >> SHORT, token >> SHORT), return_inverse=True)
     if model.order == 2:
-        c, = look_up(model, "gram", keys, GRAM_TYPES)
+        c, = look_up(model, "gram", keys, 1)
     else:
-        _, c, *_ = look_up(model, "gram", keys, WORD_TYPES)
+        _, c, *_ = look_up(model, "gram", keys, 5)
     c = c[gram]
     p = (c - d[np.minimum(c, 3).astype(np.int64)]) / np.maximum(seen[at_context], 1) \
         + gamma[at_context] * p1[of_token]
     if model.order == 3:
         pair = gram_key(older(w, context) >> SHORT, context >> SHORT)
         keys, at = np.unique(pair, return_inverse=True)
-        total, _, *follow = (x[at] for x in look_up(model, "gram", keys, WORD_TYPES))
+        total, _, *follow = (x[at] for x in look_up(model, "gram", keys, 5))
         keys, gram = np.unique(tri_key(pair, token >> SHORT), return_inverse=True)
-        c = look_up(model, "tri", keys, GRAM_TYPES)[0][gram]
+        c = look_up(model, "tri", keys, 1)[0][gram]
         d = model.tri_discount
         left = d[1] * follow[0] + d[2] * follow[1] + d[3] * follow[2]
         p = np.where(total > 0, (c - d[np.minimum(c, 3).astype(np.int64)] + left * p) / np.maximum(total, 1), p)

@@ -158,3 +158,29 @@ def test_packing_round_trip():
     token, context, owner = lm.tokens(w)
     assert owner.tolist() == [0, 0, 0, 1, 2, 3, 3] and (context[[0, 3, 4, 5]] == lm.BEGIN).all()
     assert (token[[2, 3, 4, 6]] == lm.END).all()
+
+
+def test_counts_are_stored_exactly(tmp_path):
+    big = np.array([1, 2 ** 24 + 1, 2 ** 40 + 3], dtype=np.uint64)
+    small = np.array([0, 7, 2 ** 24], dtype=np.uint64)
+    keys = np.array([3, 5, 9], dtype=np.uint64)
+    name = lm.write_arrays(str(tmp_path), "grams", keys, lm.exact(big), lm.exact(small))
+    assert name.endswith(".u8f8f4")
+    got = lm.mapped(str(tmp_path), name, 3)
+    assert [g.astype(np.uint64).tolist() for g in got] == [keys.tolist(), big.tolist(), small.tolist()]
+
+
+def test_shards_follow_the_text(spark, make_docs, monkeypatch):
+    """The shards of a corpus hold a bounded share of it, whatever the
+    session's partitions, and a model of many shards scores as one of one."""
+    assert [lm.shard_bits(n) for n in (0, 1, lm.SHARD_BYTES, lm.SHARD_BYTES + 1, 1000 * lm.SHARD_BYTES)] == [0, 0, 0, 1, 10]
+    docs = make_docs([(i, "the " * 30 + " ".join(f"w{(i * j) % 301}" for j in range(40)), "a") for i in range(60)])
+    one = lm.train(docs)
+    monkeypatch.setattr(lm, "SHARD_BYTES", 500)
+    many = lm.train(docs)
+    assert one.log_shards == 0 and many.log_shards == 6
+    rows = [n for (kind, _), (_, n) in many.files.items() if kind == "gram"]
+    assert sum(rows) == one.files["gram", 0][1] and max(rows) <= 3 * sum(rows) / 64
+    a, b = ([tuple(r) for r in lm.score_documents(docs, m).orderBy("id").collect()] for m in (one, many))
+    for x, y in zip(a, b, strict=True):
+        check(x[1:], y[1:])
