@@ -7,10 +7,11 @@ epochs first (every document once per epoch); what is left is the prefix
 of the key order, the last document being cut so that the budget is met
 to the word.  Only DataFrame functions are used.
 
-Scale: texts are never shuffled, only (id, source, size, key).  A source's
-key order is cut into slices by the key itself (monotone, about equal
-parts), so a source with a third of all rows is summed by many tasks; the
-slices' totals give each its offset.
+Scale: texts are never shuffled, only (id, source, size, key).  The rows are
+dealt by ranges of (source, key, id, size, row number), bounds sampled from
+the rows themselves, into slices of about equal size whatever the weights
+and however often an id repeats.  So a source with a third of all rows is
+summed by many tasks; the slices' totals give each its offset.
 
 Edge cases: a null text has size 0; a null source is a source of its own
 (last); a null, non-positive or NaN weight counts as 1; a source without
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.llm.staging import slice_rows, stage, uniform01
+from gridlake.llm.staging import shuffle_partitions, stage, uniform01
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -94,26 +95,22 @@ def mix_sized(sized: DataFrame, quality: DataFrame | None = None, seed: int = 0,
     sized = sized.withColumn("weight", F.when((F.col("weight") > 0) & ~F.isnan(F.col("weight").cast("double")),
                                               F.col("weight").cast("double")).otherwise(1.0)) \
         .withColumn("key", exponential_key(F.col("weight"), F.col("id"), seed))
-    sized = stage(sized, "mix-sizes")
-    spark = sized.sparkSession
+    sized = stage(sized.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
     targets = stage(source_targets(sized, cycle, share, max_epochs), "mix-targets")
-    rows = slice_rows(spark, sized.count())
 
     # null sources need a key that joins; 0/1 marks them apart from any text
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumn("no_source", F.col("source").isNull()) \
             .withColumn("source_key", F.coalesce(F.col("source").cast("string"), F.lit("")))
 
-    t = keyed(targets).select("no_source", "source_key", "n_docs", "source_size", "target")
-    d = keyed(sized).join(t, ["no_source", "source_key"]) \
-        .withColumn("slices", F.ceil(F.col("n_docs") / F.lit(rows))) \
-        .withColumn("slice", F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * F.col("slices")))
+    t = keyed(targets).select("no_source", "source_key", "source_size", "target")
+    d = stage(in_slices(keyed(sized)), "mix-slices").join(t, ["no_source", "source_key"])
     place = ["no_source", "source_key", "slice"]
     totals = d.groupBy(*place).agg(F.sum("size").alias("slice_size"))
     earlier = Window.partitionBy("no_source", "source_key").orderBy("slice") \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*place, F.coalesce(F.sum("slice_size").over(earlier), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy(*place).orderBy("key", F.col("id").asc_nulls_first(), "size") \
+    inside = Window.partitionBy(*place).orderBy(*SAMPLE_ORDER) \
         .rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))) \
         .join(offsets, place)
@@ -122,10 +119,21 @@ def mix_sized(sized: DataFrame, quality: DataFrame | None = None, seed: int = 0,
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size") - F.col("offset") - F.col("inside")
     taken = epochs * F.col("size") + F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest))
-    drop = ["no_source", "source_key", "slices", "slice", "inside", "offset", "n_docs"]
+    drop = ["no_source", "source_key", "slice", "inside", "offset", "row"]
     return d.withColumn("taken", taken.cast("long")).drop(*drop)
 
 
+#: order of a source's rows; the row number makes it total
+SAMPLE_ORDER = ["key", "id", "size", "row"]
+
+
+def in_slices(keyed: DataFrame) -> DataFrame:
+    """``keyed`` with ``slice``, a number that grows with a source's sample
+    order; to be staged, so that every reader sees the same slices."""
+    return keyed.repartitionByRange(shuffle_partitions(keyed.sparkSession), "no_source", "source_key", *SAMPLE_ORDER) \
+        .withColumn("slice", F.spark_partition_id())
+
+
 def exponential_key(weight: Column, ident: Column, seed: int = 0) -> Column:
     """Efraimidis-Spirakis key: exponential with rate ``weight``; small keys
     come first, so heavier documents tend to be taken earlier."""

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridlake.llm import packing, secret_scan
-from gridlake.llm.mixing import mix
+from gridlake.llm.mixing import exponential_key, in_slices, mix
 from gridlake.llm.queries import ORACLES, QUERIES, table, tokenizer_path
 from tests.conftest import SF_ORACLE
 from tools.oracle_check import duck, rows_of
@@ -109,6 +109,30 @@ def test_mix_targets_stop_at_twice_the_source(make_docs, odd_rows, spark):
     assert mix(make_docs([])).count() == 0
 
 
+def test_mix_slices_are_even_for_any_weight_and_repeated_ids(spark):
+    """A dominant light weight, one id that a third of the rows repeat, and
+    null ids are all cut into slices of about equal size, in sample order."""
+    same = F.when(F.col("row") % 3 == 0, F.lit(7)).when(F.col("row") % 3 == 1, F.col("row"))
+    rows = spark.range(30000).select(F.col("id").alias("row")).withColumn("id", same) \
+        .withColumn("no_source", F.lit(False)).withColumn("source_key", F.lit("hot")).withColumn("size", F.lit(4)) \
+        .withColumn("key", exponential_key(F.lit(0.25), F.col("id")))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = in_slices(rows).groupBy("slice").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"),
+                                               F.max("key").alias("hi")).orderBy("slice").collect()
+    assert len(cut) == parts and max(r["n"] for r in cut) <= 1.5 * 30000 / parts
+    assert all(a["hi"] <= b["lo"] for a, b in zip(cut, cut[1:]))
+
+
+def test_mix_of_repeated_ids_meets_the_target(make_docs):
+    """Rows that repeat an id are mixed one by one, null ids too."""
+    rows = [(None if i % 2 else 5, "w " * (1 + i % 3), "a") for i in range(900)] + [(i, "v " * 40, "b") for i in range(100)]
+    got = mix(make_docs(rows)).collect()
+    assert len(got) == 1000
+    for source in "ab":
+        taken = sum(r["taken"] for r in got if r["source"] == source)
+        assert abs(taken - next(r["target"] for r in got if r["source"] == source)) <= 0.5001
+
+
 def test_packing_query_round_trip(spark):
     from tokenizers import Tokenizer
     exact = Tokenizer.from_file(tokenizer_path())
