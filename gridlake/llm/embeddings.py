@@ -5,18 +5,22 @@ of its coordinates are its code, and the factor ``f = <sign(x')/sqrt(d), x'>``
 is stored beside it.  For another vector y, ``<sign(x')/sqrt(d), y'> / f`` is
 an unbiased estimate of <x, y>, off by more than
 ``EPSILON * sqrt((1 - f^2) / f^2 / (d - 1))`` only with vanishing probability.
+As y every vector also stores y' in 8-bit steps; the bound allows for the
+rounding.  Codes and factors are computed once, per node.
 
 1. Equal vectors of a label collapse to one node with a weight.
 2. Pairs that may link share a band of code bits.  Bits per band grow with
    the logarithm of the largest label, the number of bands follows from
    the chance that the codes of a pair at the threshold agree, so that such
    a pair is missed with probability ``MISS``.
-3. Inside a bucket, the estimates' upper bounds drop pairs; what is left is
-   recomputed exactly in double precision.  A pair counts in the first band
-   that it shares, so nothing has to be compared across buckets.
-
-Scale: only nodes of buckets with two or more are shuffled with their
-vector.  Large buckets are cut into blocks and block pairs; a task gives
+3. Inside a bucket, the estimates' upper bounds drop pairs, from the stored
+   codes alone.  A pair counts in the first band that it shares, so nothing
+   has to be compared across buckets.
+4. Nodes with an open pair meet once more, with their vectors, and the open
+   pairs are recomputed exactly in double precision.
+
+Scale: buckets with two or more shuffle codes (dim + bits / 8 bytes), and
+only nodes with open pairs shuffle their vector.  Large buckets are cut into blocks and block pairs; a task gives
 back link counts and a spanning set of links, never all pairs.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite
@@ -44,6 +48,7 @@ MISS = 1e-9
 SPARE_BITS = 5            # bits beyond log2 of the largest label: about 1 in 32 unrelated vectors meet another
 EPSILON = 6.0             # standard errors
 BLOCK = 512
+PAIRS = 1 << 16           # open pairs recomputed at a time
 
 
 @lru_cache(maxsize=64)
@@ -107,63 +112,93 @@ def digests(vectors: DataFrame) -> DataFrame:
     return vectors.select("row", "label", "vector").mapInArrow(over, "row long, label string, dim int, digest binary")
 
 
-def buckets(nodes: DataFrame, width: int, bands: int) -> DataFrame:
-    """(label, dim, band, bits, node) for every band of every node."""
-
-    @F.arrow_udf("array<long>")
-    def keys(vectors: pa.Array) -> pa.Array:
-        flat, at = _vectors(vectors)
-        out: list = [None] * (len(at) - 1)
-        dims = np.diff(at)
-        for d in np.unique(dims):
-            mine = np.flatnonzero(dims == d)
-            x = unit(np.stack([flat[at[i]:at[i + 1]] for i in mine]))
-            k = band_keys(code_bits(x, width * bands), width, bands).view(np.int64)
-            for i, row in zip(mine, k):
-                out[i] = row
-        return pa.array(out, pa.list_(pa.int64()))
-
-    return nodes.select("label", "dim", F.posexplode(keys("vector")).alias("band", "bits"), "node")
-
-
-def block_links(left: tuple, right: tuple | None, band: int, threshold: float, width: int, bands: int):
-    """Links of a block pair that no earlier band holds.
+def sketches(nodes: DataFrame, width: int, bands: int) -> DataFrame:
+    """(node, label, dim, keys, code, factor, scale, spread) of each node: the
+    value of each band, all sign bits, the correction factor of the first
+    ``dim`` of them, and the rotated vector as ``scale`` times 8-bit numbers."""
 
-    A side is (nodes, weights, vectors); ``right`` None compares ``left``
-    with itself.  Returns (nodes, link counts, star centres) for the nodes
-    that link.
-    """
+    def over(batches):
+        for batch in batches:
+            flat, at = _vectors(batch.column(2))
+            dims = np.diff(at)
+            for dim in np.unique(dims):
+                mine = np.flatnonzero(dims == dim)
+                x = unit(np.stack([flat[at[i]:at[i + 1]] for i in mine]))
+                bits = code_bits(x, width * bands)
+                turned = x @ rotation(int(dim), 0)
+                scale = np.abs(turned).max(axis=1) / 127
+                spread = np.rint(turned / scale[:, None]).astype(np.int8)
+                keys = band_keys(bits, width, bands).view(np.int64)
+                rows = batch.take(pa.array(mine))
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), rows.column(1), pa.array(dims[mine].astype(np.int32)),
+                     pa.ListArray.from_arrays(np.arange(len(mine) + 1, dtype=np.int32) * bands, keys.reshape(-1)),
+                     _packed(np.packbits(bits, axis=1)), pa.array(correction(x)), pa.array(scale), _packed(spread)],
+                    names=["node", "label", "dim", "keys", "code", "factor", "scale", "spread"])
+
+    return nodes.select("node", "label", "vector").mapInArrow(
+        over, "node long, label string, dim int, keys array<long>, code binary, factor double, scale double, spread binary")
+
+
+def _packed(rows: np.ndarray) -> pa.Array:
+    return pa.array([r.tobytes() for r in rows], pa.binary())
+
+
+def upper_bounds(a: tuple, b: tuple) -> np.ndarray:
+    """Upper confidence bounds of <a, b> for all pairs of two sides, from the
+    codes and factors of a and the 8-bit rotated vectors of b alone.  A side
+    is (nodes, codes, factors, scales, spreads, ...)."""
+    dim = a[4].shape[1]
+    signs = np.where(np.unpackbits(a[1], axis=1, count=dim), np.float32(1), np.float32(-1))
+    dots = (signs @ b[4].T.astype(np.float32)).astype(np.float64)          # whole numbers, exact
+    f = a[2][:, None]
+    wide = EPSILON * np.sqrt(np.maximum(1 - f * f, 0) / (f * f) / max(dim - 1, 1))
+    rounding = math.sqrt(dim) * b[3] / 2                                   # at most half a step a component
+    return (dots * (b[3] / math.sqrt(dim)) + rounding) / f + wide
+
+
+def open_pairs(left: tuple, right: tuple | None, band: int, threshold: float, width: int):
+    """Pairs (i, j) that the bounds leave open and no earlier band holds;
+    ``right`` None compares ``left`` with itself."""
     same = right is None
     right = left if same else right
-    x, y = unit(left[2]), unit(right[2])
-    dim = x.shape[1]
-
-    def upper(a, b):
-        """Upper confidence bounds of <a, b> from the codes of a."""
-        f = correction(a)
-        signs = np.where(a @ rotation(dim, 0) > 0, 1.0, -1.0) / math.sqrt(dim)
-        wide = EPSILON * np.sqrt(np.maximum(1 - f * f, 0) / (f * f) / max(dim - 1, 1))
-        return (signs @ (b @ rotation(dim, 0)).T) / f[:, None] + wide[:, None]
-
-    open_pairs = (upper(x, y) >= threshold) & (upper(y, x).T >= threshold) if dim > 8 else np.ones((len(x), len(y)), bool)
+    left_open = np.ones((len(left[0]), len(right[0])), bool)
+    if left[4].shape[1] > 8:
+        left_open = (upper_bounds(left, right) >= threshold) & (upper_bounds(right, left).T >= threshold)
     if same:
-        open_pairs &= np.triu(np.ones_like(open_pairs), 1)
-    i, j = np.nonzero(open_pairs)
+        left_open &= np.triu(np.ones_like(left_open), 1)
+    i, j = np.nonzero(left_open)
+    if len(i):
+        kx, ky = (band_keys(np.unpackbits(s[1], axis=1), width, band + 1) for s in (left, right))
+        for b in range(band):
+            fresh = kx[i, b] != ky[j, b]
+            i, j = i[fresh], j[fresh]
+        shared = kx[i, band] == ky[j, band]
+        i, j = i[shared], j[shared]
+    return i, j
+
+
+def block_links(left: tuple, right: tuple | None, band: int, threshold: float, width: int):
+    """Links of a block pair that no earlier band holds.
+
+    A side is (nodes, codes, factors, scales, spreads, weights, vectors).
+    Returns (nodes, link counts, star centres) for the nodes that link.
+    """
+    i, j = open_pairs(left, right, band, threshold, width)
     if not len(i):
         return None
-    kx = band_keys(code_bits(x, width * bands), width, band + 1)
-    ky = kx if same else band_keys(code_bits(y, width * bands), width, band + 1)
-    fresh = ~(kx[i, :band] == ky[j, :band]).any(axis=1) & (kx[i, band] == ky[j, band])
-    i, j = i[fresh], j[fresh]
-    exact = np.einsum("ij,ij->i", x[i], y[j]) >= threshold
+    same = right is None
+    right = left if same else right
+    x, y = unit(left[6]), unit(right[6])
+    exact = np.concatenate([np.einsum("ij,ij->i", x[i[a:a + PAIRS]], y[j[a:a + PAIRS]]) >= threshold
+                            for a in range(0, len(i), PAIRS)])
     i, j = i[exact], j[exact]
     if not len(i):
         return None
-    nodes = np.concatenate([left[0], right[0]])
-    ends = np.concatenate([i, j if same else j + len(x)])
-    partner = np.concatenate([right[1][j], left[1][i]])
-    counts = np.bincount(ends, partner, minlength=len(nodes)).astype(np.int64)
     a, b = i, (j if same else j + len(x))
+    nodes = left[0] if same else np.concatenate([left[0], right[0]])
+    counts = np.bincount(np.concatenate([a, b]), np.concatenate([right[5][j], left[5][i]]),
+                         minlength=len(nodes)).astype(np.int64)
     centre = nodes.copy()
     while True:                                    # smallest node reachable inside the block
         low = np.minimum(centre[a], centre[b])
@@ -177,56 +212,92 @@ def block_links(left: tuple, right: tuple | None, band: int, threshold: float, w
     return nodes[at], counts[at], centre[at]
 
 
-def near_links(nodes: DataFrame, width: int, bands: int, threshold: float) -> DataFrame:
-    """(node, links, centre) parts; ``nodes``: (node, label, dim, weight, vector)."""
-    keyed = stage(buckets(nodes, width, bands), "embedding-keys")
-    place = ["label", "dim", "band", "bits"]
-    sizes = keyed.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    own = F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int")
-    dealt = keyed.join(sizes, place).withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")) \
-        .withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select(*place, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node")
-    group = [*place, "lo", "hi"]
-    rows = dealt.join(nodes.select("node", "weight", "vector"), "node") \
-        .repartition(4 * shuffle_partitions(nodes.sparkSession), *group) \
-        .sortWithinPartitions(*group, "own", "node") \
-        .select(*group, "own", "node", "weight", "vector")
-
-    def solve(name, parts):
-        own, node, weight, vector = (np.concatenate(c) for c in zip(*parts))
-        band, lo, hi = name[2], name[4], name[5]
-        left, right = ((node[own == s], weight[own == s], vector[own == s]) for s in (lo, hi))
-        if not len(left[0]) or not len(right[0]):
-            return []
-        done = block_links(left, None if lo == hi else right, band, threshold, width, bands)
-        return [] if done is None else [done]
+GROUP = ["label", "dim", "band", "bits", "lo", "hi"]
+GROUP_TYPES = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+SKETCH = ["code", "factor", "scale", "spread"]
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """A column as one array: rows of bytes or of doubles as a matrix."""
+    if pa.types.is_binary(column.type):
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    if pa.types.is_list(column.type):
+        return _vectors(column)[0].reshape(len(column), -1)
+    return column.to_numpy()
+
+
+def by_block_pair(rows: DataFrame, extra: list[str], solve, schema: str) -> DataFrame:
+    """``solve(name, left, right)`` for each block pair of ``rows``, right None
+    where a block meets itself; it returns a record batch or None."""
+    columns = ["own", "node", *SKETCH, *extra]
+    dealt = rows.repartition(4 * shuffle_partitions(rows.sparkSession), *GROUP) \
+        .sortWithinPartitions(*GROUP, "own", "node").select(*GROUP, *columns)
+
+    def solved(name, parts):
+        own, *arrays = (_matrix(pa.concat_arrays(c)) for c in zip(*parts))
+        arrays[4] = arrays[4].view(np.int8)
+        sides = [tuple(c[own == s] for c in arrays) for s in dict.fromkeys(name[4:])]
+        found = solve(name, sides[0], sides[1] if len(sides) > 1 else None) if all(len(s[0]) for s in sides) else None
+        return [] if found is None else [found]
 
     def over(batches):
         parts, name = [], None
         for batch in batches:
-            names = list(zip(*(batch.column(i).to_pylist() for i in range(6))))
-            flat, at = _vectors(batch.column(9))
+            names = list(zip(*(batch.column(i).to_pylist() for i in range(len(GROUP)))))
             cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
             found = []
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
                     continue
                 if name is not None and names[a] != name:
-                    found += solve(name, parts)
+                    found += solved(name, parts)
                     parts = []
                 name = names[a]
-                parts.append((*(batch.column(i).to_numpy()[a:b] for i in (6, 7, 8)),
-                              flat[at[a]:at[b]].reshape(b - a, -1)))
-            yield from answer(found)
+                parts.append([batch.column(c).slice(a, b - a) for c in range(len(GROUP), len(GROUP) + len(columns))])
+            if found:
+                yield from pa.Table.from_batches(found).combine_chunks().to_batches()
         if parts:
-            yield from answer(solve(name, parts))
+            yield from solved(name, parts)
+
+    return dealt.mapInArrow(over, schema)
 
-    def answer(found):
-        if found:
-            columns = [np.concatenate(c) for c in zip(*found)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "links", "centre"])
 
-    return rows.mapInArrow(over, "node long, links long, centre long")
+def near_links(nodes: DataFrame, width: int, bands: int, threshold: float) -> DataFrame:
+    """(node, links, centre) parts; ``nodes``: (node, label, dim, weight, vector)."""
+    codes = stage(sketches(nodes, width, bands), "embedding-codes")
+    keyed = codes.select("label", "dim", F.posexplode("keys").alias("band", "bits"), "node")
+    place = ["label", "dim", "band", "bits"]
+    sizes = keyed.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    own = F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int")
+    dealt = keyed.join(sizes, place).withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")) \
+        .withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .select(*place, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node")
+    sketch = codes.select("node", *SKETCH)
+
+    def keep_open(name, left, right):
+        """The rows of a block pair that are in an open pair."""
+        i, j = open_pairs(left, right, name[2], threshold, width)
+        if right is None:
+            own, node = np.full(len(left[0]), name[4]), left[0]
+            hit = np.union1d(i, j)
+        else:
+            own, node = np.repeat(name[4:], [len(left[0]), len(right[0])]), np.concatenate([left[0], right[0]])
+            hit = np.union1d(i, j + len(left[0]))
+        if not len(hit):
+            return None
+        same = [pa.array([v] * len(hit), t) for v, t in zip(name, GROUP_TYPES)]
+        return pa.RecordBatch.from_arrays([*same, pa.array(own[hit], pa.int32()), pa.array(node[hit])],
+                                          names=[*GROUP, "own", "node"])
+
+    def link(name, left, right):
+        done = block_links(left, right, name[2], threshold, width)
+        return done and pa.RecordBatch.from_arrays([pa.array(c) for c in done], names=["node", "links", "centre"])
+
+    found = stage(by_block_pair(dealt.join(sketch, "node"), [], keep_open,
+                                "label string, dim int, band int, bits long, lo int, hi int, own int, node long"),
+                  "embedding-open")
+    rows = found.join(sketch, "node").join(nodes.select("node", "weight", "vector"), "node")
+    return by_block_pair(rows, ["weight", "vector"], link, "node long, links long, centre long")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",

@@ -81,3 +81,41 @@ def test_estimates_are_unbiased_and_bounded():
     exact = (x * y).sum(axis=1)
     assert abs((estimate - exact).mean()) < 0.01
     assert (np.abs(estimate - exact) <= E.EPSILON * np.sqrt((1 - f * f) / (f * f) / 63)).all()
+
+
+def sides(x, width=12, bands=6):
+    """The stored side (nodes, codes, factors, scales, spreads) of unit vectors."""
+    turned = x @ E.rotation(x.shape[1], 0)
+    scale = np.abs(turned).max(axis=1) / 127
+    return (np.arange(len(x)), np.packbits(E.code_bits(x, width * bands), axis=1), E.correction(x), scale,
+            np.rint(turned / scale[:, None]).astype(np.int8))
+
+
+def test_bounds_from_stored_codes_hold():
+    """No pair's bound is below its inner product; most unrelated pairs fall
+    below the threshold without their vectors."""
+    rng = np.random.default_rng(1)
+    x = E.unit(rng.standard_normal((300, 128)))
+    y = E.unit(x + rng.uniform(0, 1, (300, 1)) * rng.standard_normal((300, 128)) / 11)
+    bounds = E.upper_bounds(sides(x), sides(y))
+    assert (bounds >= x @ y.T).all()
+    unrelated = ~np.eye(300, dtype=bool)
+    assert (bounds[unrelated] >= 0.98).mean() < 0.01
+
+
+def test_only_open_nodes_fetch_vectors(spark, tmp_path, monkeypatch):
+    """One pair of near copies among unrelated vectors that share a bucket:
+    the table of rows that fetch a vector holds little else."""
+    rng = np.random.default_rng(2)
+    x = E.unit(rng.standard_normal((400, 96)))
+    x[1] = E.unit(x[:1] + 0.001)[0]
+    kept = {}
+    real = E.stage
+    monkeypatch.setattr(E, "stage", lambda df, label: kept.setdefault(label, real(df, label)))
+    nodes = spark.createDataFrame([(i, "a", 96, 1, v.tolist()) for i, v in enumerate(x)],
+                                  "node long, label string, dim int, weight long, vector array<double>")
+    links = E.near_links(nodes, 2, 3, 0.98).collect()
+    assert sorted(r["node"] for r in links) == [0, 1]
+    assert {0, 1} <= {r["node"] for r in kept["embedding-open"].collect()}
+    assert kept["embedding-open"].count() < 40
+    assert {"code", "factor"} <= set(kept["embedding-codes"].columns)
