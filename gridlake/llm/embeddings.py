@@ -49,6 +49,7 @@ SPARE_BITS = 5            # bits beyond log2 of the largest label: about 1 in 32
 EPSILON = 6.0             # standard errors
 BLOCK = 512
 PAIRS = 1 << 16           # open pairs recomputed at a time
+KEYS = 1 << 22            # band keys compared at a time
 
 
 @lru_cache(maxsize=64)
@@ -83,11 +84,8 @@ def plan_bands(largest: int, threshold: float) -> tuple[int, int]:
 
 def band_keys(bits: np.ndarray, width: int, bands: int) -> np.ndarray:
     """(vectors, bands) 64-bit values of each band's bits."""
-    out = np.zeros((len(bits), bands), dtype=np.uint64)
-    for b in range(bands):
-        for i in range(b * width, (b + 1) * width):
-            out[:, b] = out[:, b] * np.uint64(2) + bits[:, i].astype(np.uint64)
-    return out
+    powers = np.uint64(1) << np.arange(width - 1, -1, -1, dtype=np.uint64)
+    return bits[:, :width * bands].reshape(len(bits), bands, width).astype(np.uint64) @ powers
 
 
 def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -170,11 +168,12 @@ def open_pairs(left: tuple, right: tuple | None, band: int, threshold: float, wi
     i, j = np.nonzero(left_open)
     if len(i):
         kx, ky = (band_keys(np.unpackbits(s[1], axis=1), width, band + 1) for s in (left, right))
-        for b in range(band):
-            fresh = kx[i, b] != ky[j, b]
-            i, j = i[fresh], j[fresh]
-        shared = kx[i, band] == ky[j, band]
-        i, j = i[shared], j[shared]
+        step = KEYS // (band + 1) + 1
+        first = np.empty(len(i), bool)
+        for a in range(0, len(i), step):
+            equal = kx[i[a:a + step]] == ky[j[a:a + step]]
+            first[a:a + step] = equal[:, band] & ~equal[:, :band].any(axis=1)
+        i, j = i[first], j[first]
     return i, j
 
 
@@ -217,13 +216,30 @@ GROUP_TYPES = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.i
 SKETCH = ["code", "factor", "scale", "spread"]
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """A column as one array: rows of bytes or of doubles as a matrix."""
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray | None]:
+    """A column's values and, for bytes and lists, where each row starts."""
     if pa.types.is_binary(column.type):
-        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
-    if pa.types.is_list(column.type):
-        return _vectors(column)[0].reshape(len(column), -1)
-    return column.to_numpy()
+        _, starts, data = column.buffers()
+        at = np.frombuffer(starts, np.int32)[column.offset:column.offset + len(column) + 1]
+        return np.frombuffer(data, np.uint8), at
+    return _vectors(column) if pa.types.is_list(column.type) else (column.to_numpy(), None)
+
+
+def _rows(flat: np.ndarray, at: np.ndarray | None, a: int, b: int) -> np.ndarray:
+    """Rows a to b of a flat column; rows of bytes or doubles as a matrix."""
+    return flat[a:b] if at is None else flat[at[a]:at[b]].reshape(b - a, -1)
+
+
+def _cuts(batch: pa.RecordBatch) -> list[int]:
+    """Where the values of the ``GROUP`` columns change, both ends included."""
+    change = np.zeros(max(len(batch) - 1, 0), bool)
+    for i in range(len(GROUP)):
+        column = batch.column(i)
+        if pa.types.is_string(column.type):
+            column = column.dictionary_encode().indices
+        values = column.to_numpy()
+        change |= values[1:] != values[:-1]
+    return [0, *(np.flatnonzero(change) + 1).tolist(), len(batch)]
 
 
 def by_block_pair(rows: DataFrame, extra: list[str], solve, schema: str) -> DataFrame:
@@ -234,8 +250,8 @@ def by_block_pair(rows: DataFrame, extra: list[str], solve, schema: str) -> Data
         .sortWithinPartitions(*GROUP, "own", "node").select(*GROUP, *columns)
 
     def solved(name, parts):
-        own, *arrays = (_matrix(pa.concat_arrays(c)) for c in zip(*parts))
-        arrays[4] = arrays[4].view(np.int8)
+        own, *arrays = parts[0] if len(parts) == 1 else (np.concatenate(c) for c in zip(*parts))
+        arrays[4] = np.ascontiguousarray(arrays[4]).view(np.int8)
         sides = [tuple(c[own == s] for c in arrays) for s in dict.fromkeys(name[4:])]
         found = solve(name, sides[0], sides[1] if len(sides) > 1 else None) if all(len(s[0]) for s in sides) else None
         return [] if found is None else [found]
@@ -243,17 +259,17 @@ def by_block_pair(rows: DataFrame, extra: list[str], solve, schema: str) -> Data
     def over(batches):
         parts, name = [], None
         for batch in batches:
-            names = list(zip(*(batch.column(i).to_pylist() for i in range(len(GROUP)))))
-            cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
-            found = []
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if name is not None and names[a] != name:
+            if not len(batch):
+                continue
+            cuts, found = _cuts(batch), []
+            names = zip(*(batch.column(i).take(pa.array(cuts[:-1])).to_pylist() for i in range(len(GROUP))))
+            flat = [_flat(batch.column(c)) for c in range(len(GROUP), len(GROUP) + len(columns))]
+            for a, b, here in zip(cuts, cuts[1:], names):
+                if name is not None and here != name:
                     found += solved(name, parts)
                     parts = []
-                name = names[a]
-                parts.append([batch.column(c).slice(a, b - a) for c in range(len(GROUP), len(GROUP) + len(columns))])
+                name = here
+                parts.append([_rows(*c, a, b) for c in flat])
             if found:
                 yield from pa.Table.from_batches(found).combine_chunks().to_batches()
         if parts:

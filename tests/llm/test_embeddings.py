@@ -1,6 +1,7 @@
 """Embedding near-dedup against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridlake.llm import embeddings as E
@@ -119,3 +120,24 @@ def test_only_open_nodes_fetch_vectors(spark, tmp_path, monkeypatch):
     assert {0, 1} <= {r["node"] for r in kept["embedding-open"].collect()}
     assert kept["embedding-open"].count() < 40
     assert {"code", "factor"} <= set(kept["embedding-codes"].columns)
+
+
+def test_band_keys_spell_the_bits():
+    bits = np.random.default_rng(3).random((50, 90)) < 0.5
+    keys = E.band_keys(bits, 17, 5)
+    for row, got in zip(bits, keys):
+        assert [int("".join("1" if v else "0" for v in row[b * 17:(b + 1) * 17]), 2) for b in range(5)] == got.tolist()
+    assert E.band_keys(bits[:0], 17, 5).shape == (0, 5)
+
+
+def test_groups_of_a_batch_are_cut_where_a_name_changes():
+    names = [("a", 2, 0, 5, 0, 0)] * 3 + [("b", 2, 0, 5, 0, 0)] + [("b", 3, 0, 5, 0, 0), ("b", 3, 0, 5, 0, 1)]
+    columns = [pa.array(c, t) for c, t in zip(zip(*names), E.GROUP_TYPES)]
+    codes = pa.array([b"ab", b"cd", b"ef", b"gh", b"ijk", b"lmn"], pa.binary())
+    batch = pa.RecordBatch.from_arrays([*columns, codes], names=[*E.GROUP, "code"])
+    assert E._cuts(batch) == [0, 3, 4, 5, 6]
+    part = batch.slice(1)                                   # a slice keeps the buffers of the whole
+    assert E._cuts(part) == [0, 2, 3, 4, 5]
+    flat = E._flat(part.column(6))
+    assert [E._rows(*flat, a, b).tobytes() for a, b in ((0, 2), (2, 3), (3, 5))] == [b"cdef", b"gh", b"ijklmn"]
+    assert E._rows(*flat, 0, 2).shape == (2, 2)
