@@ -1,8 +1,11 @@
 """Token counts, fingerprints, toxicity: against brute force and held-out rows."""
 
 import hashlib
+import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +129,58 @@ def test_fingerprint_edge_rows(make_docs, odd_rows):
     assert FP.fingerprint_documents(make_docs([])).count() == 0
 
 
+def ftrl_by_the_formula(rows, labels, epochs, alpha, beta, l1, l2, min_rows):
+    """Weight of each feature, one coordinate at a time; None is the intercept."""
+    held = {}
+    for r in rows:
+        for f in r:
+            held[f] = held.get(f, 0) + 1
+    z, n = {}, {}
+
+    def weight(f):
+        penalty = 0.0 if f is None else l1
+        if abs(z.get(f, 0.0)) <= penalty:
+            return 0.0
+        return -(z[f] - math.copysign(penalty, z[f])) / ((beta + math.sqrt(n[f])) / alpha + l2)
+
+    for _ in range(epochs):
+        for r, y in zip(rows, labels):
+            here = {f: weight(f) for f in [*(f for f in r if held[f] >= min_rows), None]}
+            g = 1 / (1 + math.exp(-sum(here.values()))) - y
+            for f, w in here.items():
+                old = n.get(f, 0.0)
+                n[f] = old + g * g
+                z[f] = z.get(f, 0.0) + g - (math.sqrt(n[f]) - math.sqrt(old)) / alpha * w
+    return {f: weight(f) for f in z}
+
+
+@pytest.mark.parametrize("l1", [0.0, 0.3, 2.0])
+def test_ftrl_equals_the_formula(l1):
+    rng = random.Random(8)
+    rows = [sorted(rng.sample(range(40), rng.randint(0, 12))) + [100 + i] for i in range(60)]
+    labels = [float(3 in r or rng.random() < 0.2) for r in rows]
+    args = (4, 0.5, 1.0, l1, 1e-3, 2)
+    places, weights, intercept = TX.ftrl([np.array(r, np.int32) for r in rows], np.array(labels), *args)
+    want = ftrl_by_the_formula(rows, labels, *args)
+    assert intercept == pytest.approx(want.pop(None), abs=1e-9)
+    want = {f: w for f, w in want.items() if w}
+    assert dict(zip(places.tolist(), weights.tolist())) == pytest.approx(want, abs=1e-9)
+    assert max(want, default=0) < 100                       # places of a single row are left out
+
+
+def test_scores_are_the_sum_of_distinct_features(spark, make_docs, odd_rows):
+    texts = [(100 + i, f"bad words {i % 3} and bad words again " * (i + 1), "s") for i in range(12)]
+    docs = make_docs(odd_rows + texts)
+    labels = spark.createDataFrame([(100 + i, int(i % 3 == 0)) for i in range(12)], "doc_id long, toxic int")
+    model = TX.train(docs, labels, l1=0.1)
+    weight = {r["place"]: r["weight"] for r in model.collect()}
+    assert len(weight) > 1
+    for r in TX.score_documents(docs, model).collect():
+        found = TX.features(pa.array([r["text"]], pa.string()))[0] if r["text"] else []
+        margin = weight[TX.INTERCEPT] + sum(weight.get(int(f), 0.0) for f in found)
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-5)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     scored = QUERIES["op1_toxicity"](spark, sf)
