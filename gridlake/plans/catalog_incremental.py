@@ -242,12 +242,13 @@ def q_bronze_compacted(spark, sf_dir):
 def q_anomaly_incremental(spark, sf_dir):
     """Moments of a mart with every seventh day of the month wrong; those days
     are restated: old moments out, new ones in."""
+    from gridlake.functions.numeric import STORED_TOTAL_DECIMAL
     from gridlake.operators import moments
     from gridlake.operators.aggregate import daily_summary_from_load_rollup
     base = shared_dir(spark, "moments")
-    daily_summary_from_load_rollup(tb.stage_weather(spark, sf_dir), tb.stage_energy(spark, sf_dir)) \
+    daily_summary_from_load_rollup(tb.stage_weather(spark, sf_dir), tb.stage_energy(spark, sf_dir), STORED_TOTAL_DECIMAL) \
         .write.parquet(f"{base}/daily")
-    daily = spark.read.schema(schemas.DAILY_MART).parquet(f"{base}/daily")
+    daily = spark.read.schema(schemas.DAILY_STEP).parquet(f"{base}/daily")
     wrong, restated = F.dayofmonth("activity_date") % 7 == 0, daily.where(F.dayofmonth("activity_date") % 7 == 0)
     first = moments.day_moments(daily.withColumn("avg_load_mw", F.when(wrong, F.col("avg_load_mw") * 3).otherwise(
         F.col("avg_load_mw")).cast("decimal(10,2)")))
