@@ -20,7 +20,7 @@ def sf_dir(tmp_path_factory):
     return str(root)
 
 
-@pytest.mark.parametrize("name", ["anomaly_incremental"])
+@pytest.mark.parametrize("name", ["anomaly_incremental", "table_view_refs"])
 def test_flags_do_not_depend_on_the_published_total(spark, sf_dir, name):
     con = duck(sf_dir)
     res = con.execute(entry.oracle_sql()[name])
