@@ -9,8 +9,9 @@ whatever the corpus).
 
 Training reads a bounded sample of the labelled rows (about
 ``max_rows`` / 2 of each class, chosen by a hash of the id), cut into
-shards; each shard is trained by one task and the shards' weights are
-averaged in Spark.  Scoring reads every text whole.
+shards; each shard is trained by one task, which holds the features of its
+rows but one batch of texts only, and the shards' weights are averaged in
+Spark.  Scoring reads every text whole.
 
 Edge cases: null or empty texts get the intercept's score; labels that are
 null are not used; several labels for one id count as their maximum;
@@ -20,16 +21,20 @@ one; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import words as W
+from gridlake.llm.memory import give_back
 from gridlake.llm.staging import stage, uniform01
 
 BITS = 22
+PART = 1 << 18          # places whose weights are computed in one step
 SEPARATORS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 INTERCEPT = -1
 
@@ -66,17 +71,19 @@ def features(texts: pa.Array) -> list[np.ndarray]:
 
 
 def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int, alpha: float, beta: float, l1: float,
-         l2: float, min_rows: int) -> tuple[np.ndarray, np.ndarray, float]:
+         l2: float, min_rows: int, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal over binary rows: (places, weights, intercept).
 
     Places that fewer than ``min_rows`` rows hold are left out.  The
-    intercept is one more place, without the L1 penalty.
+    intercept is one more place, without the L1 penalty.  ``order``: row
+    numbers in the order of training.  ``rows`` is used up, so that a shard's
+    features are held once.
     """
     size = (1 << BITS) + 1
     held = np.zeros(size, dtype=np.int32)
     for r in rows:
         held[r] += 1                                # places are distinct within a row
-    rows, last = list(rows), np.array([size - 1], dtype=np.int32)
+    last = np.array([size - 1], dtype=np.int32)
     for i, r in enumerate(rows):
         rows[i] = np.concatenate([r[held[r] >= min_rows], last])
     del held
@@ -88,17 +95,22 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int, alpha: float,
         return -shrunk / ((beta + np.sqrt(n[at])) / alpha + l2)
 
     for _ in range(epochs):
-        for at, y in zip(rows, labels):
+        for i in range(len(rows)) if order is None else order:
+            at = rows[i]
             w = weights(at)
-            g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - y
+            g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - labels[i]
             old = n[at]
             new = old + g * g
             z[at] += g - (np.sqrt(new) - np.sqrt(old)) / alpha * w
             n[at] = new
-    seen = np.flatnonzero(z)
-    w = weights(seen)
-    inner = (w != 0) & (seen != size - 1)
-    return seen[inner], w[inner], float(w[seen == size - 1].sum())
+    rows.clear()
+    places, values = [], []
+    for a in range(0, size - 1, PART):
+        at = a + np.flatnonzero(z[a:min(a + PART, size - 1)])
+        w = weights(at)
+        places.append(at[w != 0])
+        values.append(w[w != 0])
+    return np.concatenate(places), np.concatenate(values), float(weights(last)[0]) if z[size - 1] else 0.0
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -121,15 +133,27 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     size = sample.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     shards = max(1, -(-size["n"] // shard_rows), -(-(size["b"] or 0) // shard_bytes))
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["order", "id"], kind="stable")
-        rows = features(pa.array(pdf["text"], pa.string()))
-        at, w, intercept = ftrl(rows, pdf["y"].to_numpy(float), epochs, alpha, beta, l1, l2, min_rows)
-        return pd.DataFrame({"place": np.append(at, INTERCEPT), "weight": np.append(w, intercept)})
+    def model_of(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
+        rows, parts = [], []
+        for batch in batches:
+            rows += features(batch.column("text"))
+            parts.append(batch.select(["order", "id", "y"]).take(np.arange(len(batch))))    # a copy: the batch may go
+        del batch
+        known = pa.Table.from_batches(parts)
+        order = pc.sort_indices(known, sort_keys=[("order", "ascending"), ("id", "ascending")]).to_numpy()
+        y = known["y"].to_numpy().astype(float)
+        at, w, intercept = ftrl(rows, y, epochs, alpha, beta, l1, l2, min_rows, order)
+        return pa.RecordBatch.from_arrays([pa.array(np.append(at, INTERCEPT), pa.int64()),
+                                           pa.array(np.append(w, intercept), pa.float64())], names=["place", "weight"])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = model_of(batches)
+        give_back()
+        yield model
 
     trained = sample.withColumn("order", uniform01(F.col("id"), salt=23)) \
         .withColumn("shard", F.floor(uniform01(F.col("id"), salt=29) * F.lit(shards) * F.lit(0.999999))) \
-        .groupBy("shard").applyInPandas(fit, "place long, weight double")
+        .groupBy("shard").applyInArrow(fit, "place long, weight double")
     return stage(trained.groupBy("place").agg((F.sum("weight") / F.lit(float(shards))).alias("weight")),
                  "toxicity-model")
 

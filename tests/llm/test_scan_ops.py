@@ -2,7 +2,12 @@
 
 import hashlib
 import math
+import os
 import random
+import re
+import subprocess
+import sys
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -168,6 +173,56 @@ def test_ftrl_equals_the_formula(l1):
     assert max(want, default=0) < 100                       # places of a single row are left out
 
 
+def test_a_shard_holds_its_features_once():
+    """With the rows before and after the filter side by side, or the weights of all places at once, a
+    worker holds some 150 MB here."""
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 1 << TX.BITS, 4000)).astype(np.int32) for _ in range(1500)]
+    held = sum(r.nbytes for r in rows) + 2 * 8 * (1 << TX.BITS)
+    tracemalloc.start()
+    try:
+        TX.ftrl(rows, (np.arange(1500) % 2).astype(float), 1, 0.5, 1.0, 4.0, 1e-3, 1)
+        assert tracemalloc.get_traced_memory()[1] < held + (60 << 20)
+    finally:
+        tracemalloc.stop()
+    assert not rows
+
+
+def test_ftrl_trains_in_the_given_order():
+    rows, labels = [np.array(r, np.int32) for r in ([1, 2], [2, 3], [1, 3], [4])], np.array([1.0, 0.0, 0.0, 1.0])
+    args, order = (3, 0.5, 1.0, 0.1, 1e-3, 1), np.array([2, 0, 3, 1])
+    want = TX.ftrl([rows[i] for i in order], labels[order], *args)
+    got = TX.ftrl(list(rows), labels, *args, order)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want))
+
+
+IDLE = """
+import numpy as np, pyarrow as pa, re
+from pyspark.sql import SparkSession
+from gridlake.llm import toxicity as TX
+
+def held(batches):
+    list(batches)
+    found = re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())
+    yield pa.RecordBatch.from_arrays([pa.array([sum(map(int, found)) // 1024])], names=["mb"])
+
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1").getOrCreate()
+rng = np.random.default_rng(4)
+rows = [(i, " ".join(map(str, rng.integers(0, 20000, 300))), i % 2) for i in range(6000)]
+docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+TX.train(docs, docs.select("doc_id", "toxic"), epochs=1).count()
+print("HELD", spark.range(1).mapInArrow(held, "mb long").first()["mb"])
+"""
+
+
+def test_training_leaves_no_memory_in_an_idle_worker(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([root, os.environ.get("PYTHONPATH", "")]), "PYSPARK_PYTHON": sys.executable}
+    ran = subprocess.run([sys.executable, "-c", IDLE], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert ran.returncode == 0, ran.stderr[-2000:]
+    assert int(re.search(r"HELD (\d+)", ran.stdout)[1]) < 100
+
+
 def test_scores_are_the_sum_of_distinct_features(spark, make_docs, odd_rows):
     texts = [(100 + i, f"bad words {i % 3} and bad words again " * (i + 1), "s") for i in range(12)]
     docs = make_docs(odd_rows + texts)
