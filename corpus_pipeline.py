@@ -22,12 +22,15 @@ have size 0, so mix leaves them out; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.llm import mixing, ngram_join, packing, secret_scan, toxicity
+from gridlake.llm.memory import give_back, small_batches
 from gridlake.llm.queries import learnable, quality_weights, table, tokenizer_path
 from gridlake.llm.staging import stage
 
@@ -66,8 +69,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         .union(kept.join(repeated, "row_key", "left_semi").dropDuplicates(["row_key"])).select(*COLUMNS)
 
 
-@F.arrow_udf(T.StringType())
-def redact(texts: pa.Array, spans: pa.Array) -> pa.Array:
+def redacted(texts: pa.Array, spans: pa.Array) -> pa.Array:
     """Each text with its (start, end) spans, merged where they overlap,
     replaced by the mark."""
     out = []
@@ -81,6 +83,13 @@ def redact(texts: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
+@F.arrow_udf(T.StringType())
+def redact(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for texts, spans in batches:
+        yield redacted(texts, spans)
+    give_back()
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = keyed(docs)
     found = secret_scan.find_secrets(rows, id_col="row_key")
@@ -88,7 +97,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     spans = stage(found.filter("n_live > 0").select(F.col("id").alias("row_key"), live.alias("spans"))
                   .dropDuplicates(["row_key"]), "pipeline-secrets")
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.col("clean"))
-    return rows.join(spans, "row_key", "left").withColumn("clean", redact("text", "spans")).select(
+    return small_batches(rows).join(spans, "row_key", "left").withColumn("clean", redact("text", "spans")).select(
         "doc_id", text.alias("text"), "lang", "source",
         F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.char_length("clean").cast("long")).alias("n_chars"))
 

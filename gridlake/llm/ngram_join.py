@@ -53,6 +53,7 @@ from pyspark.sql import functions as F
 from gridlake.llm import membership
 from gridlake.llm import words as W
 from gridlake.llm.components import connected_components
+from gridlake.llm.memory import giving_back, small_batches
 from gridlake.llm.staging import stage
 
 COUNTER_BITS = 24
@@ -111,7 +112,7 @@ def frequency_classes(texts: DataFrame, shingle: int, log_counters: int = COUNTE
             total += unsqueeze(packed)
         return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "counts": [squeeze(total)]})
 
-    rows = texts.mapInArrow(count, "chunk int, counts binary").groupBy("chunk") \
+    rows = texts.mapInArrow(giving_back(count), "chunk int, counts binary").groupBy("chunk") \
         .applyInPandas(add, "chunk int, counts binary").collect()           # the counters, whatever the corpus
     share = max(sum(int(unsqueeze(r["counts"]).sum()) for r in rows) / size, 8.0)
     classes = np.zeros(size, dtype=np.uint8)
@@ -167,7 +168,7 @@ def indexed(texts: DataFrame, shingle: int, num: int, den: int, frequent: int =
                 [ids, pa.array(nodes_of(sets).view(np.int64)), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(parity, longs), pa.array(keys, longs)], names=["id", "node", "n", "parity", "keys"])
 
-    return texts.mapInArrow(over, "id long, node long, n long, parity array<long>, keys array<long>")
+    return texts.mapInArrow(giving_back(over), "id long, node long, n long, parity array<long>, keys array<long>")
 
 
 def whole_sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -189,7 +190,7 @@ def whole_sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                  pa.array([sets[i].view(np.int64) for i in at.tolist()], pa.list_(pa.int64()))],
                 names=["id", "node", "tokens"])
 
-    found = texts.mapInArrow(over, "id long, node long, tokens array<long>")
+    found = texts.mapInArrow(giving_back(over), "id long, node long, tokens array<long>")
     return found.join(marked.select("node", "id"), ["node", "id"], "left_semi").groupBy("node") \
         .agg(F.first("tokens").alias("tokens"))
 
@@ -342,7 +343,7 @@ def circle_pairs(members: DataFrame, nodes: DataFrame, num: int, den: int) -> Da
 
     keys = ["circle", "i", "j"]
     return rows.repartition(*keys).sortWithinPartitions(*keys) \
-        .mapInArrow(over, "a long, b long, na long, nb long").distinct()
+        .mapInArrow(giving_back(over), "a long, b long, na long, nb long").distinct()
 
 
 def similar_sets(nodes: DataFrame, texts: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
@@ -373,7 +374,7 @@ def indexed_nodes(docs: DataFrame, id_col: str, text_col: str, shingle: int, num
     row per distinct set."""
     if not den < 2 * num <= 2 * den:
         raise ValueError("the similarity must be above 1/2 and at most 1")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = stage(indexed(texts, shingle, num, den, frequent), "join-rows")
     nodes = stage(rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("id").alias("id"),
                                                            F.first("parity").alias("parity"),

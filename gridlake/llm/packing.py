@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlake.llm.memory import giving_back, small_batches
 from gridlake.llm.staging import slice_rows, stage
 
 CAPACITY = 2048
@@ -113,8 +114,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 names=["id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
-        .mapInArrow(over, PIECE_SCHEMA)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
+        .mapInArrow(giving_back(over), PIECE_SCHEMA)
 
 
 def plan_best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int]]:

@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridlake.llm.memory import giving_back, small_batches
 from gridlake.llm.staging import stage
 
 # The base kinds, in their listed order.
@@ -147,7 +148,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str, owner_col: str) -> DataFra
 
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                          F.col(owner_col).cast("string").alias("owner"))
-    return narrow.mapInArrow(over, SCAN_SCHEMA)
+    return small_batches(narrow).mapInArrow(giving_back(over), SCAN_SCHEMA)
 
 
 def ownership(candidates: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import words as W
-from gridlake.llm.memory import give_back
+from gridlake.llm.memory import give_back, giving_back, small_batches
 from gridlake.llm.staging import stage, uniform01
 
 BITS = 22
@@ -151,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         give_back()
         yield model
 
-    trained = sample.withColumn("order", uniform01(F.col("id"), salt=23)) \
+    trained = small_batches(sample).withColumn("order", uniform01(F.col("id"), salt=23)) \
         .withColumn("shard", F.floor(uniform01(F.col("id"), salt=29) * F.lit(shards) * F.lit(0.999999))) \
         .groupBy("shard").applyInArrow(fit, "place long, weight double")
     return stage(trained.groupBy("place").agg((F.sum("weight") / F.lit(float(shards))).alias("weight")),
@@ -165,33 +165,38 @@ def scorer(model: DataFrame):
     inner = rows[rows.place >= 0]
     shared = sc.broadcast((inner.place.to_numpy(np.int64), inner.weight.to_numpy(np.float32),
                            float(rows.weight[rows.place == INTERCEPT].sum()), len(rows) > 0))
-    dense: dict[str, np.ndarray] = {}
 
-    @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         places, weights, intercept, trained = shared.value
-        if "w" not in dense:
-            dense["w"] = np.zeros(1 << BITS, dtype=np.float32)
-            dense["w"][places] = weights
+        dense = np.zeros(1 << BITS, dtype=np.float32)
+        dense[places] = weights
+        for texts in batches:
+            values = score_texts(texts, dense, intercept)
+            yield pa.array(values if trained else np.zeros(len(texts)), pa.float64())
+
+    def score_texts(texts: pa.Array, dense: np.ndarray, intercept: float) -> np.ndarray:
         out = []
         for a, m in W.text_slices(texts):
             w = W.words(texts.slice(a, m), lower=True, separators=SEPARATORS)
             owner, hit = [], []
             of_word = np.repeat(np.arange(m), w.counts)
             for place, valid in ngram_places(w):
-                at = np.flatnonzero(valid & (dense["w"][place] != 0))
+                at = np.flatnonzero(valid & (dense[place] != 0))
                 owner.append(of_word[at])
                 hit.append(place[at])
             # each feature counts once per text
             pair = np.unique((np.concatenate(owner).astype(np.int64) << BITS) | np.concatenate(hit))
-            margin = intercept + np.bincount(pair >> BITS, dense["w"][pair & ((1 << BITS) - 1)], minlength=m)
+            margin = intercept + np.bincount(pair >> BITS, dense[pair & ((1 << BITS) - 1)], minlength=m)
             out.append(1.0 / (1.0 + np.exp(-np.clip(margin, -35, 35))))
-        values = np.concatenate(out) if out else np.zeros(0)
-        return pa.array(values if trained else np.zeros(len(texts)), pa.float64())
+        return np.concatenate(out) if out else np.zeros(0)
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return giving_back(scores)(batches)
 
     return score
 
 
 def score_documents(docs: DataFrame, model: DataFrame, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """``docs`` with the score as ``out_col``; every other column is kept."""
-    return docs.withColumn(out_col, scorer(model)(F.col(text_col)))
+    return small_batches(docs).withColumn(out_col, scorer(model)(F.col(text_col)))
